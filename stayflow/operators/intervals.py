@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,10 @@ ADMIT = "ADMIT TO UNIT"
 TRANSFER = "TRANSFER FROM UNIT"
 IN_UNIT = "PATIENT IN UNIT"
 
+# overlapping intervals are handled one layer at a time, up to this depth
 _MAX_LAYERS = 16
+# dated records of one key that may be searched as a list
+_RECORDS_PER_KEY = 200
 
 
 # -- runs of rows ---------------------------------------------------------------------------
@@ -227,8 +231,13 @@ def latest_record(
     Of several valid records the one with the latest start wins.  Facts without a valid record
     keep NULL in the taken columns (``{record column: new name}``).
     """
-    columns = [*keys, start, end, *[c for c in take if c not in (*keys, start, end)]]
-    records = history.select(*dict.fromkeys(columns))
+    columns = dict.fromkeys([*keys, start, end, *take])
+    records = history.select(*columns)
+    sizes = records.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).first()
+    if (sizes[0] or 0) <= session_limit(facts.sparkSession, "broadcastRows") and (
+        sizes[1] or 0
+    ) <= _RECORDS_PER_KEY:
+        return _latest_of_few(facts, records, keys, at, start, end, take)
     done: list[DataFrame] = []
     open_facts = facts
     for _ in range(_MAX_LAYERS):
@@ -260,6 +269,19 @@ def latest_record(
     return out.select(*facts.columns, *[F.col(f"_hit.{c}").alias(n) for c, n in take.items()])
 
 
+def _latest_of_few(facts, records, keys, at, start, end, take) -> DataFrame:
+    """:func:`latest_record` for a history small enough to sit beside every task."""
+    record = F.struct(
+        F.col(start).alias("_s"), open_end(end).alias("_e"), *[F.col(c) for c in take]
+    )
+    lists = records.groupBy(*keys).agg(F.collect_list(record).alias("_records"))
+    held = facts.join(F.broadcast(lists), keys, "left")
+    valid = F.filter("_records", lambda r: (F.col(at) >= r["_s"]) & (F.col(at) <= r["_e"]))
+    return held.withColumn("_hit", F.array_max(valid)).select(
+        *facts.columns, *[F.col(f"_hit.{c}").alias(n) for c, n in take.items()]
+    )
+
+
 def _latest_valid_by_pairs(facts, records, keys, at, start, end, columns) -> DataFrame:
     """Rest of :func:`latest_record` when records overlap many layers deep."""
     numbered = keep(facts.withColumn("_fact", F.expr("uuid()")))
@@ -454,19 +476,23 @@ def split_on_change(
     max_cuts: int = 10,
     limit: int | None = None,
     events_per_fold: int | None = None,
+    may_restart: Callable[[DataFrame], DataFrame] | None = None,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Cut intervals where an event changes their state.
 
     Events are taken in time order.  One cuts if its state is known and differs from the current
     one, it is at least ``min_gap`` after the start and after the last cut, and at least
     ``min_gap`` before the end (up to ``as_of`` when open).  At most ``max_cuts`` cuts are made
-    and an interval with unknown state is never cut.
+    and an interval with unknown state is never cut.  ``may_restart`` may add ``_restart`` to the
+    matched events (``_at`` and the intervals' ``carry`` columns): where it is false, the piece
+    that begins at the event is not cut again.
 
     Output: the interval's columns with new start, end and state, and ``piece`` (0, 1, ...).
     """
     gap = F.expr(min_gap)
     windows = intervals.filter(F.col(state).isNotNull()).select(
-        *dict.fromkeys([*keys, *ids]),
+        *dict.fromkeys([*keys, *ids, *(carry or [])]),
         F.col(state).alias("_state"),
         (F.col(start) + gap).alias("_from"),
         F.coalesce(F.col(end) - gap, F.lit(as_of).cast("timestamp_ntz")).alias("_to"),
@@ -475,13 +501,14 @@ def split_on_change(
         *keys, F.col(at).alias("_at"), F.col(event_state).alias("_seen")
     )
     owned = points_in_intervals(known, windows, keys, "_at", "_from", "_to", limit).select(
-        *[F.col(f"_interval.{c}").alias(c) for c in ids],
+        *[F.col(f"_interval.{c}").alias(c) for c in dict.fromkeys([*ids, *(carry or [])])],
         "_at",
         "_seen",
         F.col("_interval._state").alias("_state"),
         F.col("_interval._from").alias("_from"),
     )
-    owned = keep(owned)
+    restart = may_restart or (lambda matched: matched.withColumn("_restart", F.lit(True)))
+    owned = keep(restart(owned).drop(*[c for c in carry or [] if c not in ids]))
     bound = events_per_fold or session_limit(intervals.sparkSession, "eventsPerFold")
     heavy = hot_keys(owned, ids, bound)
     if heavy is None:
@@ -494,23 +521,34 @@ def split_on_change(
     return _pieces(intervals.join(cuts, ids, "left"), start, end, state)
 
 
-_CUTS = "array<struct<at:timestamp_ntz,state:string>>"
+_CUTS = "array<struct<at:timestamp_ntz,state:string,restart:boolean>>"
+
+
+def _event() -> Column:
+    return F.struct(
+        F.col("_at").alias("at"), F.col("_seen").alias("state"), F.col("_restart").alias("restart")
+    )
+
+
+def _cuts_here(event: Column, cuts: Column, gap: Column) -> Column:
+    """Does this event cut, given the cuts made before it?"""
+    last = F.try_element_at(cuts, F.lit(-1))
+    return (
+        (event["state"] != F.coalesce(last["state"], F.col("_state")))
+        & (event["at"] >= F.coalesce(last["at"] + gap, F.col("_from")))
+        & F.coalesce(last["restart"], F.lit(True))
+    )
 
 
 def _cuts_by_fold(owned: DataFrame, ids: list[str], gap: Column, max_cuts: int) -> DataFrame:
     """Walk the sorted events of one interval, carrying the cuts made so far."""
-    log = F.array_sort(F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_seen").alias("state"))))
+    log = F.array_sort(F.collect_list(_event()))
     logs = owned.groupBy(*ids).agg(
         log.alias("_log"), F.first("_state").alias("_state"), F.first("_from").alias("_from")
     )
 
     def step(cuts: Column, event: Column) -> Column:
-        last = F.try_element_at(cuts, F.lit(-1))
-        cut = (
-            (F.size(cuts) < max_cuts)
-            & (event["state"] != F.coalesce(last["state"], F.col("_state")))
-            & (event["at"] >= F.coalesce(last["at"] + gap, F.col("_from")))
-        )
+        cut = (F.size(cuts) < max_cuts) & _cuts_here(event, cuts, gap)
         return F.when(cut, F.array_append(cuts, event)).otherwise(cuts)
 
     return logs.select(
@@ -527,20 +565,16 @@ def _cuts_in_rounds(
     shuffle.  Only the cuts travel: the events are spread over ``shares`` tasks per interval.
     """
     events = owned.select(
-        *ids, "_at", "_seen", F.pmod(F.xxhash64("_at", "_seen"), F.lit(shares)).alias("_share")
+        *ids, "_at", "_seen", "_restart", F.pmod(F.xxhash64("_at", "_seen"), F.lit(shares)).alias("_share")
     )
     cuts = owned.groupBy(*ids).agg(
         F.first("_state").alias("_state"), F.first("_from").alias("_from")
     ).withColumn("_cuts", F.array().cast(_CUTS))
-    event = F.struct(F.col("_at").alias("at"), F.col("_seen").alias("state"))
     for _ in range(max_cuts):
         repeated = cuts.withColumn(
             "_share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint")))
         )
-        last = F.try_element_at(F.col("_cuts"), F.lit(-1))
-        change = (F.col("_seen") != F.coalesce(last["state"], F.col("_state"))) & (
-            F.col("_at") >= F.coalesce(last["at"] + gap, F.col("_from"))
-        )
+        change = _cuts_here(_event(), F.col("_cuts"), gap)
         cuts = (
             events.join(repeated, [*ids, "_share"])
             .groupBy(*ids)
@@ -548,7 +582,7 @@ def _cuts_in_rounds(
                 F.first("_state").alias("_state"),
                 F.first("_from").alias("_from"),
                 F.first("_cuts").alias("_cuts"),
-                F.min(F.when(change, event)).alias("_cut"),
+                F.min(F.when(change, _event())).alias("_cut"),
             )
             .withColumn(
                 "_cuts",
@@ -564,7 +598,9 @@ def _cuts_in_rounds(
 def _pieces(df: DataFrame, start: str, end: str, state: str) -> DataFrame:
     """One row per piece: a cut ends the piece before it and starts the next."""
     cuts = F.coalesce(F.col("_cuts"), F.array().cast(_CUTS))
-    begin = F.struct(F.col(start).alias("at"), F.col(state).alias("state"))
+    begin = F.struct(
+        F.col(start).alias("at"), F.col(state).alias("state"), F.lit(True).alias("restart")
+    )
     columns = [c for c in df.columns if c != "_cuts"]
     walked = df.withColumn("_marks", F.concat(F.array(begin), cuts)).select(
         *columns, F.posexplode("_marks").alias("piece", "_mark"), "_marks"

@@ -52,10 +52,10 @@ def join_one(
     how: str = "inner",
     limit: int | None = None,
 ) -> DataFrame:
-    """Join to a side with one row per key.
+    """Join to a side with few rows per key.
 
     Rows of a hot left key are spread over several tasks by a hash of the row and the matching
-    right row is repeated once per task; all other keys join as usual.
+    right rows are repeated once per task; all other keys join as usual.
     """
     hot = hot_keys(left, keys, limit)
     if hot is None:
@@ -80,6 +80,14 @@ def join_one(
     return spread.join(repeated, [*keys, "_share"], how).drop("_share")
 
 
+def join_dim(df: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join to a dimension with one row per key: broadcast once its size is known to be small."""
+    rows = dim.count()
+    if rows <= session_limit(df.sparkSession, "broadcastRows"):
+        return df.join(F.broadcast(dim), keys, how)
+    return join_one(df, dim, keys, how)
+
+
 def _quoted(columns: list[str]) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
@@ -133,8 +141,10 @@ def join_any_key(
     """
     options = F.array_distinct(F.array(*[F.col(c).cast("bigint") for c in right_keys]))
     tall = right.withColumn("_any_key", F.explode(options))
-    out = left.join(tall, left[key] == tall["_any_key"], how)
-    return out if how in ("left_semi", "left_anti") else out.drop("_any_key")
+    if how in ("left_semi", "left_anti"):
+        tall = tall.select("_any_key").distinct()
+    named = left.withColumn("_any_key", F.col(key).cast("bigint"))
+    return join_one(named, tall, ["_any_key"], how).drop("_any_key")
 
 
 def flatten_hierarchy(

@@ -161,6 +161,39 @@ class Ordered:
         }
         return self._with(df.withColumns(joined).drop(*[f"_carry_{n}" for n in columns]))
 
+    def following(self, **columns: ColumnOrName) -> Ordered:
+        """Add the first non-NULL value found after this row, however far away."""
+        exprs = {n: _col(c) for n, c in columns.items()}
+        backwards = Window.partitionBy(*self._parts()).orderBy(*[F.desc(c) for c in self.order])
+        later = backwards.rowsBetween(Window.unboundedPreceding, -1)
+        local = self._df.withColumns(
+            {n: F.last(c, ignorenulls=True).over(later) for n, c in exprs.items()}
+        )
+        if self.segments is None:
+            return self._with(local)
+        firsts = (
+            self._df.filter(F.col(SEGMENT) > 0)
+            .groupBy(*self._parts())
+            .agg(
+                *[
+                    F.min_by(c, F.when(c.isNotNull(), F.struct(*self.order))).alias(f"_total_{n}")
+                    for n, c in exprs.items()
+                ]
+            )
+        )
+        after = (
+            Window.partitionBy(*self.keys)
+            .orderBy(F.desc(SEGMENT))
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        carry = firsts.select(
+            *self._parts(),
+            *[F.last(f"_total_{n}", ignorenulls=True).over(after).alias(f"_carry_{n}") for n in columns],
+        )
+        df = join_null_safe(local, small(carry, self.segments), self._parts(), "left")
+        joined = {n: F.coalesce(F.col(n), F.col(f"_carry_{n}")) for n in columns}
+        return self._with(df.withColumns(joined).drop(*[f"_carry_{n}" for n in columns]))
+
 
 def _at(value: Column, places: int, w: WindowSpec) -> Column:
     return F.lead(value, places).over(w) if places > 0 else F.lag(value, -places).over(w)

@@ -41,11 +41,21 @@ def next_matching(
 
 
 def time_to_next(
-    rows: Ordered, start: str, end: str, name: str, where: Column | None = None
+    rows: Ordered,
+    start: str,
+    end: str,
+    name: str,
+    among: Column | None = None,
+    where: Column | None = None,
 ) -> Ordered:
-    """Hours from the end of a row to the start of the key's next row."""
-    ahead = rows.shift(_next_start=(start, 1))
-    hours = hours_between(end, "_next_start")
+    """Hours from the end of a row to the start of the key's next row.
+
+    With ``among``, only rows for which it holds count, on both sides.  ``where`` limits the rows
+    that get a value.
+    """
+    counted = F.lit(True) if among is None else among
+    ahead = rows.following(_next_start=F.when(counted, F.col(start)))
+    wanted = counted if where is None else counted & where
     return ahead.with_columns(
-        {name: hours if where is None else F.when(where, hours)}
+        {name: F.when(wanted, hours_between(end, "_next_start"))}
     ).drop("_next_start")

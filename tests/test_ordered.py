@@ -111,3 +111,20 @@ def test_join_any_key_has_no_doubles(spark):
     right = spark.createDataFrame([(10, 1, 2), (11, 3, 3), (12, None, 1)], "id long, a long, b long")
     got = sorted((r.h, r.id) for r in join_any_key(left, right, "h", ["a", "b"]).collect())
     assert got == [(1, 10), (1, 12), (2, 10), (3, 11)]
+
+
+def test_following_looks_past_any_number_of_rows(skewed):
+    def ahead(limit):
+        return arrange(skewed, ["k"], ["t", "id"], limit).following(
+            nxt=F.when(F.col("flag"), F.col("id")), pair=F.when(F.col("v").isNull(), F.struct("id", "t"))
+        )
+
+    cut, plain = ahead(40), ahead(10_000)
+    assert cut.segments and rows(cut.df) == rows(plain.df)
+    got = {r["id"]: r["nxt"] for r in cut.df.collect()}
+    for key in {r["k"] for r in skewed.collect()}:
+        nxt = None
+        group = sorted((r for r in skewed.collect() if r["k"] == key), key=lambda r: (r["t"], r["id"]), reverse=True)
+        for r in group:
+            assert got[r["id"]] == nxt
+            nxt = r["id"] if r["flag"] else nxt
