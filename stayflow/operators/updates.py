@@ -39,10 +39,22 @@ def repeated_first_keys(
     return firsts.groupBy(account).agg(F.count(encounter).alias("_n")).filter("_n > 1").drop("_n")
 
 
-def repair_trackers(
+def doubled_encounters(
     stored: DataFrame,
     encounter: str = "PAT_ENC_CSN",
     account: str = "HSP_ACCOUNT_ID",
+    tracker: str = "IP_UNIT_TRACKER_HAR",
+) -> DataFrame:
+    """All encounters with a row in an account whose number-one stay occurs twice."""
+    doubled = repeated_first_keys(stored, account, encounter, tracker)
+    return within(stored, doubled, [account]).select(encounter).distinct()
+
+
+def renumber_accounts(
+    stored: DataFrame,
+    encounters: DataFrame,
+    encounter: str = "PAT_ENC_CSN",
+    account: str = "HSP_ACCOUNT_ID",
     start: str = "UNIT_IN_DTTM",
     place: str = "ADT_DEPARTMENT_ID",
     kind: str = "UNIT_STAY_TYPE",
@@ -50,19 +62,17 @@ def repair_trackers(
     icu_tracker: str = "ICU_TRACKER_HAR",
     limit: int | None = None,
 ) -> DataFrame:
-    """Number the stays of an account again where two encounters both hold its first stay.
+    """Number the stays of the given encounters again, together, per account.
 
-    All stored stays of the encounters concerned are renumbered together; other rows stay as they
-    are.
+    Other rows stay as they are.
     """
-    doubled = repeated_first_keys(stored, account, encounter, unit_tracker)
-    members = within(stored, doubled, [account]).select(encounter).distinct()
-    affected = within(stored, members, [encounter])
-    others = without(stored, members, [encounter])
+    affected = within(stored, encounters, [encounter])
+    others = without(stored, encounters, [encounter])
+    has_account = F.col(account).isNotNull()
     numbered = seq_where(
         arrange(affected, [account], [start, place, encounter], limit),
-        _unit=~like_ci(kind, "NON IP%"),
-        _icu=F.col(kind) == "CRITICAL CARE",
+        _unit=~like_ci(kind, "NON IP%") & has_account,
+        _icu=(F.col(kind) == "CRITICAL CARE") & has_account,
     ).df
     renewed = numbered.withColumns(
         {
@@ -73,6 +83,18 @@ def repair_trackers(
     return others.unionByName(renewed)
 
 
+def repair_trackers(stored: DataFrame, limit: int | None = None, **names: str) -> DataFrame:
+    """Renumber the stays of accounts in which two encounters both hold the first stay.
+
+    ``names`` override the column names of :func:`renumber_accounts`.
+    """
+    shared = {n: names[n] for n in ("encounter", "account") if n in names}
+    if "unit_tracker" in names:
+        shared["tracker"] = names["unit_tracker"]
+    members = doubled_encounters(stored, **shared)
+    return renumber_accounts(stored, members, limit=limit, **names)
+
+
 def close_last(
     rows: Ordered,
     ends: DataFrame,
