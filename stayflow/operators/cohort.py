@@ -1,7 +1,7 @@
 """Which encounters to rebuild in a run.
 
-The functions take DataFrames with the domain column names (see ``plans/schemas.py``) and return
-key rows ``csn, har``.
+The functions take DataFrames with the domain column names (see ``plans/schemas.py``), encounters
+with one row per ``csn`` and accounts with one row per ``har``, and return key rows ``csn, har``.
 """
 
 from __future__ import annotations
@@ -60,27 +60,26 @@ def recent_activity(
     if move_filter is not None:
         moved = moved.filter(move_filter)
     chosen = encounters if encounter_filter is None else encounters.filter(encounter_filter)
-    return within(chosen, moved, ["csn"]).select(*KEYS).distinct()
+    return within(chosen, moved, ["csn"], known=True).select(*KEYS)
 
 
 def changed_end(
     stored: DataFrame, encounters: DataFrame, window: RunWindow, max_age_days: int = 45
 ) -> DataFrame:
     """Encounters stored as discharged whose discharge time is no longer the stored end."""
-    ends = stored.filter(F.col("unit_status") == "DISCHARGED").select("csn", "unit_out_dttm")
-    current = encounters.filter(F.col("disch_dttm") > F.lit(window.days_ago(max_age_days)))
-    return (
-        join_one(ends, current.select("csn", "har", "disch_dttm"), ["csn"])
-        .filter(F.col("unit_out_dttm") != F.col("disch_dttm"))
-        .select(*KEYS)
-        .distinct()
+    ends = (
+        stored.filter(F.col("unit_status") == "DISCHARGED")
+        .groupBy("csn")
+        .agg(F.min("unit_out_dttm").alias("_first"), F.max("unit_out_dttm").alias("_last"))
     )
+    current = encounters.filter(F.col("disch_dttm") > F.lit(window.days_ago(max_age_days)))
+    moved = (F.col("_first") != F.col("disch_dttm")) | (F.col("_last") != F.col("disch_dttm"))
+    return current.join(ends, "csn").filter(moved).select(*KEYS)
 
 
 def flag_flip(
     stored: DataFrame,
     encounters: DataFrame,
-    accounts: DataFrame,
     window: RunWindow,
     from_: int,
     max_age_days: int = 180,
@@ -89,12 +88,15 @@ def flag_flip(
     """Encounters whose stored billing flag disagrees with the account's class now.
 
     ``from_=0``: stored as inpatient, account no longer is.  ``from_=1``: the other way round.
+    The encounters carry their account's ``base_class``.
     """
     is_inpatient = F.col("base_class") == inpatient
-    flipped = accounts.filter(~is_inpatient if from_ == 0 else is_inpatient).select("har")
-    recent = encounters.filter(F.col("disch_dttm") > F.lit(window.days_ago(max_age_days)))
-    candidates = within(recent, stored.filter(F.col("billed_as_op") == from_), ["csn"])
-    return join_one(candidates, flipped, ["har"], "left_semi").select(*KEYS).distinct()
+    flipped = encounters.filter(
+        (~is_inpatient if from_ == 0 else is_inpatient)
+        & (F.col("disch_dttm") > F.lit(window.days_ago(max_age_days)))
+    )
+    flagged = stored.filter(F.col("billed_as_op") == from_)
+    return within(flipped, flagged, ["csn"], known=True).select(*KEYS)
 
 
 def linked_by_merge(
@@ -121,7 +123,7 @@ def linked_by_merge(
         encounter_filter & (F.col("admit_dttm") > F.lit(window.year_before))
     )
     linked = join_any_key(chosen, merged, "har", ["_into", "_from"], "left_semi")
-    return within(linked, movements.filter(move_filter), ["csn"]).select(*KEYS).distinct()
+    return within(linked, movements.filter(move_filter), ["csn"], known=True).select(*KEYS)
 
 
 def siblings(
@@ -137,6 +139,7 @@ def siblings(
         cohort.select("har").distinct(),
         sources.select(F.col("combine_har").alias("har")),
         ["har"],
+        known=True,
     )
     chosen = encounters if encounter_filter is None else encounters.filter(encounter_filter)
     return join_one(chosen, targets, ["har"], "left_semi").select(*KEYS)
@@ -151,12 +154,18 @@ def require_any(
     encounter: Column,
 ) -> DataFrame:
     """Cohort rows with a movement to a wanted place, or any known place for a wanted encounter."""
-    placed = join_dim(movements, departments, ["dept_id"])
-    seen = placed.groupBy("csn").agg(F.max(F.when(place, 1)).alias("_wanted"))
-    facts = join_one(cohort.select("csn").distinct(), seen, ["csn"])
-    facts = facts.join(encounters.drop("har", "dept_id"), "csn")
+    # Pairs are deduplicated before the shuffle: an encounter has few distinct departments.
+    visited = within(
+        movements.select("csn", "dept_id").distinct(), cohort, ["csn"], known=True
+    )
+    seen = (
+        join_dim(visited, departments, ["dept_id"])
+        .groupBy("csn")
+        .agg(F.max(F.when(place, 1)).alias("_wanted"))
+    )
+    facts = seen.join(encounters.drop("har", "dept_id"), "csn")
     passed = facts.filter(F.coalesce((F.col("_wanted") == 1) | encounter, F.lit(False)))
-    return within(cohort, passed, ["csn"])
+    return within(cohort, passed, ["csn"], known=True)
 
 
 def missed_accounts(
@@ -172,10 +181,10 @@ def missed_accounts(
         & (F.col("adm_dttm") > F.lit(window.days_ago(max_age_days)))
         & F.col("prim_csn").isNotNull()
     )
-    return without(chosen, stored, ["har"]).select(F.col("prim_csn").alias("csn"), "har")
+    return without(chosen, stored, ["har"], known=True).select(F.col("prim_csn").alias("csn"), "har")
 
 
 def accumulate(cohort: DataFrame, candidates: DataFrame, billed_as_op: int) -> DataFrame:
     """Append candidates whose encounter is not listed yet; the first writer's flag stays."""
-    new = without(candidates, cohort, ["csn"]).withColumn("billed_as_op", F.lit(billed_as_op))
+    new = without(candidates, cohort, ["csn"], known=True).withColumn("billed_as_op", F.lit(billed_as_op))
     return cohort.unionByName(new.select("csn", "har", "billed_as_op"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stayflow.functions.columns import ONE_MINUTE, open_end, round_minute
 from stayflow.limits import limit as session_limit
-from stayflow.operators.joins import hot_keys, join_one, within, without
+from stayflow.operators.joins import even, hot_keys, join_one, within, without
 from stayflow.operators.ordered import Ordered, arrange
 from stayflow.sources.scratch import keep
 
@@ -19,7 +19,7 @@ TRANSFER = "TRANSFER FROM UNIT"
 IN_UNIT = "PATIENT IN UNIT"
 
 # overlapping intervals are handled one layer at a time, up to this depth
-_MAX_LAYERS = 16
+_MAX_LAYERS = 8
 # dated records of one key that may be searched as a list
 _RECORDS_PER_KEY = 200
 
@@ -156,6 +156,7 @@ def outside_span(
     kept_start: str = "in_dttm",
     kept_end: str = "pat_out_dttm",
     limit: int | None = None,
+    known: Ordered | None = None,
 ) -> DataFrame:
     """Rows that begin before the first kept row of their key, or at/after its last kept end.
 
@@ -168,14 +169,14 @@ def outside_span(
     else:
         raise ValueError(f"side must be 'before' or 'after', not {side!r}")
     spans = kept.groupBy(*keys).agg(edge.alias("_edge"))
-    return join_one(rows, spans, keys, "inner", limit).filter(test).drop("_edge")
+    return join_one(rows, spans, keys, "inner", limit, known).filter(test).drop("_edge")
 
 
 def keys_without_rows(
-    rows: DataFrame, kept: DataFrame, keys: list[str]
+    rows: DataFrame, kept: DataFrame, keys: list[str], known: Ordered | None = None
 ) -> DataFrame:
     """Rows of keys that have no kept row at all."""
-    return without(rows, kept, keys)
+    return without(rows, kept, keys, known)
 
 
 # -- points and intervals -------------------------------------------------------------------
@@ -189,6 +190,7 @@ def _latest_start(
     start: str,
     end: str,
     limit: int | None,
+    known: Ordered | None,
 ) -> DataFrame:
     """Each point with ``_hit``: the interval of its key that began last, not after the point.
 
@@ -210,7 +212,7 @@ def _latest_start(
         F.struct(*[F.col(c) for c in intervals.columns]).alias("_interval"),
     )
     both = point.unionByName(begin, allowMissingColumns=True)
-    scan = arrange(both, keys, ["_at", "_side", "_until"], limit).running(
+    scan = arrange(both, keys, ["_at", "_side", "_until"], limit, known).running(
         _hit=("last", "_interval")
     )
     return scan.df.filter(F.col("_side") == 1).select("_point.*", "_hit")
@@ -225,6 +227,7 @@ def latest_record(
     end: str,
     take: dict[str, str],
     limit: int | None = None,
+    known: Ordered | None = None,
 ) -> DataFrame:
     """Dated-dimension join: each fact with the record valid at ``at`` (closed at both ends).
 
@@ -241,7 +244,7 @@ def latest_record(
     done: list[DataFrame] = []
     open_facts = facts
     for _ in range(_MAX_LAYERS):
-        hit = _latest_start(open_facts, records, keys, at, start, end, limit)
+        hit = _latest_start(open_facts, records, keys, at, start, end, limit, known)
         valid = F.coalesce(F.col(at) <= open_end(F.col(f"_hit.{end}")), F.lit(False)) & F.col(
             "_hit"
         ).isNotNull()
@@ -249,7 +252,7 @@ def latest_record(
         # latest-starting record is not.
         order = [start, "_until"]
         reaching = (
-            arrange(records.withColumn("_until", open_end(end)), keys, order, limit)
+            arrange(records.withColumn("_until", open_end(end)), keys, order, limit, known)
             .shift(_next_start=(start, 1))
             .filter(F.col("_until") >= F.col("_next_start"))
             .df.drop("_next_start", "_until")
@@ -315,12 +318,14 @@ def points_in_intervals(
     start: str,
     end: str,
     limit: int | None = None,
+    known: Ordered | None = None,
 ) -> DataFrame:
     """Every (point, interval) pair of a key with the point inside the closed interval.
 
     Output: the point's columns and ``_interval`` (a struct of the interval's columns).  Intervals
-    are peeled into layers that do not overlap; each layer is one ordered scan.
+    are peeled into layers of intervals that at most touch; each layer is one ordered scan.
     """
+    body = [*intervals.columns, "_until"]
     rest = intervals.withColumn("_until", open_end(end)).filter(F.col("_until") >= F.col(start))
     found: list[DataFrame] = []
     for depth in range(_MAX_LAYERS + 1):
@@ -329,14 +334,33 @@ def points_in_intervals(
         if depth == _MAX_LAYERS:
             found.append(_pairs(points, rest, keys, at, start))
             break
-        layers = arrange(rest, keys, [start, "_until"], limit).running(
-            _covered=("max_before", "_until"), _rank=("sum", F.lit(1))
+        scan = arrange(rest, keys, [start, "_until"], limit, known).running(
+            _covered=("max_before", "_until"), _began=("max_before", start)
         )
-        clear = F.col("_covered").isNull() | (F.col(start) > F.col("_covered"))
-        layer = layers.filter(clear).df.drop("_covered", "_rank")
-        rest = layers.filter(~clear).df.drop("_covered", "_rank")
-        hit = _latest_start(points, layer, keys, at, start, "_until", limit)
-        found.append(hit.filter(F.col(at) <= F.col("_hit._until")))
+        clear = F.col("_covered").isNull() | (
+            (F.col(start) >= F.col("_covered")) & (F.col(start) > F.col("_began"))
+        )
+        # In a layer a point lies in the interval that began last, and where two intervals touch
+        # also in the one before it.
+        layer = scan.filter(clear).with_columns({"_self": F.struct(*body)})
+        layer = layer.shift(_before=("_self", -1)).with_columns(
+            {"_touching": F.when(F.col("_before._until") == F.col(start), F.col("_before"))}
+        )
+        hit = _latest_start(
+            points,
+            layer.df.select(*keys, start, "_until", "_self", "_touching"),
+            keys,
+            at,
+            start,
+            "_until",
+            limit,
+            known,
+        )
+        inside = F.filter(
+            F.array("_hit._self", "_hit._touching"), lambda h: F.col(at) <= h["_until"]
+        )
+        found.append(hit.withColumn("_hit", F.explode(inside)))
+        rest = scan.filter(~clear).df.select(*body)
         if depth:
             rest = keep(rest)
     out = found[0]
@@ -369,6 +393,7 @@ def count_in_interval(
     name: str,
     unlike: tuple[str, str] | None = None,
     limit: int | None = None,
+    known: Ordered | None = None,
 ) -> DataFrame:
     """Add the number of the key's points inside each closed interval (0 if none).
 
@@ -380,20 +405,21 @@ def count_in_interval(
     use = points
     if unlike:
         use = points.filter(F.col(unlike[0]).isNotNull())
-    total = _running_counts(use, intervals, keys, keys, ids, at, start, end, limit)
+    total = _running_counts(use, intervals, keys, ids, at, start, end, limit, known)
     if unlike is None:
         counts = total
     else:
         same = _running_counts(
             use.withColumn("_kind", F.col(unlike[0])),
             intervals.withColumn("_kind", F.col(unlike[1])),
-            keys,
             [*keys, "_kind"],
             ids,
             at,
             start,
             end,
             limit,
+            # no finer key can have more rows than the key it refines
+            Ordered(points, [*keys, "_kind"], []) if even(known, keys) else None,
         )
         known = intervals.filter(F.col(unlike[1]).isNotNull()).select(*ids)
         minus = same.select(*ids, (-F.col("_count")).alias("_count"))
@@ -407,7 +433,7 @@ def count_in_interval(
     return out.withColumn(name, F.coalesce(F.col("_count"), F.lit(0)).cast("int")).drop("_count")
 
 
-def _running_counts(points, intervals, keys, grain, ids, at, start, end, limit) -> DataFrame:
+def _running_counts(points, intervals, grain, ids, at, start, end, limit, known) -> DataFrame:
     """``ids`` and ``_count`` for every interval with both ends."""
     real = intervals.filter(F.col(end) >= F.col(start))
     dot = points.filter(F.col(at).isNotNull()).select(
@@ -416,7 +442,7 @@ def _running_counts(points, intervals, keys, grain, ids, at, start, end, limit)
     opens = real.select(*grain, F.col(start).alias("_at"), F.lit(0).alias("_side"), *_ids(ids, grain))
     shuts = real.select(*grain, F.col(end).alias("_at"), F.lit(2).alias("_side"), *_ids(ids, grain))
     marks = opens.unionByName(shuts).unionByName(dot, allowMissingColumns=True)
-    seen = arrange(marks, grain, ["_at", "_side"], limit).running(
+    seen = arrange(marks, grain, ["_at", "_side"], limit, known).running(
         _seen=("sum", F.when(F.col("_side") == 1, 1))
     )
     edge = F.when(F.col("_side") == 2, F.col("_seen")).otherwise(-F.col("_seen"))
@@ -452,10 +478,11 @@ def fill_gaps(
     start: str = "unit_in_dttm",
     end: str = "unit_out_dttm",
     limit: int | None = None,
+    known: Ordered | None = None,
 ) -> DataFrame:
     """Movements that began in the gap before a stay, with ``_interval`` holding that stay."""
-    windows = gap_windows(stays, start, end)
-    return points_in_intervals(movements, windows, keys, at, "gap_from", "gap_to", limit)
+    windows = keep(gap_windows(stays, start, end))
+    return points_in_intervals(movements, windows, keys, at, "gap_from", "gap_to", limit, known)
 
 
 # -- splitting at state changes -------------------------------------------------------------
@@ -478,6 +505,7 @@ def split_on_change(
     events_per_fold: int | None = None,
     may_restart: Callable[[DataFrame], DataFrame] | None = None,
     carry: list[str] | None = None,
+    known: Ordered | None = None,
 ) -> DataFrame:
     """Cut intervals where an event changes their state.
 
@@ -497,10 +525,10 @@ def split_on_change(
         (F.col(start) + gap).alias("_from"),
         F.coalesce(F.col(end) - gap, F.lit(as_of).cast("timestamp_ntz")).alias("_to"),
     )
-    known = events.filter(F.col(event_state).isNotNull()).select(
+    stated = events.filter(F.col(event_state).isNotNull()).select(
         *keys, F.col(at).alias("_at"), F.col(event_state).alias("_seen")
     )
-    owned = points_in_intervals(known, windows, keys, "_at", "_from", "_to", limit).select(
+    owned = points_in_intervals(stated, windows, keys, "_at", "_from", "_to", limit, known).select(
         *[F.col(f"_interval.{c}").alias(c) for c in dict.fromkeys([*ids, *(carry or [])])],
         "_at",
         "_seen",

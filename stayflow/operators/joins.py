@@ -28,6 +28,17 @@ def hot_keys(df: DataFrame, keys: list[str], limit: int | None = None) -> HotKey
     return HotKeys(table, total["keys"], total["rows"]) if total["keys"] else None
 
 
+def even(known, keys: list[str]) -> bool:
+    """Is it known that no key is hot?
+
+    ``known`` is True where the rows per key are few by construction (such as one row per key), or
+    an arranged table on the same keys that has at least about as many rows of every key.
+    """
+    if known is None or known is True:
+        return bool(known)
+    return known.segments is None and known.keys == keys
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast hint for a side known to have at most ``rows`` rows, if that is few enough."""
     return F.broadcast(df) if rows <= session_limit(df.sparkSession, "broadcastRows") else df
@@ -51,13 +62,15 @@ def join_one(
     keys: list[str],
     how: str = "inner",
     limit: int | None = None,
+    known=None,
 ) -> DataFrame:
     """Join to a side with few rows per key.
 
     Rows of a hot left key are spread over several tasks by a hash of the row and the matching
     right rows are repeated once per task; all other keys join as usual.
+    With ``known`` (see :func:`even`) the rows per key are not counted again.
     """
-    hot = hot_keys(left, keys, limit)
+    hot = None if even(known, keys) else hot_keys(left, keys, limit)
     if hot is None:
         return left.join(right, keys, how)
     bound = limit or session_limit(left.sparkSession, "rowsPerTask")
@@ -92,24 +105,29 @@ def _quoted(columns: list[str]) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
 
-def without(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
+def without(df: DataFrame, keys_df: DataFrame, keys: list[str], known=None) -> DataFrame:
     """Rows whose key is not in ``keys_df``."""
-    return join_one(df, keys_df.select(*keys).distinct(), keys, "left_anti")
+    return join_one(df, keys_df.select(*keys).distinct(), keys, "left_anti", known=known)
 
 
-def within(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
+def within(df: DataFrame, keys_df: DataFrame, keys: list[str], known=None) -> DataFrame:
     """Rows whose key is in ``keys_df``."""
-    return join_one(df, keys_df.select(*keys).distinct(), keys, "left_semi")
+    return join_one(df, keys_df.select(*keys).distinct(), keys, "left_semi", known=known)
 
 
 def flag_if_exists(
-    df: DataFrame, keys_df: DataFrame, keys: list[str], name: str, old: Column | None = None
+    df: DataFrame,
+    keys_df: DataFrame,
+    keys: list[str],
+    name: str,
+    old: Column | None = None,
+    known=None,
 ) -> DataFrame:
     """Set ``name`` to 1 where the key occurs in ``keys_df``; elsewhere keep ``old`` (default 0)."""
     marked = keys_df.select(*keys).distinct().withColumn("_found", F.lit(True))
     base = F.lit(0) if old is None else old
     return (
-        join_one(df, marked, keys, "left")
+        join_one(df, marked, keys, "left", known=known)
         .withColumn(name, F.when(F.col("_found"), F.lit(1)).otherwise(base))
         .drop("_found")
     )

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from stayflow.limits import limit as session_limit
-from stayflow.operators.joins import hot_keys, join_null_safe, small
+from stayflow.operators.joins import even, hot_keys, join_null_safe, small
 from stayflow.sources.scratch import keep
 
 SEGMENT = "_segment"
@@ -231,14 +231,21 @@ _CARRY: dict[str, Callable] = {
 
 
 def arrange(
-    df: DataFrame, keys: list[str], order: list[str], limit: int | None = None
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    limit: int | None = None,
+    known: Ordered | None = None,
 ) -> Ordered:
     """Prepare ``df`` for ordered scans per key; see the module text.
 
+    ``known`` is a table arranged on the same keys that ``df`` derives from.  When it was not cut,
+    ``df`` is not measured again, so it must not have many times the rows of any key.
+
     ``order`` should be total within a key, so that results do not depend on arrival order.
     """
     spark = df.sparkSession
-    hot = hot_keys(df, keys, limit)
+    hot = None if even(known, keys) else hot_keys(df, keys, limit)
     if hot is None:
         return Ordered(df, keys, order)
     bound = limit or session_limit(spark, "rowsPerTask")
@@ -252,3 +259,8 @@ def arrange(
     )
     rest = join_null_safe(df, names, keys, "left_anti").withColumn(SEGMENT, F.lit(0))
     return Ordered(rest.unionByName(cut), keys, order, pieces + hot.keys)
+
+
+def measured(df: DataFrame, keys: list[str], limit: int | None = None) -> Ordered | None:
+    """Count the rows per key once, for use as ``known`` in later steps; None if a key is hot."""
+    return Ordered(df, keys, []) if hot_keys(df, keys, limit) is None else None

@@ -109,6 +109,6 @@ def close_last(
     ``ends`` has one row per key.
     """
     last = rows.shift(_has_next=(F.lit(True), 1)).df
-    joined = join_one(last, ends.select(key, F.col(key_end).alias("_key_end")), [key], "left")
+    joined = join_one(last, ends.select(key, F.col(key_end).alias("_key_end")), [key], "left", known=rows)
     wanted = F.col("_has_next").isNull() & test & (F.col(end) == F.col("_key_end"))
     return set_where(joined, wanted, **values).drop("_has_next", "_key_end")

@@ -31,7 +31,7 @@ from stayflow.operators.joins import (
     multi_class_keys,
     only_code,
 )
-from stayflow.operators.ordered import Ordered, arrange
+from stayflow.operators.ordered import Ordered, arrange, measured
 from stayflow.operators.sequences import next_matching, seq, seq_where, time_to_next
 from stayflow.operators.updates import close_last, drop_where, set_where
 from stayflow.plans import rules
@@ -75,7 +75,7 @@ def find_encounters(
         if window.as_of.day not in (1, 2):
             chosen = accumulate(chosen, pick.changed_end(known, classed, window), 0)
         for stored_flag, new_flag in ((0, 1), (1, 0)):
-            flipped = pick.flag_flip(known, classed, t["accounts"], window, from_=stored_flag)
+            flipped = pick.flag_flip(known, classed, window, from_=stored_flag)
             chosen = accumulate(chosen, flipped, new_flag)
     chosen = keep(chosen)
 
@@ -155,7 +155,7 @@ def cohort_movements(t: Tables, chosen: DataFrame, dept: DataFrame) -> DataFrame
     return join_dim(moves, dept, ["dept_id"]).filter(F.col("csn").isNotNull())
 
 
-def movement_detail(moves: DataFrame, t: Tables) -> DataFrame:
+def movement_detail(moves: DataFrame, t: Tables, known: Ordered | None = None) -> DataFrame:
     """Movements on inpatient units, with type, split where the level of care changes."""
     on_unit = moves.filter(
         F.col("grp11").isin(*rules.UNIT_GROUPS)
@@ -163,7 +163,8 @@ def movement_detail(moves: DataFrame, t: Tables) -> DataFrame:
         & (F.col("in_dttm") > F.lit(rules.DATA_BEGINS))
     )
     levels = t["loc_events"].select("event_id", "level_of_care")
-    return split_by_care(classify(on_unit.join(levels, "event_id"), t["dept_history"]), t)
+    typed = keep(classify(on_unit.join(levels, "event_id"), t["dept_history"]))
+    return split_by_care(typed, t, known)
 
 
 def _real_stay() -> Column:
@@ -187,7 +188,7 @@ def classify(moves: DataFrame, history: DataFrame) -> DataFrame:
     ).drop("_valid", "_grp11", "_grp4")
 
 
-def split_by_care(typed: DataFrame, t: Tables) -> DataFrame:
+def split_by_care(typed: DataFrame, t: Tables, known: Ordered | None = None) -> DataFrame:
     """Cut the stays on mixed units at each change of the level of care."""
     mixed = typed.filter("_splits").drop("_splits")
     events = t["loc_events"].filter(
@@ -215,11 +216,17 @@ def split_by_care(typed: DataFrame, t: Tables) -> DataFrame:
         as_of=t["as_of"],
         may_restart=still_mixed,
         carry=["dept_id", "hosp"],
+        known=_events_known(events, known),
     )
     whole = typed.filter("not _splits").drop("_splits").withColumn("piece", F.lit(0))
     return whole.unionByName(pieces)
 
 
+def _events_known(events: DataFrame, known: Ordered | None) -> Ordered | None:
+    """Level-of-care events are another table: measure them too."""
+    return None if known is None else measured(events, ["csn"])
+
+
 _DETAIL = [
     "csn",
     "har",
@@ -237,28 +244,29 @@ _DETAIL = [
 ]
 
 
-def all_rows(moves: DataFrame, detail: DataFrame) -> DataFrame:
+def all_rows(moves: DataFrame, detail: DataFrame, known: Ordered | None = None) -> DataFrame:
     """Unit movements with their edges, plus the other movements around them.
 
     Movements before the first and after the last unit movement, and all movements of encounters
     without any unit, are marked within their own set.
     """
     units = mark_edges(
-        arrange(detail, ["csn"], MOVEMENT_ORDER), ["dept_id", "unit_stay_type"]
+        arrange(detail, ["csn"], MOVEMENT_ORDER, known=known), ["dept_id", "unit_stay_type"]
     ).df.select(*_DETAIL)
     elsewhere = moves.withColumn("unit_stay_type", F.lit(rules.NON_IP))
     real = elsewhere.filter(_real_stay())
-    before = _marked(outside_span(real, detail, ["csn"], "before"))
+    before = _marked(outside_span(real, detail, ["csn"], "before", known=known), known)
     seen = detail.select("csn", "in_dttm", "pat_out_dttm").unionByName(
         before.select("csn", "in_dttm", "pat_out_dttm")
     )
-    after = _marked(outside_span(real, seen, ["csn"], "after"))
-    none = _marked(keys_without_rows(elsewhere, detail, ["csn"]))
+    after = _marked(outside_span(real, seen, ["csn"], "after", known=known), known)
+    none = _marked(keys_without_rows(elsewhere, detail, ["csn"], known), known)
     return label_non_ip(units.unionByName(before).unionByName(after).unionByName(none))
 
 
-def _marked(rows: DataFrame) -> DataFrame:
-    return mark_edges(arrange(rows, ["csn"], MOVEMENT_ORDER), ["dept_id"]).df.select(*_DETAIL)
+def _marked(rows: DataFrame, known: Ordered | None) -> DataFrame:
+    ordered = arrange(rows, ["csn"], MOVEMENT_ORDER, known=known)
+    return mark_edges(ordered, ["dept_id"]).df.select(*_DETAIL)
 
 
 def label_non_ip(rows: DataFrame) -> DataFrame:
@@ -271,9 +279,9 @@ def label_non_ip(rows: DataFrame) -> DataFrame:
 # -- stays ----------------------------------------------------------------------------------
 
 
-def unit_stays(rows: DataFrame) -> DataFrame:
+def unit_stays(rows: DataFrame, known: Ordered | None = None) -> DataFrame:
     """One row per stay, before gaps are filled; ``detail_line`` orders the stays of an encounter."""
-    ordered = drop_orphans(arrange(rows, ["csn"], [*MOVEMENT_ORDER, "dept_id"]))
+    ordered = drop_orphans(arrange(rows, ["csn"], [*MOVEMENT_ORDER, "dept_id"], known=known))
     stays = collapse_runs(
         ordered,
         starts=F.col("admit_status").isNotNull(),
@@ -291,13 +299,18 @@ def unit_stays(rows: DataFrame) -> DataFrame:
     return set_where(stays, ended, unit_status=TRANSFER)
 
 
-def gap_stays(stays: DataFrame, moves: DataFrame) -> DataFrame:
+def gap_stays(stays: DataFrame, moves: DataFrame, known: Ordered | None = None) -> DataFrame:
     """A stay for each movement that began between two stays.
 
     The label looks at the department and type of the stay after the gap, but at the name and
     specialty of the movement's own department.
     """
-    found = fill_gaps(arrange(stays, ["csn"], STAY_ORDER), moves.drop("har", "billed_as_op"), ["csn"])
+    found = fill_gaps(
+        arrange(stays, ["csn"], STAY_ORDER, known=known),
+        moves.drop("har", "billed_as_op"),
+        ["csn"],
+        known=known,
+    )
     label = rules.non_ip_label(
         F.col("_interval.dept_id"),
         F.col("_interval.unit_stay_type"),
@@ -325,10 +338,13 @@ def _is_icu() -> Column:
     return F.col("unit_stay_type") == rules.CRITICAL
 
 
-def encounter_columns(stays: DataFrame, encounters: DataFrame) -> DataFrame:
+def encounter_columns(
+    stays: DataFrame, encounters: DataFrame, known: Ordered | None = None
+) -> DataFrame:
     """Line numbers, trackers, next unit and bounce-back hours within each encounter."""
     ends = encounters.select("csn", "disch_dttm")
-    rows = arrange(join_one(stays, ends, ["csn"], "left"), ["csn"], STAY_ORDER)
+    dated = join_one(stays, ends, ["csn"], "left", known=known)
+    rows = arrange(dated, ["csn"], STAY_ORDER, known=known)
     rows = seq(close_open_intervals(rows), "line")
     rows = seq_where(rows, ip_unit_tracker_csn=_is_unit(), icu_tracker_csn=_is_icu())
     rows = next_unit(rows)
@@ -419,14 +435,15 @@ def attribute_site(stays: DataFrame, dept: DataFrame, history: DataFrame) -> Dat
 def account_columns(stays: DataFrame) -> DataFrame:
     """Trackers, cross-site transfers and bounce-back hours within each account."""
     side = F.when(F.col("hup_site") == rules.CROSS_SITE, "one").otherwise("other")
+    known = measured(stays, ["har"])
     crossing = multi_class_keys(
         stays, ["har"], side, F.col("hup_site").isin(*rules.CROSS_SITES)
     )
-    flagged = flag_if_exists(stays, crossing, ["har"], "cross_site")
-    rows = arrange(flagged, ["har"], [*STAY_ORDER, "csn", "line"])
-    known = F.col("har").isNotNull()
+    flagged = flag_if_exists(stays, crossing, ["har"], "cross_site", known=known)
+    rows = arrange(flagged, ["har"], [*STAY_ORDER, "csn", "line"], known=known)
+    owned = F.col("har").isNotNull()
     rows = seq_where(
-        rows, ip_unit_tracker_har=_is_unit() & known, icu_tracker_har=_is_icu() & known
+        rows, ip_unit_tracker_har=_is_unit() & owned, icu_tracker_har=_is_icu() & owned
     )
     rows = next_unit_account(rows)
     return time_to_next(
@@ -434,7 +451,7 @@ def account_columns(stays: DataFrame) -> DataFrame:
         "unit_in_dttm",
         "unit_out_dttm",
         "icu_bounce_back_hrs_har",
-        among=_is_icu() & known,
+        among=_is_icu() & owned,
         where=~F.col("next_type_har").isin(*rules.NOT_A_BOUNCE_HAR),
     ).df
 
@@ -461,7 +478,7 @@ def next_unit_account(rows: Ordered) -> Ordered:
     ).drop("_next")
 
 
-def add_churn(stays: DataFrame, moves: DataFrame) -> DataFrame:
+def add_churn(stays: DataFrame, moves: DataFrame, known: Ordered | None = None) -> DataFrame:
     """Visits to ancillary departments during the stay."""
     visits = moves.filter(
         (F.col("grp11") == rules.ANCILLARY_GROUP) & (F.col("dept_id") != rules.MAIN_ED)
@@ -477,10 +494,11 @@ def add_churn(stays: DataFrame, moves: DataFrame) -> DataFrame:
         "_until",
         "ancillary_visits",
         unlike=("dept_id", "dept_id"),
+        known=known,
     ).drop("_until")
 
 
-def add_flags(stays: DataFrame, t: Tables) -> DataFrame:
+def add_flags(stays: DataFrame, t: Tables, known: Ordered | None = None) -> DataFrame:
     """Normal newborn and hospice flags.  Gap rows have no value unless the flag is set."""
     coded = join_dim(t["charges"], t["rev_codes"], ["rev_code_id"])
     newborns = only_code(
@@ -489,10 +507,10 @@ def add_flags(stays: DataFrame, t: Tables) -> DataFrame:
     hospice = t["encounters"].filter(F.col("pat_class").isin(*rules.HOSPICE_CLASSES))
     unset = F.when(F.col("detail_line").isNotNull(), F.lit(0))
     flagged = flag_if_exists(stays, newborns, ["har"], "normal_newborn", unset)
-    return flag_if_exists(flagged, hospice, ["csn"], "hospice", unset)
+    return flag_if_exists(flagged, hospice, ["csn"], "hospice", unset, known)
 
 
-def finish(stays: DataFrame, encounters: DataFrame) -> DataFrame:
+def finish(stays: DataFrame, encounters: DataFrame, known: Ordered | None = None) -> DataFrame:
     """Drop open first lines outside units, add the extraction time, close the last lines."""
     still_open = (
         like_ci("unit_stay_type", "NON IP UNIT%")
@@ -503,7 +521,7 @@ def finish(stays: DataFrame, encounters: DataFrame) -> DataFrame:
     latest = kept.agg(round_minute(F.max("unit_out_dttm"))).scalar()
     timed = kept.withColumn("extraction_dttm", latest)
     return close_last(
-        arrange(timed, ["csn"], ["line"]),
+        arrange(timed, ["csn"], ["line"], known=known),
         encounters,
         "csn",
         "disch_dttm",
@@ -557,14 +575,15 @@ def build_for(t: Tables, chosen: DataFrame, window: RunWindow, owner: str = "")
     t = {**t, "as_of": window.days_ago(0)}
     dept = departments(t)
     moves = keep(cohort_movements(t, chosen, dept))
-    detail = keep(movement_detail(moves, t))
-    rows = keep(all_rows(moves, detail))
-    stays = keep(unit_stays(rows))
-    stays = keep(stays.unionByName(gap_stays(stays, moves)))
-    stays = keep(attribute_site(encounter_columns(stays, t["encounters"]), dept, t["dept_history"]))
-    stays = keep(account_columns(stays))
-    stays = keep(add_churn(stays, moves))
-    return to_output(finish(add_flags(stays, t), t["encounters"]), owner)
+    known = measured(moves, ["csn"])
+    detail = keep(movement_detail(moves, t, known))
+    rows = keep(all_rows(moves, detail, known))
+    stays = keep(unit_stays(rows, known))
+    stays = stays.unionByName(gap_stays(stays, moves, known))
+    stays = encounter_columns(stays, t["encounters"], known)
+    stays = keep(attribute_site(keep(stays), dept, t["dept_history"]))
+    stays = keep(add_churn(account_columns(stays), moves, known))
+    return to_output(finish(add_flags(stays, t, known), t["encounters"], known), owner)
 
 
 def build(

@@ -26,7 +26,7 @@ def data():
     spans = []
     for i in range(120):
         s = rnd.randrange(600)
-        e = rnd.choice([None] + [s + rnd.randrange(-3, 60) for _ in range(12)])
+        e = rnd.choice([None] + [s + rnd.randrange(-3, 20) for _ in range(20)])
         spans.append((rnd.choice([1, 1, 1, 2, 4]), mins(s), None if e is None else mins(e), i, rnd.choice(["a", "b", None])))
     return points, spans
 
@@ -45,7 +45,7 @@ def inside(p, s):
 
 
 @pytest.mark.parametrize("limit", LIMITS)
-@pytest.mark.parametrize("layers", [16, 2])
+@pytest.mark.parametrize("layers", [5, 2])
 def test_points_in_overlapping_intervals(tables, data, limit, layers, monkeypatch):
     monkeypatch.setattr(iv, "_MAX_LAYERS", layers)
     got = iv.points_in_intervals(*tables, ["k"], "at", "s", "e", limit)
