@@ -3,16 +3,17 @@
 Most operators here look at a key's rows in time order: the previous row, a running count, the
 last value seen.  A plain window does that with one shuffle, but puts all rows of a key into one
 task.  :func:`arrange` therefore measures the keys first.  When none is too large the scans are
-plain windows.  Otherwise the rows of the large keys are range-partitioned by key and order, which
-cuts each of them into consecutive segments of bounded size; a scan then runs inside the segments
-and what crosses a segment border is patched from a small table with a few rows per segment.
-Both ways give the same rows.
+plain windows.  Otherwise the rows of the large keys are set apart and range-partitioned by key and
+order, which cuts each of them into consecutive segments of bounded size; a scan then runs inside
+the segments, and what crosses a segment border is patched from a small table with a few rows per
+segment.  The other keys still use plain windows.  Both ways give the same rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -34,40 +35,58 @@ def _col(c: ColumnOrName) -> Column:
 class Ordered:
     """A DataFrame whose rows are scanned per key in a fixed order.
 
-    ``segments`` is None when no key had to be cut, else an upper bound on the number of
-    (key, segment) pairs of the cut keys.  Row-wise changes and filters keep the arrangement.
+    ``cut`` holds the rows of the keys that had to be cut, with their segment number, and
+    ``segments`` is an upper bound on the number of their (key, segment) pairs; both are None when
+    every key is small.  Row-wise changes and filters keep the arrangement.
     """
 
     def __init__(
-        self, df: DataFrame, keys: list[str], order: list[str], segments: int | None = None
+        self,
+        rest: DataFrame,
+        keys: list[str],
+        order: list[str],
+        cut: DataFrame | None = None,
+        segments: int | None = None,
     ):
-        self._df = df
+        self._rest = rest
+        self._cut = cut
         self.keys = keys
         self.order = order
         self.segments = segments
 
     @property
     def df(self) -> DataFrame:
-        """The rows, without the segment column."""
-        return self._df.drop(SEGMENT)
+        """All rows, without the segment column."""
+        if self._cut is None:
+            return self._rest
+        return self._rest.unionByName(self._cut.drop(SEGMENT))
 
-    def _with(self, df: DataFrame) -> Ordered:
-        return Ordered(df, self.keys, self.order, self.segments)
+    def _each(self, change: Callable[[DataFrame], DataFrame]) -> Ordered:
+        cut = None if self._cut is None else change(self._cut)
+        return Ordered(change(self._rest), self.keys, self.order, cut, self.segments)
 
     def with_columns(self, columns: dict[str, Column]) -> Ordered:
-        return self._with(self._df.withColumns(columns))
+        return self._each(lambda df: df.withColumns(columns))
 
     def filter(self, test: Column) -> Ordered:
-        return self._with(self._df.filter(test))
+        return self._each(lambda df: df.filter(test))
 
     def drop(self, *columns: str) -> Ordered:
-        return self._with(self._df.drop(*columns))
-
-    def _parts(self) -> list[str]:
-        return self.keys if self.segments is None else [*self.keys, SEGMENT]
-
-    def _window(self) -> WindowSpec:
-        return Window.partitionBy(*self._parts()).orderBy(*self.order)
+        return self._each(lambda df: df.drop(*columns))
+
+    def _scan(
+        self,
+        plain: Callable[[DataFrame, list[str]], DataFrame],
+        patched: Callable[[DataFrame], DataFrame],
+    ) -> Ordered:
+        rest = plain(self._rest, self.keys)
+        # Written out: the patch reads the cut rows twice, and a chain of scans must not double
+        # the work at every step.
+        cut = None if self._cut is None else keep(patched(self._cut))
+        return Ordered(rest, self.keys, self.order, cut, self.segments)
+
+    def _place(self) -> list[str]:
+        return [*self.keys, SEGMENT]
 
     # -- neighbours -------------------------------------------------------------------------
 
@@ -76,52 +95,53 @@ class Ordered:
 
         NULL when there is no such row.
         """
-        w = self._window()
-        if self.segments is None:
-            return self.with_columns({n: _at(_col(c), k, w) for n, (c, k) in columns.items()})
-
-        reach = max(abs(k) for _, k in columns.values())
-        raw = {f"_raw_{n}": _col(c) for n, (c, _) in columns.items()}
-        ahead = sorted({k for _, k in columns.values() if k > 0})
-        df = self._df.withColumns(raw).withColumns(
-            {
-                POSITION: F.row_number().over(w),
-                "_near_end": F.lead(F.lit(True), reach).over(w).isNull(),
-                **{f"_more_{k}": F.lead(F.lit(True), k).over(w).isNotNull() for k in ahead},
-                **{n: _at(F.col(f"_raw_{n}"), k, w) for n, (_, k) in columns.items()},
-            }
-        )
-        # The first and last `reach` rows of every segment, in order, hold every row that a
-        # neighbour across a border can need.
-        place = [*self.keys, SEGMENT, POSITION]
-        across = Window.partitionBy(*self.keys).orderBy(SEGMENT, POSITION)
-        border = (
-            df.filter((F.col(SEGMENT) > 0) & ((F.col(POSITION) <= reach) | F.col("_near_end")))
-            .select(*place, *raw)
-            .select(
-                *place,
-                *[
-                    _at(F.col(f"_raw_{n}"), k, across).alias(f"_border_{n}")
-                    for n, (_, k) in columns.items()
-                ],
+
+        def plain(df: DataFrame, parts: list[str]) -> DataFrame:
+            w = Window.partitionBy(*parts).orderBy(*self.order)
+            return df.withColumns({n: _at(_col(c), k, w) for n, (c, k) in columns.items()})
+
+        def patched(df: DataFrame) -> DataFrame:
+            w = Window.partitionBy(*self._place()).orderBy(*self.order)
+            reach = max(abs(k) for _, k in columns.values())
+            raw = {f"_raw_{n}": _col(c) for n, (c, _) in columns.items()}
+            ahead = sorted({k for _, k in columns.values() if k > 0})
+            df = df.withColumns(raw).withColumns(
+                {
+                    POSITION: F.row_number().over(w),
+                    "_near_end": F.lead(F.lit(True), reach).over(w).isNull(),
+                    **{f"_more_{k}": F.lead(F.lit(True), k).over(w).isNotNull() for k in ahead},
+                    **{n: _at(F.col(f"_raw_{n}"), k, w) for n, (_, k) in columns.items()},
+                }
+            )
+            # The first and last `reach` rows of every segment, in order, hold every row that a
+            # neighbour across a border can need.
+            spot = [*self._place(), POSITION]
+            across = Window.partitionBy(*self.keys).orderBy(SEGMENT, POSITION)
+            border = (
+                df.filter((F.col(POSITION) <= reach) | F.col("_near_end"))
+                .select(*spot, *raw)
+                .select(
+                    *spot,
+                    *[
+                        _at(F.col(f"_raw_{n}"), k, across).alias(f"_border_{n}")
+                        for n, (_, k) in columns.items()
+                    ],
+                )
             )
-        )
-        df = join_null_safe(df, small(border, 2 * reach * self.segments), place, "left")
-        patched = {}
-        for n, (_, k) in columns.items():
-            outside = F.col(POSITION) <= -k if k < 0 else ~F.col(f"_more_{k}")
-            patched[n] = F.when(
-                (F.col(SEGMENT) > 0) & outside, F.col(f"_border_{n}")
-            ).otherwise(F.col(n))
-        return self._with(
-            df.withColumns(patched).drop(
+            df = join_null_safe(df, small(border, 2 * reach * self.segments), spot, "left")
+            final = {}
+            for n, (_, k) in columns.items():
+                outside = F.col(POSITION) <= -k if k < 0 else ~F.col(f"_more_{k}")
+                final[n] = F.when(outside, F.col(f"_border_{n}")).otherwise(F.col(n))
+            return df.withColumns(final).drop(
                 POSITION,
                 "_near_end",
                 *raw,
                 *[f"_more_{k}" for k in ahead],
                 *[f"_border_{n}" for n in columns],
             )
-        )
+
+        return self._scan(plain, patched)
 
     # -- running values ---------------------------------------------------------------------
 
@@ -131,103 +151,92 @@ class Ordered:
         Kinds: ``sum`` (0 before the first value), ``last`` (last non-NULL value) and
         ``max_before`` (largest value strictly before this row).
         """
-        exprs = {n: _col(c) for n, (_, c) in columns.items()}
-        kinds = {n: kind for n, (kind, _) in columns.items()}
-        w = self._window()
-        local = self._df.withColumns(
-            {n: _RUNNING[kinds[n]][0](exprs[n], w) for n in columns}
-        )
-        if self.segments is None:
-            return self._with(local)
-
-        # One row per segment with its total, then the total of all earlier segments of the key.
-        totals = (
-            self._df.filter(F.col(SEGMENT) > 0)
-            .groupBy(*self._parts())
-            .agg(*[_TOTAL[kinds[n]](exprs[n], self.order).alias(f"_total_{n}") for n in columns])
-        )
-        earlier = (
-            Window.partitionBy(*self.keys)
-            .orderBy(SEGMENT)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        carry = totals.select(
-            *self._parts(),
-            *[_CARRY[kinds[n]](F.col(f"_total_{n}")).over(earlier).alias(f"_carry_{n}") for n in columns],
-        )
-        df = join_null_safe(local, small(carry, self.segments), self._parts(), "left")
-        joined = {
-            n: _RUNNING[kinds[n]][1](F.col(n), F.col(f"_carry_{n}")) for n in columns
-        }
-        return self._with(df.withColumns(joined).drop(*[f"_carry_{n}" for n in columns]))
+        kinds = {n: _KINDS[kind] for n, (kind, _) in columns.items()}
+        return self._running(kinds, {n: _col(c) for n, (_, c) in columns.items()}, F.asc)
 
     def following(self, **columns: ColumnOrName) -> Ordered:
         """Add the first non-NULL value found after this row, however far away."""
-        exprs = {n: _col(c) for n, c in columns.items()}
-        backwards = Window.partitionBy(*self._parts()).orderBy(*[F.desc(c) for c in self.order])
-        later = backwards.rowsBetween(Window.unboundedPreceding, -1)
-        local = self._df.withColumns(
-            {n: F.last(c, ignorenulls=True).over(later) for n, c in exprs.items()}
-        )
-        if self.segments is None:
-            return self._with(local)
-        firsts = (
-            self._df.filter(F.col(SEGMENT) > 0)
-            .groupBy(*self._parts())
-            .agg(
-                *[
-                    F.min_by(c, F.when(c.isNotNull(), F.struct(*self.order))).alias(f"_total_{n}")
-                    for n, c in exprs.items()
-                ]
+        kinds = {n: _FOLLOWING for n in columns}
+        return self._running(kinds, {n: _col(c) for n, c in columns.items()}, F.desc)
+
+    def _running(
+        self, kinds: dict[str, _Kind], exprs: dict[str, Column], way: Callable[[str], Column]
+    ) -> Ordered:
+        def plain(df: DataFrame, parts: list[str]) -> DataFrame:
+            w = Window.partitionBy(*parts).orderBy(*[way(c) for c in self.order])
+            return df.withColumns({n: kinds[n].local(c, w) for n, c in exprs.items()})
+
+        def patched(df: DataFrame) -> DataFrame:
+            # One row per segment with its total, then the total of the segments before it.
+            totals = df.groupBy(*self._place()).agg(
+                *[kinds[n].total(c, F.struct(*self.order)).alias(f"_total_{n}") for n, c in exprs.items()]
+            )
+            before = _before(Window.partitionBy(*self.keys).orderBy(way(SEGMENT)))
+            carry = totals.select(
+                *self._place(),
+                *[kinds[n].carry(F.col(f"_total_{n}")).over(before).alias(f"_carry_{n}") for n in exprs],
             )
-        )
-        after = (
-            Window.partitionBy(*self.keys)
-            .orderBy(F.desc(SEGMENT))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        carry = firsts.select(
-            *self._parts(),
-            *[F.last(f"_total_{n}", ignorenulls=True).over(after).alias(f"_carry_{n}") for n in columns],
-        )
-        df = join_null_safe(local, small(carry, self.segments), self._parts(), "left")
-        joined = {n: F.coalesce(F.col(n), F.col(f"_carry_{n}")) for n in columns}
-        return self._with(df.withColumns(joined).drop(*[f"_carry_{n}" for n in columns]))
+            local = plain(df, self._place())
+            out = join_null_safe(local, small(carry, self.segments), self._place(), "left")
+            return out.withColumns(
+                {n: kinds[n].join(F.col(n), F.col(f"_carry_{n}")) for n in exprs}
+            ).drop(*[f"_carry_{n}" for n in exprs])
+
+        return self._scan(plain, patched)
 
 
 def _at(value: Column, places: int, w: WindowSpec) -> Column:
     return F.lead(value, places).over(w) if places > 0 else F.lag(value, -places).over(w)
 
 
+def _before(w: WindowSpec) -> WindowSpec:
+    return w.rowsBetween(Window.unboundedPreceding, -1)
+
+
 def _so_far(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-# kind -> (value inside the segment, how to combine it with what earlier segments carry)
-_RUNNING: dict[str, tuple[Callable, Callable]] = {
-    "sum": (
-        lambda c, w: F.coalesce(F.sum(c).over(_so_far(w)), F.lit(0)),
-        lambda here, carry: here + F.coalesce(carry, F.lit(0)),
+@dataclass(frozen=True)
+class _Kind:
+    """A running value: inside a segment, of a whole segment, over earlier segments, combined."""
+
+    local: Callable[[Column, WindowSpec], Column]
+    total: Callable[[Column, Column], Column]
+    carry: Callable[[Column], Column]
+    join: Callable[[Column, Column], Column]
+
+
+def _last(c: Column) -> Column:
+    return F.last(c, ignorenulls=True)
+
+
+_KINDS = {
+    "sum": _Kind(
+        local=lambda c, w: F.coalesce(F.sum(c).over(_so_far(w)), F.lit(0)),
+        total=lambda c, order: F.sum(c),
+        carry=F.sum,
+        join=lambda here, carry: here + F.coalesce(carry, F.lit(0)),
     ),
-    "last": (
-        lambda c, w: F.last(c, ignorenulls=True).over(_so_far(w)),
-        lambda here, carry: F.coalesce(here, carry),
+    "last": _Kind(
+        local=lambda c, w: _last(c).over(_so_far(w)),
+        total=lambda c, order: F.max_by(c, F.when(c.isNotNull(), order)),
+        carry=_last,
+        join=lambda here, carry: F.coalesce(here, carry),
     ),
-    "max_before": (
-        lambda c, w: F.max(c).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        lambda here, carry: F.greatest(here, carry),
+    "max_before": _Kind(
+        local=lambda c, w: F.max(c).over(_before(w)),
+        total=lambda c, order: F.max(c),
+        carry=F.max,
+        join=lambda here, carry: F.greatest(here, carry),
     ),
 }
-_TOTAL: dict[str, Callable] = {
-    "sum": lambda c, order: F.sum(c),
-    "last": lambda c, order: F.max_by(c, F.when(c.isNotNull(), F.struct(*order))),
-    "max_before": lambda c, order: F.max(c),
-}
-_CARRY: dict[str, Callable] = {
-    "sum": F.sum,
-    "last": lambda c: F.last(c, ignorenulls=True),
-    "max_before": F.max,
-}
+_FOLLOWING = _Kind(
+    local=lambda c, w: _last(c).over(_before(w)),
+    total=lambda c, order: F.min_by(c, F.when(c.isNotNull(), order)),
+    carry=_last,
+    join=lambda here, carry: F.coalesce(here, carry),
+)
 
 
 def arrange(
@@ -255,10 +264,10 @@ def arrange(
     cut = keep(
         join_null_safe(df, names, keys, "left_semi")
         .repartitionByRange(pieces, *keys, *order)
-        .withColumn(SEGMENT, F.spark_partition_id() + 1)
+        .withColumn(SEGMENT, F.spark_partition_id())
     )
-    rest = join_null_safe(df, names, keys, "left_anti").withColumn(SEGMENT, F.lit(0))
-    return Ordered(rest.unionByName(cut), keys, order, pieces + hot.keys)
+    rest = join_null_safe(df, names, keys, "left_anti")
+    return Ordered(rest, keys, order, cut, pieces + hot.keys)
 
 
 def measured(df: DataFrame, keys: list[str], limit: int | None = None) -> Ordered | None:

@@ -46,7 +46,7 @@ def test_cut_keys_scan_like_uncut_keys(skewed):
 
 def test_segments_are_bounded(skewed):
     cut = arrange(skewed, ["k"], ["t", "id"], 60)
-    largest = cut._df.groupBy("k", "_segment").count().agg(F.max("count")).first()[0]
+    largest = cut._cut.groupBy("k", "_segment").count().agg(F.max("count")).first()[0]
     assert largest <= 120
 
 
