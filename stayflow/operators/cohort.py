@@ -154,10 +154,7 @@ def require_any(
     encounter: Column,
 ) -> DataFrame:
     """Cohort rows with a movement to a wanted place, or any known place for a wanted encounter."""
-    # Pairs are deduplicated before the shuffle: an encounter has few distinct departments.
-    visited = within(
-        movements.select("csn", "dept_id").distinct(), cohort, ["csn"], known=True
-    )
+    visited = within(movements.select("csn", "dept_id"), cohort, ["csn"]).distinct()
     seen = (
         join_dim(visited, departments, ["dept_id"])
         .groupBy("csn")

@@ -47,9 +47,12 @@ class Ordered:
         order: list[str],
         cut: DataFrame | None = None,
         segments: int | None = None,
+        patched: bool = False,
     ):
         self._rest = rest
         self._cut = cut
+        # does `cut` come from a scan that has not been written out?
+        self._patched = patched
         self.keys = keys
         self.order = order
         self.segments = segments
@@ -63,7 +66,7 @@ class Ordered:
 
     def _each(self, change: Callable[[DataFrame], DataFrame]) -> Ordered:
         cut = None if self._cut is None else change(self._cut)
-        return Ordered(change(self._rest), self.keys, self.order, cut, self.segments)
+        return Ordered(change(self._rest), self.keys, self.order, cut, self.segments, self._patched)
 
     def with_columns(self, columns: dict[str, Column]) -> Ordered:
         return self._each(lambda df: df.withColumns(columns))
@@ -80,10 +83,12 @@ class Ordered:
         patched: Callable[[DataFrame], DataFrame],
     ) -> Ordered:
         rest = plain(self._rest, self.keys)
-        # Written out: the patch reads the cut rows twice, and a chain of scans must not double
-        # the work at every step.
-        cut = None if self._cut is None else keep(patched(self._cut))
-        return Ordered(rest, self.keys, self.order, cut, self.segments)
+        if self._cut is None:
+            return Ordered(rest, self.keys, self.order)
+        # A patch reads the cut rows twice: written out between scans, so that a chain of them
+        # does not double the work at every step.
+        source = keep(self._cut) if self._patched else self._cut
+        return Ordered(rest, self.keys, self.order, patched(source), self.segments, True)
 
     def _place(self) -> list[str]:
         return [*self.keys, SEGMENT]

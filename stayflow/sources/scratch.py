@@ -13,15 +13,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL = "stayflow.localScratch"
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL, None)
     if folder:
         return folder.rstrip("/")
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="stayflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(_LOCAL, folder)
     return folder
 
 
