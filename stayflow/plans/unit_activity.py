@@ -9,7 +9,6 @@ from stayflow.functions.columns import like_ci, round_minute
 from stayflow.operators import cohort as pick
 from stayflow.operators.cohort import RunWindow, accumulate
 from stayflow.operators.intervals import (
-    ADMIT,
     IN_UNIT,
     TRANSFER,
     close_open_intervals,

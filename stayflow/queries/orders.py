@@ -81,7 +81,7 @@ def linked_by_merge(spark, folder):
         t.order_movements(spark, folder), encounters, t.customer_accounts(spark, folder), cohort, window,
         F.col("in_dttm") > F.lit(datetime(1996, 1, 1)), F.col("pat_class") != 103,
     )
-    listed = accumulate(cohort.withColumn("new", F.lit(0)).drop("new"), found, 1)
+    listed = accumulate(cohort, found, 1)
     return listed.filter("billed_as_op = 1").select("csn", "har")
 
 

@@ -11,7 +11,14 @@ from stayflow.operators import intervals as iv
 from stayflow.operators.joins import flag_if_exists, multi_class_keys
 from stayflow.operators.ordered import arrange
 from stayflow.operators.sequences import lead_if, next_matching, seq, seq_where, time_to_next
-from stayflow.operators.updates import close_last, drop_where, repair_trackers, set_where, upsert_by_key
+from stayflow.operators.updates import (
+    close_last,
+    drop_where,
+    repair_trackers,
+    repeated_first_keys,
+    set_where,
+    upsert_by_key,
+)
 from stayflow.queries import tables as t
 from stayflow.queries.fragments import MOVES, STAYS
 from stayflow.queries.registry import query
@@ -341,8 +348,6 @@ def repair_account_trackers(spark, folder):
 SELECT har FROM firsts WHERE n = 1 GROUP BY har HAVING count(DISTINCT csn) > 1"""
 )
 def doubled_first_stays(spark, folder):
-    from stayflow.operators.updates import repeated_first_keys
-
     stays, _ = t.kept_stays(spark, folder)
     return repeated_first_keys(stays.df, "har", "csn", "line")
 

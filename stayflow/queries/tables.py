@@ -6,7 +6,7 @@ movement lasts until the user's next event.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.operators.intervals import ADMIT, collapse_runs, mark_edges
@@ -37,7 +37,7 @@ def moves(spark: SparkSession, folder: str) -> Ordered:
     return arrange(log, ["csn"], ["in_dttm", "event_id"]).shift(out_dttm=("in_dttm", 1))
 
 
-def is_unit() -> "F.Column":
+def is_unit() -> Column:
     return F.col("dept").isin(UNITS)
 
 

@@ -1,7 +1,6 @@
 """Text grids."""
 
 from stayflow.sources.grid import clean_grid, clean_null_tokens, format_times, normalize_utc, read_grid, utc_columns
-from pyspark.sql import functions as F
 
 TEXT = """id\tname\tseen\tnote\tlater
 1\tNULL\t2023-05-01T10:11:12.345+0000\tplain\tnone

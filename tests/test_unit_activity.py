@@ -1,16 +1,13 @@
 """Golden encounters through the whole build, one build for all of them."""
 
-from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from stayflow.plans.schemas import OUTPUT
 from stayflow.plans.unit_activity import build
-from stayflow.sources.published import publish, read_published
 
-from .fixtures import DAY, WINDOW, Hospital, at
+from .fixtures import WINDOW, Hospital, at
 
 
 @pytest.fixture(scope="module")
