@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import sentencepiece_codec, token_prefix
+from stayflow.llm import sentencepiece_codec, simhash_index, token_prefix
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -49,3 +49,9 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("answer.n_tokens") > TOKEN_LIMIT).alias("over_limit"),
         F.col("answer.cut").alias("kept_chars"),
     )
+
+
+@query
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every text."""
+    return simhash_index.simhash_groups(table(spark, folder, "documents"), width=3, distance=3)
