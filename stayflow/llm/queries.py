@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import sentencepiece_codec, simhash_index, token_prefix
+from stayflow.llm import quality_crf, sentencepiece_codec, simhash_index, token_prefix
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -55,3 +55,21 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every text."""
     return simhash_index.simhash_groups(table(spark, folder, "documents"), width=3, distance=3)
+
+
+def labelled(spark: SparkSession, folder: str) -> DataFrame:
+    """The labels that a quality model may learn from."""
+    return table(spark, folder, "labels").filter(quality_crf.remainder("doc_id", 3) != 1)
+
+
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every text by a field fitted on the labels that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    field = quality_crf.train(docs, labelled(spark, folder))
+    scored = docs.select(
+        "doc_id",
+        F.coalesce(quality_crf.remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        quality_crf.quality("text", field).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
