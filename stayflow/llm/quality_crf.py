@@ -17,6 +17,7 @@ Repeated rows are scored alike; only the named columns are read.
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -245,11 +246,15 @@ def train(
             for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
                 x, _, _ = line_features([text])
                 yield pa.RecordBatch.from_pydict(
-                    {"x": [x.astype(np.float32).tobytes()], "label": [label], "order": [hash_of(text)]}
+                    {
+                        "x": pa.array([x.astype(np.float32).tobytes()], pa.binary()),
+                        "label": pa.array([label], pa.int32()),
+                        "order": pa.array([zlib.crc32(text.encode())], pa.int64()),
+                    }
                 )
 
     rows = chosen.select("text", "label").mapInArrow(features, "x binary, label int, `order` long").collect()
-    rows = sorted(rows, key=lambda r: (r["order"], r["label"]))
+    rows = sorted(rows, key=lambda r: (r["order"], r["label"]))  # however Spark delivers them
     label = np.array([r["label"] for r in rows], np.int64)
     if len(set(label.tolist())) < 2:
         share = float(label.mean()) if len(label) else 0.5

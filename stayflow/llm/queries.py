@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import quality_crf, sentencepiece_codec, simhash_index, token_prefix
+from stayflow.llm import mixing, quality_crf, sentencepiece_codec, simhash_index, token_prefix
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -73,3 +73,10 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
         quality_crf.quality("text", field).alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that the mixture takes."""
+    mix = mixing.Mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    return mix.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
