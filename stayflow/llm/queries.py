@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import mixing, quality_crf, sentencepiece_codec, simhash_index, token_prefix
+from stayflow.llm import bottomk, mixing, quality_crf, sentencepiece_codec, simhash_index, token_prefix
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -80,3 +80,23 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that the mixture takes."""
     mix = mixing.Mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return mix.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likeness."""
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = bottomk.with_next(docs, "doc_id", ["text"], {"sketch": bottomk.sketch("text")})
+    n = F.length("text")
+    cut = F.floor(n / 4).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next.text", F.lit(1), cut))
+    rows = rows.withColumn("edited", edited).withColumn("edited_sketch", bottomk.sketch("edited"))
+    return rows.select(
+        "doc_id",
+        n.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        bottomk.digits("sketch").alias("fingerprint"),
+        bottomk.digits("edited_sketch").alias("edited_fingerprint"),
+        bottomk.resemblance("sketch", "edited_sketch").alias("near_edited"),
+        bottomk.resemblance("sketch", "next.sketch").alias("near_next"),
+    )
