@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bottomk, mixing, quality_crf, sentencepiece_codec, simhash_index, token_prefix
+from stayflow.llm import bottomk, ctw, mixing, quality_crf, sentencepiece_codec, simhash_index, token_prefix
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -100,3 +100,21 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         bottomk.resemblance("sketch", "edited_sketch").alias("near_edited"),
         bottomk.resemblance("sketch", "next.sketch").alias("near_next"),
     )
+
+
+@query
+def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probability of every text by word frequencies and by context-tree weighting."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    train = F.coalesce(quality_crf.remainder("doc_id", 5) != 1, F.lit(True))
+    scored = ctw.score(docs, train)
+    return scored.select(
+        "doc_id",
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "n_bytes",
+    )
