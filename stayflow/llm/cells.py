@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 BLOCK = 2048
 
 
-def cells(entries: DataFrame, key: str, member: str, block: int = BLOCK) -> DataFrame:
+def cells(
+    entries: DataFrame, key: str, member: str, block: int = BLOCK, payload: DataFrame | None = None
+) -> DataFrame:
     """Entries of lists with two members or more, with ``cell`` and ``side`` (-1: one block only).
 
-    Rows are grouped by ``cell`` inside each partition.
+    Columns of ``payload`` are added by member, after lists of one have gone.  Rows are grouped by
+    ``cell`` inside each partition.
     """
     sizes = entries.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1")
     blocks = F.ceil(F.col("_n") / block).cast("int")
@@ -37,6 +40,8 @@ def cells(entries: DataFrame, key: str, member: str, block: int = BLOCK) -> Data
     )
     placed = placed.withColumn("cell", cell).withColumn("side", side.cast("int"))
     placed = placed.drop("_n", "_blocks", "_own", "_other")
+    if payload is not None:
+        placed = placed.join(payload, member)
     return placed.repartition(F.col("cell")).sortWithinPartitions("cell", key)
 
 

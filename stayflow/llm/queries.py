@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bottomk, ctw, mixing, quality_crf, sentencepiece_codec, simhash_index, token_prefix
+from stayflow.llm import (
+    bottomk,
+    ctw,
+    mixing,
+    pivot_index,
+    quality_crf,
+    sentencepiece_codec,
+    simhash_index,
+    token_prefix,
+)
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -118,3 +127,9 @@ def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         "n_bytes",
     )
+
+
+@query
+def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return pivot_index.near_vectors(table(spark, folder, "embeddings"), least=0.95)
