@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from stayflow.llm import (
     bottomk,
     ctw,
+    html_text,
+    licenses,
     mixing,
     pivot_index,
     quality_crf,
@@ -133,3 +135,17 @@ def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """Links and near-duplicate group of every vector."""
     return pivot_index.near_vectors(table(spark, folder, "embeddings"), least=0.95)
+
+
+@query
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url", html_text.extract("html").alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in every text: where they stand and how much of the template is there."""
+    docs = table(spark, folder, "documents").select("doc_id", licenses.scan("text").alias("found"))
+    return docs.select("doc_id", F.explode("found").alias("match")).select("doc_id", "match.*")
