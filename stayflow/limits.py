@@ -13,6 +13,9 @@ DEFAULTS = {
     "rowsPerTask": 2_000_000,
     # rows a side may have to be broadcast; larger sides are shuffled
     "broadcastRows": 500_000,
+    # bytes such a side may have, and what a text or nested cell is taken to have
+    "broadcastBytes": 64_000_000,
+    "bytesPerText": 40,
     # events of one interval that may be folded in one array; above it the split runs in rounds
     "eventsPerFold": 20_000,
     # segments of one range shuffle

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.columns import ONE_MINUTE, open_end, round_minute
 from stayflow.limits import limit as session_limit
-from stayflow.operators.joins import even, hot_keys, join_one, within, without
+from stayflow.operators.joins import even, hot_keys, join_one, may_broadcast, within, without
 from stayflow.operators.ordered import Ordered, arrange
 from stayflow.sources.scratch import keep
 
@@ -18,10 +19,10 @@ ADMIT = "ADMIT TO UNIT"
 TRANSFER = "TRANSFER FROM UNIT"
 IN_UNIT = "PATIENT IN UNIT"
 
-# overlapping intervals are handled one layer at a time, up to this depth
-_MAX_LAYERS = 8
-# dated records of one key that may be searched as a list
+# dated records of one key that may be searched as a list; longer histories are joined by time cell
 _RECORDS_PER_KEY = 200
+# widths of time cells as powers of two of a second: about an hour, and eight times that per level
+_CELL_BITS = range(12, 40, 3)
 
 
 # -- runs of rows ---------------------------------------------------------------------------
@@ -182,42 +183,6 @@ def keys_without_rows(
 # -- points and intervals -------------------------------------------------------------------
 
 
-def _latest_start(
-    points: DataFrame,
-    intervals: DataFrame,
-    keys: list[str],
-    at: str,
-    start: str,
-    end: str,
-    limit: int | None,
-    known: Ordered | None,
-) -> DataFrame:
-    """Each point with ``_hit``: the interval of its key that began last, not after the point.
-
-    Points and interval starts are merged into one ordered scan, so the work grows with the rows
-    and not with the pairs.  Among equal starts the one that ends last is taken.
-    """
-    point = points.select(
-        *keys,
-        F.col(at).alias("_at"),
-        F.lit(1).alias("_side"),
-        F.lit(None).cast("timestamp_ntz").alias("_until"),
-        F.struct(*[F.col(c) for c in points.columns]).alias("_point"),
-    )
-    begin = intervals.filter(F.col(start).isNotNull()).select(
-        *keys,
-        F.col(start).alias("_at"),
-        F.lit(0).alias("_side"),
-        open_end(end).alias("_until"),
-        F.struct(*[F.col(c) for c in intervals.columns]).alias("_interval"),
-    )
-    both = point.unionByName(begin, allowMissingColumns=True)
-    scan = arrange(both, keys, ["_at", "_side", "_until"], limit, known).running(
-        _hit=("last", "_interval")
-    )
-    return scan.df.filter(F.col("_side") == 1).select("_point.*", "_hit")
-
-
 def latest_record(
     facts: DataFrame,
     history: DataFrame,
@@ -231,83 +196,39 @@ def latest_record(
 ) -> DataFrame:
     """Dated-dimension join: each fact with the record valid at ``at`` (closed at both ends).
 
-    Of several valid records the one with the latest start wins.  Facts without a valid record
-    keep NULL in the taken columns (``{record column: new name}``).
+    Of several valid records the one with the latest start wins, then the one with the latest end,
+    then the greatest taken values.  Facts without a valid record, or with a NULL key, keep NULL in
+    the taken columns (``{record column: new name}``).  A small history sits beside every task, a
+    large one is joined by key and time cell; both give the same rows.
     """
-    columns = dict.fromkeys([*keys, start, end, *take])
-    records = history.select(*columns)
-    sizes = records.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).first()
-    if (sizes[0] or 0) <= session_limit(facts.sparkSession, "broadcastRows") and (
-        sizes[1] or 0
-    ) <= _RECORDS_PER_KEY:
-        return _latest_of_few(facts, records, keys, at, start, end, take)
-    done: list[DataFrame] = []
-    open_facts = facts
-    for _ in range(_MAX_LAYERS):
-        hit = _latest_start(open_facts, records, keys, at, start, end, limit, known)
-        valid = F.coalesce(F.col(at) <= open_end(F.col(f"_hit.{end}")), F.lit(False)) & F.col(
-            "_hit"
-        ).isNotNull()
-        # Only a record that reaches past the start of the next one can be valid where the
-        # latest-starting record is not.
-        order = [start, "_until"]
-        reaching = (
-            arrange(records.withColumn("_until", open_end(end)), keys, order, limit, known)
-            .shift(_next_start=(start, 1))
-            .filter(F.col("_until") >= F.col("_next_start"))
-            .df.drop("_next_start", "_until")
-        )
-        if reaching.isEmpty():
-            done.append(hit.withColumn("_hit", F.when(valid, F.col("_hit"))))
-            break
-        hit = keep(hit.withColumn("_valid", valid))
-        done.append(hit.filter("_valid").drop("_valid"))
-        open_facts = hit.filter("not _valid").drop("_valid", "_hit")
-        records = keep(reaching)
-    else:
-        done.append(_latest_valid_by_pairs(open_facts, records, keys, at, start, end, facts.columns))
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out.select(*facts.columns, *[F.col(f"_hit.{c}").alias(n) for c, n in take.items()])
-
-
-def _latest_of_few(facts, records, keys, at, start, end, take) -> DataFrame:
-    """:func:`latest_record` for a history small enough to sit beside every task."""
     record = F.struct(
         F.col(start).alias("_s"), open_end(end).alias("_e"), *[F.col(c) for c in take]
     )
-    lists = records.groupBy(*keys).agg(F.collect_list(record).alias("_records"))
-    held = facts.join(F.broadcast(lists), keys, "left")
-    valid = F.filter("_records", lambda r: (F.col(at) >= r["_s"]) & (F.col(at) <= r["_e"]))
-    return held.withColumn("_hit", F.array_max(valid)).select(
-        *facts.columns, *[F.col(f"_hit.{c}").alias(n) for c, n in take.items()]
-    )
+    records = history.select(*dict.fromkeys([*keys, start, end, *take])).withColumn("_record", record)
+    sizes = records.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).first()
+    if may_broadcast(records, sizes[0] or 0) and (sizes[1] or 0) <= _RECORDS_PER_KEY:
+        lists = records.groupBy(*keys).agg(F.collect_list("_record").alias("_records"))
+        held = facts.join(F.broadcast(lists), keys, "left")
+        valid = F.filter("_records", lambda r: (F.col(at) >= r["_s"]) & (F.col(at) <= r["_e"]))
+        found = held.withColumn("_hit", F.array_max(valid))
+    else:
+        numbered = keep(facts.withColumn("_fact", F.monotonically_increasing_id()))
+        spans = records.select(*keys, F.col(start).alias("_from"), F.col(end).alias("_to"), "_record")
+        narrow = numbered.select(*dict.fromkeys([*keys, at]), "_fact")
+        best = (
+            points_in_intervals(narrow, spans, keys, at, "_from", "_to")
+            .groupBy("_fact")
+            .agg(F.max("_interval._record").alias("_hit"))
+        )
+        found = numbered.join(best, "_fact", "left")
+    return found.select(*facts.columns, *[F.col(f"_hit.{c}").alias(n) for c, n in take.items()])
 
 
-def _latest_valid_by_pairs(facts, records, keys, at, start, end, columns) -> DataFrame:
-    """Rest of :func:`latest_record` when records overlap many layers deep."""
-    numbered = keep(facts.withColumn("_fact", F.expr("uuid()")))
-    held = records.select(
-        *[F.col(k).alias(f"_right_{k}") for k in keys],
-        F.struct(*[F.col(c) for c in records.columns]).alias("_record"),
-    )
-    test = (F.col(at) >= F.col(f"_record.{start}")) & (
-        F.col(at) <= open_end(F.col(f"_record.{end}"))
-    )
-    for k in keys:
-        test = test & (F.col(k) == F.col(f"_right_{k}"))
-    best = (
-        numbered.join(held, test, "inner")
-        .groupBy("_fact")
-        .agg(
-            F.max_by(
-                "_record",
-                F.struct(F.col(f"_record.{start}"), open_end(F.col(f"_record.{end}"))),
-            ).alias("_hit")
-        )
-    )
-    return numbered.join(best, "_fact", "left").select(*columns, "_hit")
+def _seconds(ts: Column | str) -> Column:
+    """Whole seconds since 1970 of a timestamp without a time zone; NULL for NULL."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    day = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return day * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def points_in_intervals(
@@ -322,64 +243,43 @@ def points_in_intervals(
 ) -> DataFrame:
     """Every (point, interval) pair of a key with the point inside the closed interval.
 
-    Output: the point's columns and ``_interval`` (a struct of the interval's columns).  Intervals
-    are peeled into layers of intervals that at most touch; each layer is one ordered scan.
+    Output: the point's columns and ``_interval`` (a struct of the interval's columns).  NULL keys
+    match nothing.  An interval is entered in the one or two time cells that it touches on the level
+    whose cells are about as wide as it is; a point looks into its cell on every level.  So one
+    equi-join on key, level and cell finds all pairs at any depth of nesting, the rows of one key are
+    spread by time, and only neighbours in time are compared.
     """
-    body = [*intervals.columns, "_until"]
-    rest = intervals.withColumn("_until", open_end(end)).filter(F.col("_until") >= F.col(start))
-    found: list[DataFrame] = []
-    for depth in range(_MAX_LAYERS + 1):
-        if depth and rest.isEmpty():
-            break
-        if depth == _MAX_LAYERS:
-            found.append(_pairs(points, rest, keys, at, start))
-            break
-        scan = arrange(rest, keys, [start, "_until"], limit, known).running(
-            _covered=("max_before", "_until"), _began=("max_before", start)
-        )
-        clear = F.col("_covered").isNull() | (
-            (F.col(start) >= F.col("_covered")) & (F.col(start) > F.col("_began"))
-        )
-        # In a layer a point lies in the interval that began last, and where two intervals touch
-        # also in the one before it.
-        layer = scan.filter(clear).with_columns({"_self": F.struct(*body)})
-        layer = layer.shift(_before=("_self", -1)).with_columns(
-            {"_touching": F.when(F.col("_before._until") == F.col(start), F.col("_before"))}
-        )
-        hit = _latest_start(
-            points,
-            layer.df.select(*keys, start, "_until", "_self", "_touching"),
-            keys,
-            at,
-            start,
-            "_until",
-            limit,
-            known,
-        )
-        inside = F.filter(
-            F.array("_hit._self", "_hit._touching"), lambda h: F.col(at) <= h["_until"]
-        )
-        found.append(hit.withColumn("_hit", F.explode(inside)))
-        rest = scan.filter(~clear).df.select(*body)
-        if depth:
-            rest = keep(rest)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    fields = [F.col(f"_hit.{c}").alias(c) for c in intervals.columns]
-    return out.withColumn("_interval", F.struct(*fields)).drop("_hit")
-
-
-def _pairs(points, intervals, keys, at, start) -> DataFrame:
-    """Matches with intervals nested deeper than the layers go."""
+    span = F.struct(*[F.col(c) for c in intervals.columns]).alias("_interval")
     held = intervals.select(
         *[F.col(k).alias(f"_right_{k}") for k in keys],
-        F.struct(*[F.col(c) for c in intervals.columns]).alias("_hit"),
+        F.col(start).alias("_from"),
+        open_end(end).alias("_until"),
+        span,
+    ).filter("_until >= _from")
+    length = _seconds("_until") - _seconds("_from")
+    level = F.lit(_CELL_BITS[-1])
+    for bits in reversed(_CELL_BITS[:-1]):
+        level = F.when(length < (1 << bits), bits).otherwise(level)
+    widths = F.array(*[F.lit(bits) for bits in _CELL_BITS])
+    first, last = (F.expr(f"shiftright({n}, _level)") for n in ("_first", "_last"))
+    held = (
+        held.withColumns({"_level": level, "_first": _seconds("_from"), "_last": _seconds("_until")})
+        .withColumn("_cell", F.explode(F.sequence(first, last)))
+        .drop("_first", "_last")
+    )
+    seen = (
+        points.filter(F.col(at).isNotNull())
+        .withColumns({"_level": F.explode(widths), "_second": _seconds(at)})
+        .withColumn("_cell", F.expr("shiftright(_second, _level)"))
+        .drop("_second")
     )
-    test = F.col(at).between(F.col(f"_hit.{start}"), F.col("_hit._until"))
+    test = F.col(at).between(F.col("_from"), F.col("_until"))
+    for c in ("_level", "_cell"):
+        held = held.withColumnRenamed(c, f"_right{c}")
+        test = test & (F.col(c) == F.col(f"_right{c}"))
     for k in keys:
         test = test & (F.col(k) == F.col(f"_right_{k}"))
-    return points.join(held, test, "inner").drop(*[f"_right_{k}" for k in keys])
+    return seen.join(held, test, "inner").select(*points.columns, "_interval")
 
 
 def count_in_interval(
@@ -400,11 +300,12 @@ def count_in_interval(
     ``ids`` identify an interval.  ``unlike=(point column, interval column)`` leaves out points
     where the two are equal or NULL.  Points are never paired with intervals: the count is the
     running count at the interval's end less the one just before its start, and points to leave
-    out are counted the same way on the finer key.  An interval without an end counts nothing.
+    out are counted the same way on the finer key.  An interval without an end or with a NULL key
+    counts nothing.
     """
-    use = points
+    use = points.dropna(subset=keys)
     if unlike:
-        use = points.filter(F.col(unlike[0]).isNotNull())
+        use = use.filter(F.col(unlike[0]).isNotNull())
     total = _running_counts(use, intervals, keys, ids, at, start, end, limit, known)
     if unlike is None:
         counts = total
@@ -435,7 +336,7 @@ def count_in_interval(
 
 def _running_counts(points, intervals, grain, ids, at, start, end, limit, known) -> DataFrame:
     """``ids`` and ``_count`` for every interval with both ends."""
-    real = intervals.filter(F.col(end) >= F.col(start))
+    real = intervals.filter(F.col(end) >= F.col(start)).dropna(subset=grain)
     dot = points.filter(F.col(at).isNotNull()).select(
         *grain, F.col(at).alias("_at"), F.lit(1).alias("_side")
     )
@@ -500,7 +401,7 @@ def split_on_change(
     event_state: str,
     as_of: datetime,
     min_gap: str = ONE_MINUTE,
-    max_cuts: int = 10,
+    max_cuts: int | None = None,
     limit: int | None = None,
     events_per_fold: int | None = None,
     may_restart: Callable[[DataFrame], DataFrame] | None = None,
@@ -511,8 +412,8 @@ def split_on_change(
 
     Events are taken in time order.  One cuts if its state is known and differs from the current
     one, it is at least ``min_gap`` after the start and after the last cut, and at least
-    ``min_gap`` before the end (up to ``as_of`` when open).  At most ``max_cuts`` cuts are made
-    and an interval with unknown state is never cut.  ``may_restart`` may add ``_restart`` to the
+    ``min_gap`` before the end (up to ``as_of`` when open).  At most ``max_cuts`` cuts are made (None:
+    as many as there are) and an interval with unknown state is never cut.  ``may_restart`` may add ``_restart`` to the
     matched events (``_at`` and the intervals' ``carry`` columns): where it is false, the piece
     that begins at the event is not cut again.
 
@@ -576,7 +477,9 @@ def _cuts_by_fold(owned: DataFrame, ids: list[str], gap: Column, max_cuts: int)
     )
 
     def step(cuts: Column, event: Column) -> Column:
-        cut = (F.size(cuts) < max_cuts) & _cuts_here(event, cuts, gap)
+        cut = _cuts_here(event, cuts, gap)
+        if max_cuts is not None:
+            cut = (F.size(cuts) < max_cuts) & cut
         return F.when(cut, F.array_append(cuts, event)).otherwise(cuts)
 
     return logs.select(
@@ -585,7 +488,7 @@ def _cuts_by_fold(owned: DataFrame, ids: list[str], gap: Column, max_cuts: int)
 
 
 def _cuts_in_rounds(
-    owned: DataFrame, ids: list[str], gap: Column, max_cuts: int, shares: int = 32
+    owned: DataFrame, ids: list[str], gap: Column, max_cuts: int | None, shares: int = 32
 ) -> DataFrame:
     """The same cuts for intervals with too many events for one array.
 
@@ -598,7 +501,7 @@ def _cuts_in_rounds(
     cuts = owned.groupBy(*ids).agg(
         F.first("_state").alias("_state"), F.first("_from").alias("_from")
     ).withColumn("_cuts", F.array().cast(_CUTS))
-    for _ in range(max_cuts):
+    for _ in count() if max_cuts is None else range(max_cuts):
         repeated = cuts.withColumn(
             "_share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint")))
         )

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 from stayflow.limits import limit as session_limit
 
@@ -39,9 +40,22 @@ def even(known, keys: list[str]) -> bool:
     return known.segments is None and known.keys == keys
 
 
+def may_broadcast(df: DataFrame, rows: int) -> bool:
+    """Is a side of that many rows small enough to be sent to every task, by rows and by bytes?
+
+    The width of a row is taken from the types: variable ones count ``stayflow.bytesPerText``.
+    """
+    spark = df.sparkSession
+    if rows > session_limit(spark, "broadcastRows"):
+        return False
+    text = session_limit(spark, "bytesPerText")
+    width = sum(8 if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, (StringType, BinaryType)) else text for f in df.schema)
+    return rows * width <= session_limit(spark, "broadcastBytes")
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast hint for a side known to have at most ``rows`` rows, if that is few enough."""
-    return F.broadcast(df) if rows <= session_limit(df.sparkSession, "broadcastRows") else df
+    return F.broadcast(df) if may_broadcast(df, rows) else df
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -95,8 +109,7 @@ def join_one(
 
 def join_dim(df: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join to a dimension with one row per key: broadcast once its size is known to be small."""
-    rows = dim.count()
-    if rows <= session_limit(df.sparkSession, "broadcastRows"):
+    if may_broadcast(dim, dim.count()):
         return df.join(F.broadcast(dim), keys, how)
     return join_one(df, dim, keys, how)
 
@@ -155,13 +168,18 @@ def join_any_key(
     """Rows of ``left`` whose ``key`` equals any of several columns of ``right``.
 
     One row per distinct value of the alternative columns, then an equi-join: no OR condition and
-    no pair twice.
+    no pair twice.  Values are compared in the common type of the columns.  Hot values are spread
+    on the side that repeats them: the right one where ``left`` has few rows per key.
     """
-    options = F.array_distinct(F.array(*[F.col(c).cast("bigint") for c in right_keys]))
-    tall = right.withColumn("_any_key", F.explode(options))
+    options = F.array_distinct(F.array(*[F.col(c) for c in right_keys]))
+    tall = right.withColumn("_any_key", F.explode(options)).filter("_any_key is not null")
+    named = left.withColumn("_any_key", F.col(key))
     if how in ("left_semi", "left_anti"):
-        tall = tall.select("_any_key").distinct()
-    named = left.withColumn("_any_key", F.col(key).cast("bigint"))
+        return join_one(named, tall.select("_any_key").distinct(), ["_any_key"], how).drop("_any_key")
+    if how == "inner" and hot_keys(named, ["_any_key"]) is None:
+        # the left side has few rows per key, so it may be repeated for the shares of a hot right key
+        found = join_one(tall, named, ["_any_key"], how)
+        return found.select(*[F.col(c) for c in left.columns], *[F.col(c) for c in right.columns])
     return join_one(named, tall, ["_any_key"], how).drop("_any_key")
 
 
@@ -195,9 +213,9 @@ def only_code(
     charges: DataFrame, key: str, code: str, amount: str, only: str, excluded: list[str]
 ) -> DataFrame:
     """Keys with a positive net amount on ``only`` and no row at all on an excluded code."""
-    is_only = F.col(code) == only
-    sums = charges.groupBy(key).agg(
-        F.sum(F.when(is_only, F.col(amount))).alias("_net"),
+    named = charges.filter(F.col(code).isin([only, *excluded]))  # before the shuffle
+    sums = named.groupBy(key).agg(
+        F.sum(F.when(F.col(code) == only, F.col(amount))).alias("_net"),
         F.max(F.when(F.col(code).isin(excluded), 1)).alias("_other"),
     )
     return sums.filter((F.col("_net") > 0) & F.col("_other").isNull()).select(key)

@@ -30,7 +30,7 @@ def lead_if(rows: Ordered, value: str, test: Column, name: str) -> Ordered:
 
 
 def next_matching(
-    rows: Ordered, value: str, test: Column, name: str, max_ahead: int = 4
+    rows: Ordered, value: str, test: Column, name: str, max_ahead: int
 ) -> Ordered:
     """Value of the first of the next ``max_ahead`` rows for which the test holds."""
     steps = [f"_{name}_{k}" for k in range(1, max_ahead + 1)]

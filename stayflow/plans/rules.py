@@ -143,3 +143,8 @@ def site(columns: dict[str, str]) -> Column:
         [(F.col(columns[c]).isin(*values), label) for c, values, label in SITE_RULES],
         F.lit(UNKNOWN_SITE),
     )
+
+
+# how many changes of the level of care cut one stay, and how far the next unit is looked for
+MOST_CUTS = 10
+ROWS_AHEAD = 4

@@ -29,6 +29,7 @@ from stayflow.operators.joins import (
     join_one,
     multi_class_keys,
     only_code,
+    within,
 )
 from stayflow.operators.ordered import Ordered, arrange, measured
 from stayflow.operators.sequences import next_matching, seq, seq_where, time_to_next
@@ -72,7 +73,7 @@ def find_encounters(
     ).withColumn("billed_as_op", F.lit(0))
     if compare:
         if window.as_of.day not in (1, 2):
-            chosen = accumulate(chosen, pick.changed_end(known, classed, window), 0)
+            chosen = accumulate(chosen, pick.changed_end(known, t["encounters"], window), 0)
         for stored_flag, new_flag in ((0, 1), (1, 0)):
             flipped = pick.flag_flip(known, classed, window, from_=stored_flag)
             chosen = accumulate(chosen, flipped, new_flag)
@@ -149,8 +150,12 @@ def departments(t: Tables) -> DataFrame:
 
 
 def cohort_movements(t: Tables, chosen: DataFrame, dept: DataFrame) -> DataFrame:
-    """All movements of the chosen encounters with their department; the one pass over history."""
-    moves = join_one(t["movements"], chosen, ["csn"])
+    """All movements of the chosen encounters with their department.
+
+    Encounters that are not in the encounter table have none.
+    """
+    known = within(chosen, t["encounters"], ["csn"], known=True)
+    moves = join_one(t["movements"], known, ["csn"])
     return join_dim(moves, dept, ["dept_id"]).filter(F.col("csn").isNotNull())
 
 
@@ -213,6 +218,7 @@ def split_by_care(typed: DataFrame, t: Tables, known: Ordered | None = None) ->
         "effective_dttm",
         "_care",
         as_of=t["as_of"],
+        max_cuts=rules.MOST_CUTS,
         may_restart=still_mixed,
         carry=["dept_id", "hosp"],
         known=_events_known(events, known),
@@ -394,7 +400,7 @@ def next_unit(rows: Ordered) -> Ordered:
     ).drop("_next")
 
     is_unit_type = F.col("unit_stay_type").isin(*rules.NEXT_TYPES)
-    ahead = next_matching(first, "unit_stay_type", is_unit_type, "_ahead").shift(
+    ahead = next_matching(first, "unit_stay_type", is_unit_type, "_ahead", rules.ROWS_AHEAD).shift(
         _ahead_dept=("dept_id", 1)
     )
     empty = (
@@ -499,7 +505,9 @@ def add_churn(stays: DataFrame, moves: DataFrame, known: Ordered | None = None)
 
 def add_flags(stays: DataFrame, t: Tables, known: Ordered | None = None) -> DataFrame:
     """Normal newborn and hospice flags.  Gap rows have no value unless the flag is set."""
-    coded = join_dim(t["charges"], t["rev_codes"], ["rev_code_id"])
+    codes = t["rev_codes"].filter(F.col("revenue_code").isin([rules.NEWBORN_CODE, *rules.NICU_CODES]))
+    run = stays.select("har").distinct()
+    coded = within(join_dim(t["charges"], codes, ["rev_code_id"]), run, ["har"])
     newborns = only_code(
         coded, "har", "revenue_code", "amount", rules.NEWBORN_CODE, list(rules.NICU_CODES)
     )

@@ -178,7 +178,7 @@ SELECT event_id, CASE WHEN d1 IN ('view', 'click', 'purchase') THEN d1 WHEN d2 I
 FROM ahead"""
 )
 def next_matching_unit(spark, folder):
-    rows = next_matching(t.moves(spark, folder), "dept", t.is_unit(), "next_unit")
+    rows = next_matching(t.moves(spark, folder), "dept", t.is_unit(), "next_unit", max_ahead=4)
     return rows.df.select("event_id", "next_unit")
 
 
@@ -188,7 +188,7 @@ def next_matching_unit(spark, folder):
 SELECT event_id, CASE WHEN d IN ('view', 'click', 'purchase') THEN d END AS next_unit FROM ahead"""
 )
 def lead_if_unit(spark, folder):
-    return lead_if(t.moves(spark, folder), "dept", t.is_unit(), "next_unit").df.select("event_id", "next_unit")
+    return lead_if(t.moves(spark, folder), "dept", t.is_unit(), "next_unit", max_ahead=4).df.select("event_id", "next_unit")
 
 
 @query(

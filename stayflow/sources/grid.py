@@ -43,21 +43,36 @@ def utc_columns(df: DataFrame, first_by: list[str] | None = None) -> list[str]:
     ]
 
 
+def _utc_time(c: str):
+    return F.try_to_timestamp(
+        F.concat(F.substring(c, 1, 10), F.lit(" "), F.substring(c, 12, 8)),
+        F.lit("yyyy-MM-dd HH:mm:ss"),
+    ).cast("timestamp_ntz")
+
+
+def _blank(c: str):
+    tokens = [t.lower() for t in NULL_TOKENS]
+    return F.col(c).isNull() | (F.trim(c) == "") | F.lower(F.col(c)).isin(tokens)
+
+
 def normalize_utc(
     df: DataFrame, columns: list[str] | None = None, first_by: list[str] | None = None
 ) -> DataFrame:
     """Turn UTC text columns into timestamps.
 
     Date and time of day are taken as written: fraction and offset are dropped, not applied.
-    Blank cells stay blank.
+    Blank cells and null tokens are empty.  A cell that is no such time stops the run and is named in the error.
     """
     found = utc_columns(df, first_by) if columns is None else columns
+    wrong = "no UTC time in column {}: "
     return df.withColumns(
         {
-            c: F.try_to_timestamp(
-                F.concat(F.substring(c, 1, 10), F.lit(" "), F.substring(c, 12, 8)),
-                F.lit("yyyy-MM-dd HH:mm:ss"),
-            ).cast("timestamp_ntz")
+            c: F.when(_blank(c), F.lit(None).cast("timestamp_ntz")).otherwise(
+                F.coalesce(
+                    _utc_time(c),
+                    F.raise_error(F.concat(F.lit(wrong.format(c)), F.col(c))).cast("timestamp_ntz"),
+                )
+            )
             for c in found
         }
     )
@@ -74,7 +89,15 @@ def format_times(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def clean_grid(df: DataFrame, first_by: list[str] | None = None) -> DataFrame:
-    """Empty null tokens, then convert and format the UTC columns, as one projection each."""
+    """Empty null tokens, then show the UTC columns as times, as one projection each.
+
+    Cells of such a column that are no UTC time keep their text.
+    """
     cleaned = clean_null_tokens(df)
-    found = utc_columns(cleaned, first_by)
-    return format_utc(normalize_utc(cleaned, found), found)
+    shown = {
+        c: F.when(
+            ~_blank(c), F.coalesce(F.date_format(_utc_time(c), "MM/dd/yyyy HH:mm:ss"), F.col(c))
+        )
+        for c in utc_columns(cleaned, first_by)
+    }
+    return cleaned.withColumns(shown)

@@ -1,10 +1,15 @@
-"""The published stay table: Parquet, partitioned by the month in which a stay began."""
+"""The published stay table: Parquet in versions, by the month in which a stay began.
+
+``path/data/<version>/`` holds the months that one run has rewritten, and ``path/manifest/<version>/``
+lists for every month of the table the version that holds it.  A version counts once Spark has marked
+its manifest complete, which is the last thing a run does: a run that dies earlier changes nothing and
+can be repeated.  Readers take the newest complete manifest.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from stayflow.operators.joins import within
 from stayflow.operators.updates import doubled_encounters, renumber_accounts, upsert_by_key
@@ -12,47 +17,103 @@ from stayflow.plans.schemas import OUTPUT
 from stayflow.sources.scratch import keep
 
 MONTH = "STAY_MONTH"
-# a month is written by up to this many tasks
-_FILES_PER_MONTH = 16
+# the month of stays without a beginning
+NO_MONTH = "none"
+_FOLDER = "month"
+_ROWS_PER_FILE = 2_000_000
+_SCHEMA = f"{OUTPUT}, {MONTH} string"
+
+
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _versions(spark: SparkSession, path: str, kind: str, complete: bool = True) -> list[int]:
+    """Versions under ``path/kind``, oldest first; other errors than a missing folder are raised."""
+    system, folder = _files(spark, f"{path}/{kind}")
+    if not system.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(folder)]
+    done = [
+        int(n)
+        for n in names
+        if n.isdigit()
+        and (not complete or system.exists(_files(spark, f"{path}/{kind}/{n}/_SUCCESS")[1]))
+    ]
+    return sorted(done)
+
+
+def _months(spark: SparkSession, path: str) -> dict[str, int]:
+    """Each month of the table with the version that holds it: a few hundred entries."""
+    versions = _versions(spark, path, "manifest")
+    if not versions:
+        return {}
+    listed = spark.read.schema("month string, version long").parquet(f"{path}/manifest/{versions[-1]}")
+    return {r["month"]: r["version"] for r in listed.collect()}
+
+
+def _read(spark: SparkSession, path: str, months: dict[str, int]) -> DataFrame:
+    folders = [f"{path}/data/{v}/{_FOLDER}={m}" for m, v in sorted(months.items())]
+    if not folders:
+        return spark.createDataFrame([], _SCHEMA)
+    return spark.read.schema(_SCHEMA).parquet(*folders)
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     """The table as of now, or an empty one before the first run."""
-    schema = f"{OUTPUT}, {MONTH} string"
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    return _read(spark, path, _months(spark, path))
 
 
 def publish(spark: SparkSession, path: str, batch: DataFrame) -> None:
     """Replace the batch's encounters in the published table and repair account trackers.
 
-    Only the months that hold rows of an affected encounter are read in full and rewritten.  Their
-    new content goes to scratch first, so the last step reads nothing it overwrites and can be
-    repeated.
+    Only the months that hold rows of an affected encounter are read in full and written anew; the
+    other months stay where they are.
     """
     batch = keep(batch.withColumn(MONTH, F.date_format("UNIT_IN_DTTM", "yyyy-MM")))
-    stored = read_published(spark, path)
+    held = _months(spark, path)
+    stored = _read(spark, path, held)
     doubled = keep(doubled_encounters(upsert_by_key(stored, batch, ["PAT_ENC_CSN"])))
     affected = doubled.union(batch.select("PAT_ENC_CSN")).distinct()
-    touched = (
-        within(stored, affected, ["PAT_ENC_CSN"])
-        .select(MONTH)
-        .union(batch.select(MONTH))
-        .distinct()
-    )
-    months = [r[MONTH] for r in touched.collect()]  # calendar months: a few hundred at most
-    part = stored.filter(F.col(MONTH).isin(months))
+    touched = within(stored, affected, ["PAT_ENC_CSN"]).select(MONTH).union(batch.select(MONTH))
+    # calendar months: a few hundred at most
+    changed = {r[0] or NO_MONTH for r in touched.distinct().collect()}
+    part = _read(spark, path, {m: v for m, v in held.items() if m in changed})
     new = keep(renumber_accounts(upsert_by_key(part, batch, ["PAT_ENC_CSN"]), doubled))
+    rows = {r[0] or NO_MONTH: r["count"] for r in new.groupBy(MONTH).count().collect()}
+    version = max([0, *_versions(spark, path, "data", complete=False)]) + 1
+    if rows:
+        _write(new, f"{path}/data/{version}", rows)
+    months = {m: v for m, v in held.items() if m not in changed} | dict.fromkeys(rows, version)
+    manifest = spark.createDataFrame(sorted(months.items()), "month string, version long")
+    manifest.coalesce(1).write.parquet(f"{path}/manifest/{version}")
+
+
+def _write(new: DataFrame, path: str, rows: dict[str, int]) -> None:
+    """One folder per month, with as many files as its rows ask for."""
+    shares = F.create_map(*[F.lit(x) for m, n in rows.items() for x in (m, -(-n // _ROWS_PER_FILE))])
+    folder = F.coalesce(MONTH, F.lit(NO_MONTH))
+    share = F.pmod(F.xxhash64("PAT_ENC_CSN"), F.element_at(shares, F.col(_FOLDER)))
     (
-        new.repartition(MONTH, F.pmod(F.xxhash64("PAT_ENC_CSN"), F.lit(_FILES_PER_MONTH)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
+        new.withColumn(_FOLDER, folder)
+        .withColumn("_share", share)
+        .repartition(_FOLDER, "_share")
+        .drop("_share")
+        .write.partitionBy(_FOLDER)
         .parquet(path)
     )
-    left = {r[MONTH] for r in new.select(MONTH).distinct().collect()}
-    for month in set(months) - left:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MONTH}={month}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def forget_old_versions(spark: SparkSession, path: str) -> None:
+    """Delete the versions that the newest manifest does not use, and what dead runs have left.
+
+    Not to be called while readers of an older version are at work.
+    """
+    used = set(_months(spark, path).values())
+    done = _versions(spark, path, "manifest")
+    stale = [f"data/{v}" for v in _versions(spark, path, "data", complete=False) if v not in used]
+    stale += [f"manifest/{v}" for v in _versions(spark, path, "manifest", complete=False) if v not in done[-1:]]
+    for name in stale:
+        system, folder = _files(spark, f"{path}/{name}")
+        system.delete(folder, True)

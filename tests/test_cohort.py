@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
+from stayflow.operators import cohort
 from stayflow.operators.cohort import RunWindow
 from stayflow.plans.schemas import OUTPUT
 from stayflow.plans.unit_activity import find_encounters
@@ -76,8 +77,21 @@ def test_historical_runs_skip_the_comparison(inputs):
     }
 
 
-def test_changed_ends_rest_on_the_first_days_of_a_month():
-    assert RunWindow(date(2024, 3, 2)).as_of.day in (1, 2)
+def test_changed_ends_rest_on_the_first_days_of_a_month(inputs, monkeypatch):
+    """The comparison of discharge times is asked for on the third, not on the first and second."""
+    asked = []
+    real = cohort.changed_end
+    monkeypatch.setattr(cohort, "changed_end", lambda *a, **k: asked.append(a[2].as_of.day) or real(*a, **k))
+    for day in (1, 2, 3):
+        find_encounters(*inputs, RunWindow(date(2024, 3, day)))
+    assert asked == [3]
+
+
+def test_changed_end_needs_no_account(spark):
+    stored = spark.createDataFrame([(1, 10, "DISCHARGED", datetime(2024, 3, 9), 0), (2, None, "DISCHARGED", datetime(2024, 3, 9), 0)], "csn long, har long, unit_status string, unit_out_dttm timestamp_ntz, billed_as_op int")
+    now = spark.createDataFrame([(1, 10, datetime(2024, 3, 9)), (2, None, datetime(2024, 3, 10))], "csn long, har long, disch_dttm timestamp_ntz")
+    got = cohort.changed_end(stored, now, RunWindow(date(2024, 3, 12))).collect()
+    assert [(r["csn"], r["har"]) for r in got] == [(2, None)]
 
 
 def test_window_bounds():

@@ -1,5 +1,7 @@
 """Text grids."""
 
+import pytest
+
 from stayflow.sources.grid import clean_grid, clean_null_tokens, format_times, normalize_utc, read_grid, utc_columns
 
 TEXT = """id\tname\tseen\tnote\tlater
@@ -38,3 +40,13 @@ def test_one_cell_decides(spark, tmp_path):
 def test_short_times(spark):
     df = spark.sql("SELECT timestamp_ntz'2023-05-01 07:08:09' AS t")
     assert format_times(df, ["t"]).first()["t"] == "5/1/2023 7:08"
+
+
+def test_cells_that_are_no_time_are_kept(spark):
+    rows = [("1", "2023-05-01T10:11:12.345Z"), ("2", "not yet known"), ("3", "2023-05-01 10:11"), ("4", " "), ("5", None)]
+    df = spark.createDataFrame(rows, "id string, seen string")
+    got = [r["seen"] for r in clean_grid(df, first_by=["id"]).orderBy("id").collect()]
+    assert got == ["05/01/2023 10:11:12", "not yet known", "2023-05-01 10:11", None, None]
+    with pytest.raises(Exception, match="no UTC time in column seen"):
+        normalize_utc(df, first_by=["id"]).collect()
+    assert [r["seen"] for r in normalize_utc(df.filter("id > '3'"), ["seen"]).collect()] == [None, None]

@@ -44,11 +44,8 @@ def inside(p, s):
     return p[0] == s[0] and s[1] <= p[1] and (s[2] is None or p[1] <= s[2])
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-@pytest.mark.parametrize("layers", [5, 2])
-def test_points_in_overlapping_intervals(tables, data, limit, layers, monkeypatch):
-    monkeypatch.setattr(iv, "_MAX_LAYERS", layers)
-    got = iv.points_in_intervals(*tables, ["k"], "at", "s", "e", limit)
+def test_points_in_overlapping_intervals(tables, data):
+    got = iv.points_in_intervals(*tables, ["k"], "at", "s", "e")
     pairs = sorted((r["pid"], r["_interval"]["sid"]) for r in got.collect())
     assert pairs == sorted((p[2], s[3]) for p in data[0] for s in data[1] if inside(p, s))
 
@@ -67,21 +64,51 @@ def test_counts_without_pairs(tables, data, limit, unlike):
         assert counts[s[3]] == len(want)
 
 
-@pytest.mark.parametrize("way", ["list", "scan", "cut scan", "pairs"])
-def test_latest_record_wins(spark, tables, data, way, monkeypatch):
-    if way != "list":
+@pytest.mark.parametrize("way", ["list", "cells"])
+def test_latest_record_wins(tables, data, way, monkeypatch):
+    if way == "cells":
         monkeypatch.setattr(iv, "_RECORDS_PER_KEY", 1)
-    if way == "pairs":
-        monkeypatch.setattr(iv, "_MAX_LAYERS", 2)
-    got = iv.latest_record(*tables, ["k"], "at", "s", "e", {"sid": "sid", "s": "began"}, 25 if way == "cut scan" else None)
+    got = iv.latest_record(*tables, ["k"], "at", "s", "e", {"sid": "sid", "s": "began"})
     found = {r["pid"]: (r["began"], r["sid"]) for r in got.collect()}
     assert len(found) == len(data[0]) == got.count()
-    by_id = {s[3]: s for s in data[1]}
     for p in data[0]:
-        starts = [s[1] for s in data[1] if inside(p, s)]
-        began, sid = found[p[2]]
-        assert began == (max(starts) if starts else None)
-        assert sid is None or inside(p, by_id[sid])
+        valid = [(s[1], s[2] or datetime(9999, 12, 31), s[3]) for s in data[1] if inside(p, s)]
+        best = max(valid, default=(None, None, None))
+        assert found[p[2]] == (best[0], best[2])
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """NULL keys on both sides, ties, nesting twenty deep, long and open intervals, times before 1970."""
+    points = [(k, mins(n), 100 * i + n) for i, k in enumerate([1, 2, None]) for n in range(0, 60, 7)]
+    points += [(1, datetime(1960, 5, 1, 12), 900), (1, datetime(9998, 1, 1), 901), (1, None, 902), (3, mins(5), 903)]
+    spans = [(k, mins(-n), mins(n), 50 * i + n) for i, k in enumerate([1, None]) for n in range(20)]
+    spans += [(2, mins(0), mins(9), 200), (2, mins(0), mins(9), 201), (2, mins(0), mins(8), 202), (2, None, mins(9), 203)]
+    spans += [(1, datetime(1950, 1, 1), datetime(1965, 1, 1), 204), (1, mins(0), None, 205), (2, mins(9), mins(3), 206)]
+    return (
+        points,
+        spans,
+        spark.createDataFrame(points, "k long, at timestamp_ntz, pid long"),
+        spark.createDataFrame(spans, "k long, s timestamp_ntz, e timestamp_ntz, sid long"),
+    )
+
+
+def holds(p, s):
+    return None not in (p[0], p[1], s[0], s[1]) and inside(p, s)
+
+
+def test_null_keys_ties_and_deep_nesting(odd, monkeypatch):
+    points, spans, pdf, sdf = odd
+    got = iv.points_in_intervals(pdf, sdf, ["k"], "at", "s", "e").collect()
+    pairs = sorted((r["pid"], r["_interval"]["sid"]) for r in got)
+    assert pairs == sorted((p[2], s[3]) for p in points for s in spans if holds(p, s))
+    counts = {r["sid"]: r["n"] for r in iv.count_in_interval(pdf, sdf, ["k"], ["sid"], "at", "s", "e", "n").collect()}
+    assert counts == {s[3]: sum(s[2] is not None and holds(p, s) for p in points) for s in spans}
+    want = {p[2]: max(((s[1], s[2] or datetime(9999, 12, 31), s[3]) for s in spans if holds(p, s)), default=(None,))[-1] for p in points}
+    for longest in (200, 1):
+        monkeypatch.setattr(iv, "_RECORDS_PER_KEY", longest)
+        found = iv.latest_record(pdf, sdf, ["k"], "at", "s", "e", {"sid": "sid"}).collect()
+        assert {r["pid"]: r["sid"] for r in found} == want and len(found) == len(points)
 
 
 def loop_split(span, events, cap):

@@ -128,3 +128,33 @@ def test_following_looks_past_any_number_of_rows(skewed):
         for r in group:
             assert got[r["id"]] == nxt
             nxt = r["id"] if r["flag"] else nxt
+
+
+def test_join_any_key_of_texts_and_fractions(spark):
+    left = spark.createDataFrame([("a", 1.2), ("b", 1.5), (None, 3.0)], "h string, f double")
+    right = spark.createDataFrame([(1, "a", "b"), (2, "b", "b"), (3, None, "z")], "id int, x string, y string")
+    got = sorted((r.h, r.id) for r in join_any_key(left, right, "h", ["x", "y"]).collect())
+    assert got == [("a", 1), ("b", 1), ("b", 2)]
+    numbers = spark.createDataFrame([(1, 1.5), (2, 1.2)], "id int, n double")
+    assert [r.id for r in join_any_key(left, numbers, "f", ["n"]).orderBy("id").collect()] == [1, 2]
+    assert sorted(r.f for r in join_any_key(left, numbers.filter("id = 1"), "f", ["n"]).collect()) == [1.5]
+
+
+def test_hot_right_keys_are_spread(spark):
+    left = spark.createDataFrame([(1, "one"), (2, "two")], "h long, name string")
+    right = spark.createDataFrame([(k, 1 if k % 10 else 2, 7) for k in range(400)], "id long, a long, b long")
+    spark.conf.set("stayflow.rowsPerTask", "50")
+    try:
+        joined = join_any_key(left, right, "h", ["a", "b"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 400 and "_share" in plan
+    finally:
+        spark.conf.unset("stayflow.rowsPerTask")
+
+
+def test_wide_sides_are_not_broadcast(spark):
+    from stayflow.operators.joins import may_broadcast
+
+    narrow = spark.range(10)
+    wide = narrow.selectExpr("id", *[f"cast(id as string) c{k}" for k in range(500)])
+    assert may_broadcast(narrow, 400_000) and not may_broadcast(wide, 400_000) and may_broadcast(wide, 100)

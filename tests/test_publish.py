@@ -2,9 +2,12 @@
 
 from datetime import datetime
 
+import pytest
+
 from stayflow.operators.updates import drop_where, set_where, upsert_by_key
 from stayflow.plans.schemas import OUTPUT
-from stayflow.sources.published import MONTH, publish, read_published
+from stayflow.sources import published
+from stayflow.sources.published import MONTH, forget_old_versions, publish, read_published
 from pyspark.sql import functions as F
 
 NAMES = [p.split(" ")[0] for p in OUTPUT.split(", ")]
@@ -61,6 +64,40 @@ def test_publish_replaces_encounters_and_repairs_accounts(spark, tmp_path):
     assert months == {"2024-02", "2024-03"}
 
 
+def test_stays_without_a_beginning_survive(spark, tmp_path):
+    path = str(tmp_path / "activity")
+    publish(spark, path, table(spark, [stay(1, 1, 100, None, 1), stay(2, 1, 200, None, 1)]))
+    publish(spark, path, table(spark, [stay(1, 1, 100, None, 1)]))
+    assert [s[0] for s in seen(spark, path)] == [1, 2]
+    publish(spark, path, table(spark, [stay(1, 1, 100, datetime(2024, 1, 5), 1)]))
+    assert seen(spark, path) == [(1, 1, datetime(2024, 1, 5), 1, None), (2, 1, None, 1, None)]
+
+
+def test_a_run_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "activity")
+    jan, feb = datetime(2024, 1, 5), datetime(2024, 2, 5)
+    publish(spark, path, table(spark, [stay(1, 1, 100, jan, 1), stay(2, 1, 200, feb, 1)]))
+    before = seen(spark, path)
+    real = published._write
+
+    def dies(new, folder, rows):
+        real(new, folder, rows)
+        raise RuntimeError("executor and driver lost")
+
+    monkeypatch.setattr(published, "_write", dies)
+    again = table(spark, [stay(1, 1, 100, feb, 1)])
+    with pytest.raises(RuntimeError):
+        publish(spark, path, again)
+    assert seen(spark, path) == before
+    monkeypatch.setattr(published, "_write", real)
+    publish(spark, path, again)
+    want = [(1, 1, feb, 1, None), (2, 1, feb, 1, None)]
+    assert seen(spark, path) == want
+    forget_old_versions(spark, path)
+    assert seen(spark, path) == want
+    assert sorted(p.name for p in (tmp_path / "activity" / "data").iterdir() if p.is_dir()) == ["3"]
+
+
 def test_null_tests_neither_update_nor_delete(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 9)], "id int, v int")
     assert sorted(r.id for r in drop_where(df, F.col("v") > 6).collect()) == [1, 2]
