@@ -112,8 +112,8 @@ def _word_counts(chunked: DataFrame) -> DataFrame:
             if forms[True]:
                 counts[END] += len(forms[True])
             for form in forms[False]:
-                for word in set(form[:-1].split()).difference(counts):
-                    counts[word] = 0
+                for word in form[:-1].split():
+                    counts.setdefault(word, 0)
             counts.setdefault(END, 0)
             yield pa.RecordBatch.from_arrays(
                 [
