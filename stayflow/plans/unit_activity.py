@@ -579,7 +579,7 @@ def to_output(stays: DataFrame, owner: str) -> DataFrame:
 
 def build_for(t: Tables, chosen: DataFrame, window: RunWindow, owner: str = "") -> DataFrame:
     """Unit activity of the given encounters (``csn, har, billed_as_op``)."""
-    t = {**t, "as_of": window.days_ago(0)}
+    t = {**t, "as_of": window.end}  # open stays run as far as the movements do
     dept = departments(t)
     moves = keep(cohort_movements(t, chosen, dept))
     known = measured(moves, ["csn"])

@@ -16,6 +16,7 @@ from stayflow.operators.ordered import arrange
 from stayflow.queries import tables as t
 from stayflow.queries.fragments import ACCOUNTS, ENCOUNTERS, LINES, STORED
 from stayflow.queries.registry import query
+from stayflow.sources.scratch import scratch_path
 from stayflow.sources import grid
 
 WINDOW = RunWindow(date(2001, 7, 15), lookback_days=30)
@@ -373,3 +374,15 @@ def clean_grid(spark, folder):
 def format_times(spark, folder):
     shown = t.table(spark, folder, "events").select("event_id", F.col("ts").alias("shown"))
     return grid.format_times(shown, ["shown"])
+
+
+@query(
+    f"""WITH {_GRID}
+SELECT event_id, CASE WHEN lower(event_type) NOT IN ('null', 'nan') THEN event_type END AS event_type,
+  CASE WHEN seen_at <> 'NULL' THEN strftime(ts, '%m/%d/%Y %H:%M:%S') END AS seen_at FROM grid"""
+)
+def read_grid(spark, folder):
+    """The same grid written as text, read as text and cleaned."""
+    path = scratch_path(spark)
+    _grid(spark, folder).write.csv(path, header=True, sep="\t")
+    return grid.clean_grid(grid.read_grid(spark, path), first_by=["event_id"])

@@ -457,3 +457,46 @@ def label_places(spark, folder):
         F.concat(F.lit("PLACE: "), F.col("p_type")),
     )
     return parts.select("p_partkey", place.alias("place"))
+
+
+# -- long histories and deep nesting --------------------------------------------------------
+
+# each event opens an interval of its group that lasts until the 20th event after it; errors have no group
+_NESTED = """marks AS (
+  SELECT event_id, ts, CASE WHEN event_type <> 'error' THEN user_id % 10 END AS grp FROM events),
+spans AS (
+  SELECT event_id AS span_id, grp, ts AS from_dttm,
+    lead(ts, 20) OVER (PARTITION BY grp ORDER BY ts, event_id) AS to_dttm FROM marks)"""
+
+
+def _nested(spark, folder):
+    grouped = F.when(F.col("event_type") != "error", F.pmod("user_id", F.lit(10)))
+    marks = t.table(spark, folder, "events").select("event_id", "ts", grouped.alias("grp"))
+    spans = arrange(marks, ["grp"], ["ts", "event_id"]).shift(to_dttm=("ts", 20)).df
+    return marks, spans.select(F.col("event_id").alias("span_id"), "grp", F.col("ts").alias("from_dttm"), "to_dttm")
+
+
+@query(
+    f"""WITH {_NESTED}
+SELECT m.event_id, s.span_id FROM marks m JOIN spans s ON s.grp = m.grp
+  AND m.ts BETWEEN s.from_dttm AND coalesce(s.to_dttm, TIMESTAMP '9999-12-31')"""
+)
+def points_in_nested_intervals(spark, folder):
+    marks, spans = _nested(spark, folder)
+    found = iv.points_in_intervals(marks, spans, ["grp"], "ts", "from_dttm", "to_dttm")
+    return found.select("event_id", "_interval.span_id")
+
+
+@query(
+    f"""WITH {_NESTED}
+SELECT m.event_id, s.span_id FROM marks m LEFT JOIN spans s ON s.grp = m.grp
+  AND m.ts - INTERVAL 1 MINUTE BETWEEN s.from_dttm AND coalesce(s.to_dttm, TIMESTAMP '9999-12-31')
+QUALIFY row_number() OVER (PARTITION BY m.event_id
+  ORDER BY s.from_dttm DESC NULLS LAST, coalesce(s.to_dttm, TIMESTAMP '9999-12-31') DESC, s.span_id DESC) = 1"""
+)
+def dated_join_long_history(spark, folder):
+    """Histories of more records per key than are searched as lists, overlapping twenty deep."""
+    marks, spans = _nested(spark, folder)
+    earlier = marks.withColumn("at", F.col("ts") - F.expr("INTERVAL '1' MINUTE"))
+    found = iv.latest_record(earlier, spans, ["grp"], "at", "from_dttm", "to_dttm", {"span_id": "span_id"})
+    return found.select("event_id", "span_id")

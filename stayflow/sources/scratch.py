@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _LOCAL = "stayflow.localScratch"
+_RUN = "stayflow.runScratch"
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -28,9 +31,32 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder for one table, inside the run's folder if there is one."""
+    folder = spark.conf.get(_RUN, None) or f"{scratch_dir(spark)}/stayflow"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_of_run(spark: SparkSession) -> Iterator[str]:
+    """Tables kept inside the ``with`` block are deleted at its end; publish before that."""
+    folder = scratch_path(spark)
+    before = spark.conf.get(_RUN, None)
+    spark.conf.set(_RUN, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(_RUN)
+        else:
+            spark.conf.set(_RUN, before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet and return a reader of the written rows."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/stayflow/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

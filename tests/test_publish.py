@@ -109,3 +109,17 @@ def test_upsert_takes_all_rows_of_a_key(spark):
     new = spark.createDataFrame([(1, "z"), (3, "y")], "k int, v string")
     got = sorted((str(r.k), r.v) for r in upsert_by_key(old, new, ["k"]).collect())
     assert got == [("1", "z"), ("2", "c"), ("3", "y"), ("None", "n")]
+
+
+def test_scratch_of_a_run_is_deleted(spark, tmp_path):
+    from stayflow.sources.scratch import keep, scratch_of_run
+
+    path = str(tmp_path / "activity")
+    outside = keep(spark.range(3))
+    with scratch_of_run(spark) as folder:
+        inside = keep(spark.range(5))
+        assert inside.count() == 5 and folder in inside.inputFiles()[0]
+        publish(spark, path, table(spark, [stay(1, 1, 100, datetime(2024, 1, 5), 1)]))
+    files = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files)
+    assert len(seen(spark, path)) == 1 and outside.count() == 3
