@@ -110,24 +110,18 @@ def with_next(
         width = max(1, ((span["hi"] or 0) - low + 1) * per_cell // span["n"])
     cell = F.coalesce(F.expr(f"(`{id_column}` - {low}) div {width}"), F.lit(-1)).cast("long")
     narrow = docs.select(id_column, *columns).withColumn("_tie", F.xxhash64(*columns)).withColumn("_cell", cell)
-    # dealt before the derived columns are made, so that the shuffle does not carry them
-    dealt = narrow.repartition(F.col("_cell")).withColumns(derived)
+    # dealt before the derived columns are made, so that the one shuffle of texts does not carry them
+    dealt = narrow.repartition(F.col("_cell"))
     inside = Window.partitionBy("_cell").orderBy(F.col(id_column).asc_nulls_first(), F.col("_tie"))
-    payload = [*columns, *derived]
-    ordered = dealt.withColumn("_lead", F.lead(F.struct(*payload)).over(inside))
-    # the first row of each cell; rows with equal ids and ties are equal, any of them will do
-    rank = F.struct(F.col(id_column).isNotNull().alias("known"), F.col(id_column).alias("id"), F.col("_tie").alias("tie"))
-    heads = narrow.groupBy("_cell").agg(F.min(rank).alias("head"))
-    every = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    one = Window.orderBy("_cell")  # one short row per cell
-    heads = heads.withColumn("_prior", F.coalesce(F.lag("_cell").over(one), F.last("_cell").over(every)))
-    same = (
-        (F.col("h._cell") == F.col("p._cell"))
-        & F.col("head.id").eqNullSafe(F.col(f"p.{id_column}"))
-        & (F.col("head.tie") == F.col("p._tie"))
-    )
-    firsts = narrow.alias("p").join(heads.alias("h"), same)
-    firsts = firsts.groupBy(F.col("h._prior").alias("_cell")).agg(*[F.first(F.col(f"p.{c}")).alias(c) for c in columns])
-    firsts = firsts.withColumns(derived).select("_cell", F.struct(*payload).alias("_head"))
+    payload = F.struct(*columns, *derived)
+    ordered = dealt.withColumns(derived).withColumn("_lead", F.lead(payload).over(inside))
+    # the first row of each cell goes to the cell before it; the list has one short row per cell
+    listed = Window.orderBy("_cell")
+    every = listed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cells = narrow.groupBy("_cell").agg(F.count("*")).select("_cell")
+    cells = cells.withColumn("_prior", F.coalesce(F.lag("_cell").over(listed), F.last("_cell").over(every)))
+    firsts = dealt.withColumn("_at", F.row_number().over(inside)).filter("_at = 1").select("_cell", *columns)
+    firsts = firsts.join(cells, "_cell").withColumns(derived)
+    firsts = firsts.select(F.col("_prior").alias("_cell"), payload.alias("_head"))
     joined = ordered.join(firsts, "_cell", "left")
     return joined.withColumn("next", F.coalesce("_lead", "_head")).drop("_tie", "_cell", "_lead", "_head")
