@@ -25,12 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from stayflow.sources.scratch import keep
 
 END = b"\n"
-CHUNK = 16_000_000  # bytes of text that one scoring group holds
+CHUNK = 32_000_000  # bytes of text that one scoring group holds
+BLOCK = 1_000_000  # bytes of text that are packed into one row
 
 
 def normal_form(text: str | None) -> bytes:
@@ -55,48 +56,77 @@ def _strings(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chunked(docs: DataFrame, id_column: str, text_column: str, train: Column) -> DataFrame:
-    """Texts in normal form, in chunks of about ``CHUNK`` bytes cut inside each task (no shuffle)."""
+    """Texts in normal form, packed into compressed blocks of about ``BLOCK`` bytes, the blocks in
+    chunks of about ``CHUNK`` bytes; both are cut inside each task (no shuffle).
+
+    A row has the block's ``chunk``, the ids, flags and sizes of its texts, and the texts end to end.
+    """
     own = docs.select(
         F.col(id_column).alias("id"),
         F.coalesce(train, F.lit(False)).alias("train"),
         F.col(text_column).alias("text"),
         F.spark_partition_id().cast("long").alias("part"),
     )
-    id_field = own.schema["id"]
     schema = StructType(
-        [id_field, StructField("train", BooleanType()), StructField("chunk", LongType()), StructField("form", BinaryType())]
+        [StructField("ids", ArrayType(own.schema["id"].dataType))]
+        + StructType.fromDDL("trains array<boolean>, sizes array<int>, chunk long, packed binary").fields
     )
 
     def run(batches):
-        number, held = 0, 0
+        number, held, forms, ids, trains = 0, 0, [], [], []
+
+        def block(part, kind):
+            joined = b"".join(forms)
+            row = {
+                "ids": pa.array([ids], pa.list_(kind)),
+                "trains": pa.array([trains], pa.list_(pa.bool_())),
+                "sizes": pa.array([[len(f) for f in forms]], pa.list_(pa.int32())),
+                "chunk": pa.array([(part << 24) + number], pa.int64()),
+                "packed": pa.array([pa.compress(joined, "zstd", asbytes=True)], pa.binary()),
+            }
+            return pa.RecordBatch.from_pydict(row)
+
+        size, part, kind = 0, 0, pa.int64()
         for batch in batches:
-            forms, chunks = [], []
-            for text, part in zip(batch["text"].to_pylist(), batch["part"].to_pylist()):
+            kind = batch.schema.field("id").type
+            rows = (batch[c].to_pylist() for c in ("id", "train", "text", "part"))
+            for own_id, flag, text, part in zip(*rows):
                 form = normal_form(text)
-                if held and held + len(form) > CHUNK:
+                if forms and size + len(form) > BLOCK:
+                    yield block(part, kind)
+                    held += size
+                    forms, ids, trains, size = [], [], [], 0
+                if held and held + size + len(form) > CHUNK and not forms:
                     number, held = number + 1, 0
-                held += len(form)
                 forms.append(form)
-                chunks.append((part << 24) + number)
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["train"], pa.array(chunks, pa.int64()), pa.array(forms, pa.binary())],
-                ["id", "train", "chunk", "form"],
-            )
+                ids.append(own_id)
+                trains.append(flag)
+                size += len(form)
+        if forms:
+            yield block(part, kind)
 
     return keep(own.mapInArrow(run, schema))
 
 
+def _unpacked(sizes: list[int], packed: bytes) -> list[bytes]:
+    """The texts of a block."""
+    joined = pa.decompress(packed, sum(sizes), "zstd", asbytes=True)
+    ends = np.cumsum(sizes).tolist()
+    return [joined[e - n : e] for e, n in zip(ends, sizes)]
+
+
 def _runs(batches, most: int):
-    """Rows (chunk, train, form) of a task in runs of one chunk and at most about ``most`` bytes."""
+    """Texts of a task, by training flag, in runs of one chunk and at most about ``most`` bytes."""
     chunk, forms, size = None, {True: [], False: []}, 0
     for batch in batches:
-        for c, t, f in zip(batch["chunk"].to_pylist(), batch["train"].to_pylist(), batch["form"].to_pylist()):
-            if chunk is not None and (c != chunk or size + len(f) > most):
+        for c, flags, sizes, packed in zip(*(batch[k].to_pylist() for k in ("chunk", "trains", "sizes", "packed"))):
+            if chunk is not None and (c != chunk or size + sum(sizes) > most):
                 yield chunk, forms
                 forms, size = {True: [], False: []}, 0
             chunk = c
-            forms[t].append(f)
-            size += len(f)
+            for flag, form in zip(flags, _unpacked(sizes, packed)):
+                forms[flag].append(form)
+            size += sum(sizes)
     if chunk is not None:
         yield chunk, forms
 
@@ -105,7 +135,7 @@ def _word_counts(chunked: DataFrame) -> DataFrame:
     """Words of each chunk with their number in its training texts (zero for others)."""
 
     def run(batches):
-        for chunk, forms in _runs(batches, CHUNK):
+        for chunk, forms in _runs(batches, 2 * CHUNK):
             counts: Counter = Counter()
             for form in forms[True]:
                 counts.update(form[:-1].split())
@@ -124,14 +154,14 @@ def _word_counts(chunked: DataFrame) -> DataFrame:
                 ["chunk", "word", "n"],
             )
 
-    return chunked.select("chunk", "train", "form").mapInArrow(run, "chunk long, word binary, n long")
+    return chunked.select("chunk", "trains", "sizes", "packed").mapInArrow(run, "chunk long, word binary, n long")
 
 
 def _string_counts(chunked: DataFrame, depth: int) -> DataFrame:
     """Byte strings of each chunk with their number in its training texts (zero for others)."""
 
     def run(batches):
-        for chunk, forms in _runs(batches, CHUNK // 4):
+        for chunk, forms in _runs(batches, CHUNK // 8):
             known, n = np.unique(_strings(forms[True], depth)[0], return_counts=True)
             other = np.setdiff1d(_strings(forms[False], depth)[0], known)
             codes = np.concatenate([known, other])
@@ -144,7 +174,7 @@ def _string_counts(chunked: DataFrame, depth: int) -> DataFrame:
                 ["chunk", "code", "n"],
             )
 
-    return chunked.select("chunk", "train", "form").mapInArrow(run, "chunk long, code long, n long")
+    return chunked.select("chunk", "trains", "sizes", "packed").mapInArrow(run, "chunk long, code long, n long")
 
 
 def _log_gamma(x: Column) -> Column:
@@ -245,7 +275,7 @@ def score(
     strings = keep(_string_counts(chunked, depth).groupBy("chunk", "code").agg(F.sum("n").alias("n")))
     values = tree(keep(strings.groupBy("code").agg(F.sum("n").alias("n"))), depth)
     none = F.lit(None)
-    wanted = words.select("chunk", "word", none.cast("long").alias("code"), F.col("count").cast("double").alias("value")).distinct()
+    wanted = words.select("chunk", "word", none.cast("long").alias("code"), F.col("count").cast("double").alias("value"))
     wanted = wanted.union(
         strings.select("chunk", "code").join(values, "code").select("chunk", none.cast("binary").alias("word"), "code", "value")
     )
@@ -270,36 +300,34 @@ def score(
                 out[4].extend(np.add.reduceat(value[np.searchsorted(codes, found)], begin).tolist())
                 forms.clear()
 
-        size = 0
-        for form in texts["form"].to_pylist():
-            tokens = form[:-1].split()
-            at = np.fromiter(map(row.__getitem__, tokens), np.int64, len(tokens))
-            at = np.append(at, end)
-            out[0].append(len(form))
-            out[1].append(len(at))
-            out[2].append(int((counts[at] > 0).sum()))
-            out[3].append(float(base[at].sum()))
-            forms.append(form)
-            size += len(form)
-            if size > 1_000_000:
-                flush()
-                size = 0
-        flush()
-        n = texts.num_rows
+        ids, trains = [], []
+        for own_ids, flags, sizes, packed in zip(*(texts[k].to_pylist() for k in ("ids", "trains", "sizes", "packed"))):
+            ids += own_ids
+            trains += flags
+            for form in _unpacked(sizes, packed):
+                tokens = form[:-1].split()
+                at = np.fromiter(map(row.__getitem__, tokens), np.int64, len(tokens))
+                at = np.append(at, end)
+                out[0].append(len(form))
+                out[1].append(len(at))
+                out[2].append(int((counts[at] > 0).sum()))
+                out[3].append(float(base[at].sum()))
+                forms.append(form)
+            flush()
         arrays = [
-            texts["id"],
-            texts["train"],
+            pa.array(ids, texts.schema.field("ids").type.value_type),
+            pa.array(trains, pa.bool_()),
             pa.array(out[0], pa.int64()),
             pa.array(out[1], pa.int64()),
             pa.array(out[2], pa.int64()),
-            pa.array([total] * n, pa.int64()),
+            pa.array([total] * len(ids), pa.int64()),
             pa.array(out[3], pa.float64()),
             pa.array(out[4], pa.float64()),
         ]
         return pa.Table.from_arrays(arrays, names)
 
     schema = StructType(
-        [chunked.schema["id"]]
+        [StructField("id", chunked.schema["ids"].dataType.elementType)]
         + StructType.fromDDL(
             "train boolean, n_bytes long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         ).fields
