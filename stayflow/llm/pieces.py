@@ -129,7 +129,7 @@ class Model:
         key = left * self.size + right
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 1_000_000:
+            if len(self._pairs) > 400_000:
                 self._pairs.clear()
             known = self._pairs[key] = self._fits(left, right)
         return known
@@ -261,7 +261,7 @@ class WordTable:
     emptied once it holds ``most`` words; results do not depend on that.
     """
 
-    def __init__(self, model: Model, values, most: int = 700_000):
+    def __init__(self, model: Model, values, most: int = 300_000):
         self.model, self.values, self.most = model, values, most
         self._clear()
 
@@ -295,7 +295,7 @@ class WordTable:
         return self.flat[at], size
 
 
-def runs(texts, most_chars: int = 2_000_000):
+def runs(texts, most_chars: int = 1_000_000):
     """Consecutive texts of a batch, at most about ``most_chars`` at a time; at least one text."""
     run, chars = [], 0
     for text in texts:
