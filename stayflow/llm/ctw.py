@@ -266,6 +266,8 @@ def score(
         _word_counts(chunked)
         .withColumn("count", F.sum("n").over(per_word))
         .withColumn("first", F.row_number().over(per_word.orderBy("chunk")) == 1)
+        # a chunk knows the number of each word in its own training texts; only other numbers are sent to it
+        .withColumn("word", F.when(F.col("count") != F.col("n"), F.col("word")))
     )
     seen = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"),
@@ -275,7 +277,8 @@ def score(
     strings = keep(_string_counts(chunked, depth).groupBy("chunk", "code").agg(F.sum("n").alias("n")))
     values = tree(keep(strings.groupBy("code").agg(F.sum("n").alias("n"))), depth)
     none = F.lit(None)
-    wanted = words.select("chunk", "word", none.cast("long").alias("code"), F.col("count").cast("double").alias("value"))
+    wanted = words.filter(F.col("word").isNotNull())
+    wanted = wanted.select("chunk", "word", none.cast("long").alias("code"), F.col("count").cast("double").alias("value"))
     wanted = wanted.union(
         strings.select("chunk", "code").join(values, "code").select("chunk", none.cast("binary").alias("word"), "code", "value")
     )
@@ -283,12 +286,15 @@ def score(
     names = ["id", "train", "n_bytes", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score_chunk(texts: pa.Table, table: pa.Table) -> pa.Table:
-        is_word = table["word"].is_valid()
-        entries = table.filter(is_word)
-        row = {w: k for k, w in enumerate(entries["word"].to_pylist())}
-        counts = entries["value"].to_numpy()
-        base = np.log10(counts + 0.5) - floor
-        end = row.get(END)
+        blocks = list(zip(*(texts[k].to_pylist() for k in ("ids", "trains", "sizes", "packed"))))
+        own: Counter = Counter()
+        for _, flags, sizes, packed in blocks:
+            for flag, form in zip(flags, _unpacked(sizes, packed)):
+                if flag:
+                    own.update(form[:-1].split())
+                    own[END] += 1
+        sent = table.filter(table["word"].is_valid())
+        dict.update(own, zip(sent["word"].to_pylist(), sent["value"].to_pylist()))
         entries = table.filter(table["code"].is_valid()).sort_by("code")
         codes, value = entries["code"].to_numpy(), entries["value"].to_numpy()
         out: list[list] = [[], [], [], [], []]
@@ -301,17 +307,17 @@ def score(
                 forms.clear()
 
         ids, trains = [], []
-        for own_ids, flags, sizes, packed in zip(*(texts[k].to_pylist() for k in ("ids", "trains", "sizes", "packed"))):
+        for own_ids, flags, sizes, packed in blocks:
             ids += own_ids
             trains += flags
             for form in _unpacked(sizes, packed):
                 tokens = form[:-1].split()
-                at = np.fromiter(map(row.__getitem__, tokens), np.int64, len(tokens))
-                at = np.append(at, end)
+                tokens.append(END)
+                counts = np.fromiter((own.get(t, 0) for t in tokens), np.float64, len(tokens))
                 out[0].append(len(form))
-                out[1].append(len(at))
-                out[2].append(int((counts[at] > 0).sum()))
-                out[3].append(float(base[at].sum()))
+                out[1].append(len(tokens))
+                out[2].append(int((counts > 0).sum()))
+                out[3].append(float((np.log10(counts + 0.5) - floor).sum()))
                 forms.append(form)
             flush()
         arrays = [
