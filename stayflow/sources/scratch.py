@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL = "stayflow.localScratch"
 _RUN = "stayflow.runScratch"
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -54,9 +55,28 @@ def scratch_of_run(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet and return a reader of the written rows."""
+@contextmanager
+def _freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside the ``with`` block delete their own shuffle files when they end."""
+    before = spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE)
+        else:
+            spark.conf.set(_FREE, before)
+
+
+def keep(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet and return a reader of the written rows.
+
+    ``path`` is a new folder of the run unless given.  The shuffle files of the write are deleted
+    when it ends: nothing reads them again, as the table outlives the executors.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark)
-    df.write.parquet(path)
+    path = path or scratch_path(spark)
+    with _freed_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
