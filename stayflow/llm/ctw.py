@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from stayflow.sources.scratch import keep
+from stayflow.sources.scratch import keep, scratch_of_run, scratch_path
 
 END = b"\n"
 CHUNK = 32_000_000  # bytes of text that one scoring group holds
@@ -158,22 +158,31 @@ def _word_counts(chunked: DataFrame) -> DataFrame:
 
 
 def _string_counts(chunked: DataFrame, depth: int) -> DataFrame:
-    """Byte strings of each chunk with their number in its training texts (zero for others)."""
+    """Byte strings of each chunk with their number in its training texts (zero for others).
 
-    def run(batches):
-        for chunk, forms in _runs(batches, CHUNK // 8):
-            known, n = np.unique(_strings(forms[True], depth)[0], return_counts=True)
-            other = np.setdiff1d(_strings(forms[False], depth)[0], known)
-            codes = np.concatenate([known, other])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(codes), chunk)),
-                    pa.array(codes),
-                    pa.array(np.concatenate([n, np.zeros(len(other), np.int64)])),
-                ],
-                ["chunk", "code", "n"],
-            )
+    A chunk whose blocks are read by several tasks has a row from each of them.
+    """
 
+    def rows(chunk, codes, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), chunk)), pa.array(codes), pa.array(n)], names)
+
+    def run(batches):
+        chunk, codes, n = None, np.empty(0, np.int64), np.empty(0, np.int64)
+        for own, forms in _runs(batches, CHUNK // 8):
+            if chunk is not None and own != chunk:
+                yield rows(chunk, codes, n)
+                codes, n = codes[:0], n[:0]
+            chunk = own
+            known, times = np.unique(_strings(forms[True], depth)[0], return_counts=True)
+            other = np.unique(_strings(forms[False], depth)[0])
+            codes, at = np.unique(np.concatenate([codes, known, other]), return_inverse=True)
+            sums = np.zeros(len(codes), np.int64)
+            np.add.at(sums, at, np.concatenate([n, times, np.zeros(len(other), np.int64)]))
+            n = sums
+        if chunk is not None:
+            yield rows(chunk, codes, n)
+
+    names = ["chunk", "code", "n"]
     return chunked.select("chunk", "trains", "sizes", "packed").mapInArrow(run, "chunk long, code long, n long")
 
 
@@ -274,8 +283,10 @@ def score(
         F.coalesce(F.sum((F.col("first") & (F.col("count") > 0)).cast("long")), F.lit(0)).alias("distinct"),
     ).first()
     total, distinct = int(seen["tokens"]), int(seen["distinct"])
-    strings = keep(_string_counts(chunked, depth).groupBy("chunk", "code").agg(F.sum("n").alias("n")))
-    values = tree(keep(strings.groupBy("code").agg(F.sum("n").alias("n"))), depth)
+    strings = keep(_string_counts(chunked, depth))
+    path = scratch_path(docs.sparkSession)
+    with scratch_of_run(docs.sparkSession):  # counts and levels of the trees go once the values stand
+        values = keep(tree(keep(strings.groupBy("code").agg(F.sum("n").alias("n"))), depth), path)
     none = F.lit(None)
     wanted = words.filter(F.col("word").isNotNull())
     wanted = wanted.select("chunk", "word", none.cast("long").alias("code"), F.col("count").cast("double").alias("value"))
