@@ -9,6 +9,8 @@ from stayflow.llm import mixing, quality_crf, sentencepiece_codec, simhash_index
 from stayflow.llm.queries import PIECES, labelled, table
 from stayflow.sources.scratch import keep
 
+WORDS_HELD = 300_000  # words that a Python worker remembers: the rows here are wide, so memory is short
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the classifier rejects (score under 0.5); null texts count as empty.
@@ -31,7 +33,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with their number and whether they decode to the text."""
-    coded = docs.select("doc_id", "source", "text", sentencepiece_codec.encode("text", PIECES).alias("ids"))
+    coded = docs.select("doc_id", "source", "text", sentencepiece_codec.encode("text", PIECES, most=WORDS_HELD).alias("ids"))
     decoded = sentencepiece_codec.decode("ids", PIECES)
     return coded.select(
         "doc_id", "source", "ids", F.size("ids").cast("long").alias("n_ids"), decoded.eqNullSafe(F.col("text")).alias("exact")

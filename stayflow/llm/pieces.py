@@ -28,10 +28,10 @@ _NO_PIECE = -1
 class Model:
     """Pieces, scores and byte pieces of a SentencePiece file with an identity normalizer."""
 
-    def __init__(self, path: str, kind: str = "bpe"):
+    def __init__(self, path: str, kind: str = "bpe", most_pairs: int = 1_000_000):
         if kind not in ("bpe", "unigram"):
             raise ValueError(f"unknown kind of model: {kind}")
-        self.kind = kind
+        self.kind, self.most_pairs = kind, most_pairs
         lib = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = lib.get_piece_size()
         self.byte_ids = [_NO_PIECE] * 256
@@ -129,7 +129,7 @@ class Model:
         key = left * self.size + right
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 400_000:
+            if len(self._pairs) > self.most_pairs:
                 self._pairs.clear()
             known = self._pairs[key] = self._fits(left, right)
         return known
@@ -261,7 +261,7 @@ class WordTable:
     emptied once it holds ``most`` words; results do not depend on that.
     """
 
-    def __init__(self, model: Model, values, most: int = 300_000):
+    def __init__(self, model: Model, values, most: int = 1_200_000):
         self.model, self.values, self.most = model, values, most
         self._clear()
 
@@ -309,6 +309,6 @@ def runs(texts, most_chars: int = 1_000_000):
 
 
 @lru_cache(maxsize=4)
-def load(path: str, kind: str = "bpe") -> Model:
+def load(path: str, kind: str = "bpe", most_pairs: int = 1_000_000) -> Model:
     """One model per Python worker."""
-    return Model(path, kind)
+    return Model(path, kind, most_pairs)

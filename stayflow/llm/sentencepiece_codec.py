@@ -23,13 +23,13 @@ from stayflow.llm.pieces import Trie, WordTable, load, runs
 
 
 @lru_cache(maxsize=4)
-def _table(path: str, kind: str) -> WordTable:
-    return WordTable(load(path, kind), Trie.tokens)
+def _table(path: str, kind: str, most: int) -> WordTable:
+    return WordTable(load(path, kind, max(400_000, most * 5 // 6)), Trie.tokens, most)
 
 
-def encode_texts(texts: list[str], path: str, kind: str = "bpe") -> list[np.ndarray]:
+def encode_texts(texts: list[str], path: str, kind: str = "bpe", most: int = 1_200_000) -> list[np.ndarray]:
     """Token ids of each text."""
-    table, out = _table(path, kind), []
+    table, out = _table(path, kind, most), []
     for run in runs(texts):
         words = [table.model.words(t) for t in run]
         ids, sizes = table.lookup([w for ws in words for w in ws])
@@ -79,13 +79,17 @@ def _ragged(rows: list[np.ndarray | None]) -> pa.Array:
     )
 
 
-def encode(text: Column | str, path: str, kind: str = "bpe") -> Column:
-    """Column of token ids (array<int>) of a text column."""
+def encode(text: Column | str, path: str, kind: str = "bpe", most: int = 1_200_000) -> Column:
+    """Column of token ids (array<int>) of a text column.
+
+    A Python worker remembers at most ``most`` words and five sixths as many pairs of pieces (400,000 at least); the ids
+    do not depend on it, only memory and time do.
+    """
 
     @F.arrow_udf("array<int>")
     def ids(values: pa.Array) -> pa.Array:
         texts = values.to_pylist()
-        got = iter(encode_texts([t for t in texts if t is not None], path, kind))
+        got = iter(encode_texts([t for t in texts if t is not None], path, kind, most))
         return _ragged([None if t is None else next(got) for t in texts])
 
     return ids(text)
