@@ -16,6 +16,7 @@ from stayflow.llm import (
     quality_crf,
     sentencepiece_codec,
     simhash_index,
+    spelling_kd,
     token_prefix,
 )
 
@@ -149,3 +150,10 @@ def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """License notices in every text: where they stand and how much of the template is there."""
     docs = table(spark, folder, "documents").select("doc_id", licenses.scan("text").alias("found"))
     return docs.select("doc_id", F.explode("found").alias("match")).select("doc_id", "match.*")
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all texts, the words one edit away, and the form each is a variant of."""
+    counted = spelling_kd.words(table(spark, folder, "documents"))
+    return spelling_kd.variants(counted, ratio=10)
