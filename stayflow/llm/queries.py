@@ -13,6 +13,7 @@ from stayflow.llm import (
     licenses,
     mixing,
     pivot_index,
+    prefix_trie,
     quality_crf,
     sentencepiece_codec,
     simhash_index,
@@ -157,3 +158,34 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Words of all texts, the words one edit away, and the form each is a variant of."""
     counted = spelling_kd.words(table(spark, folder, "documents"))
     return spelling_kd.variants(counted, ratio=10)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations, with totals over the prefixes that continue it."""
+    turns = prefix_trie.turns_of(table(spark, folder, "conversations"))
+    base = F.expr("try_subtract(conv_id, pmod(conv_id, 100))")
+    shared = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    prefixes, conversations = prefix_trie.shared_prefixes(turns, base, shared, most=5)
+    nodes = prefix_trie.build(prefixes, conversations)
+    weighed = nodes.withColumns(
+        {
+            "n_leaves": (F.col("n_children") == 0).cast("long"),
+            "saved_tokens": (F.col("n_convs") - 1) * F.col("n_chars"),
+            "_parent_depth": F.when(F.col("parent_conv_id").isNotNull(), F.col("depth") - 1),
+        }
+    )
+    key = ["conv_id", "depth"]
+    totals = prefix_trie.subtree_totals(weighed, key, ["parent_conv_id", "_parent_depth"], ["n_leaves", "saved_tokens"])
+    ends = prefix_trie.ends(prefixes, conversations)
+    named = nodes.join(totals, key).join(ends, ["depth", "p", "q"], "left")
+    return named.select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
+    )
