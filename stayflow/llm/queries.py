@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stayflow.llm import (
     bottomk,
+    chat_format,
     ctw,
     html_text,
     licenses,
@@ -26,6 +27,7 @@ SQL: dict[str, str] = {}
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
+CHAT = chat_format.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def query(function):
@@ -160,6 +162,21 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_kd.variants(counted, ratio=10)
 
 
+@query
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation formatted, and what its tokens say when they are read back."""
+    looks_like_marks = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").cast("int").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(looks_like_marks).alias("text"),
+    )
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    formatted = chat_format.format_turns(conversations, CHAT)
+    return chat_format.digests(chat_format.read_turns(formatted, CHAT))
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """Every distinct prefix of the rebuilt conversations, with totals over the prefixes that continue it."""
