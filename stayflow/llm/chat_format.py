@@ -86,11 +86,10 @@ class Coder:
         self.string = dict(zip(range(size, size + 4), template.marks))
         self.escape, self.unescape = template.escaper(), template.unescaper()
 
-    def turn(self, role: str, text: str, first: bool) -> tuple[list[int], list[int]]:
-        """Ids of a turn, and the sizes of its segments: marks before the role, role, mark, text, mark."""
+    def turn(self, role: str, text: str) -> tuple[list[int], list[int]]:
+        """Ids of a turn, and the sizes of its segments: mark, role, mark, text, mark."""
         who, what = (self.encoding.encode_ordinary(self.escape(s)) for s in (role, text))
-        head = [self.begin, self.open] if first else [self.open]
-        return [*head, *who, self.close, *what, self.end], [len(head), len(who), 1, len(what), 1]
+        return [self.open, *who, self.close, *what, self.end], [1, len(who), 1, len(what), 1]
 
     def text(self, ids: np.ndarray) -> str:
         """Formatted text of ids."""
@@ -118,9 +117,9 @@ def coder(vocabulary: Vocabulary, template: Template) -> Coder:
 
 def _encode(vocabulary: Vocabulary, template: Template):
     @F.arrow_udf("ids array<int>, sizes array<int>")
-    def encode(roles: pa.Array, texts: pa.Array, first: pa.Array) -> pa.Array:
+    def encode(roles: pa.Array, texts: pa.Array) -> pa.Array:
         with_ids = coder(vocabulary, template)
-        turns = [with_ids.turn(*t) for t in zip(roles.to_pylist(), texts.to_pylist(), first.to_pylist())]
+        turns = [with_ids.turn(*t) for t in zip(roles.to_pylist(), texts.to_pylist())]
         lists = [pa.array([np.array(t[k], np.int32) for t in turns], pa.list_(pa.int32())) for k in (0, 1)]
         return pa.StructArray.from_arrays(lists, ["ids", "sizes"])
 
@@ -139,19 +138,21 @@ def format_turns(
     turns = conversations.select(
         "conv_id", "turn", *[F.coalesce(F.col(c), empty).alias(c) for c in ("role", "text")]
     )
-    rows = arrange(turns, ["conv_id"], ["turn", "role", "text"], limit).running(at=("sum", F.lit(1)))
-    coded = _encode(vocabulary, template)("role", "text", F.col("at") == 1)
-    rows = rows.with_columns({"_coded": coded}).with_columns({"_n": F.size("_coded.ids").cast("long")})
+    # encoded before the shuffle, which then serves the numbering and both sums
+    coded = turns.withColumn("_coded", _encode(vocabulary, template)("role", "text"))
+    rows = arrange(coded, ["conv_id"], ["turn", "role", "text"], limit).running(at=("sum", F.lit(1)))
+    begins = F.col("at") == 1
+    marks = F.when(begins, F.array(F.lit(coder(vocabulary, template).begin))).otherwise(F.array().cast("array<int>"))
+    rows = rows.with_columns({"_n": (F.size("_coded.ids") + F.size(marks)).cast("long")})
     rows = rows.running(_upto=("sum", "_n"))
-    sizes = F.col("_coded.sizes")
     before = F.col("_upto") - F.col("_n")
-    ahead = F.aggregate(F.slice(sizes, 1, 3), F.lit(0), lambda a, b: a + b)  # marks and role before the text
+    ahead = F.aggregate(F.slice("_coded.sizes", 1, 3), F.size(marks), lambda a, b: a + b)  # all that stands before the text
     learned = F.col("role").isin(*template.learned)
     start = before + ahead
     return rows.df.select(
         "conv_id",
         F.col("at").cast("long").alias("at"),
-        F.col("_coded.ids").alias("ids"),
+        F.concat(marks, "_coded.ids").alias("ids"),
         before.alias("token_from"),
         start.alias("loss_from"),
         F.when(learned, F.col("_upto")).otherwise(start).alias("loss_to"),
