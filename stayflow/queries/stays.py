@@ -188,7 +188,7 @@ def next_matching_unit(spark, folder):
 SELECT event_id, CASE WHEN d IN ('view', 'click', 'purchase') THEN d END AS next_unit FROM ahead"""
 )
 def lead_if_unit(spark, folder):
-    return lead_if(t.moves(spark, folder), "dept", t.is_unit(), "next_unit", max_ahead=4).df.select("event_id", "next_unit")
+    return lead_if(t.moves(spark, folder), "dept", t.is_unit(), "next_unit").df.select("event_id", "next_unit")
 
 
 @query(
@@ -256,30 +256,23 @@ def close_open_intervals(spark, folder):
     return _long(closed.select("csn", "line", "unit_out_dttm", "unit_status"), "line")
 
 
-def _split_sql() -> str:
-    """Ten rounds: in each, the first event that changes the state after the last cut."""
-    ctes = """
-weeks AS (SELECT user_id AS csn, date_trunc('week', ts) AS week_start FROM events GROUP BY ALL),
-cut0 AS (SELECT csn, week_start, week_start AS cut, 'LOW' AS state FROM weeks)"""
-    for k in range(1, 11):
-        ctes += f""",
-cut{k} AS (
-  SELECT c.csn, c.week_start, min(e.ts) AS cut, CASE WHEN c.state = 'LOW' THEN 'HIGH' ELSE 'LOW' END AS state
-  FROM cut{k - 1} c JOIN events e ON e.user_id = c.csn AND e.ts >= c.cut + INTERVAL 12 HOUR
-    AND e.ts <= CAST(c.week_start AS TIMESTAMP) + INTERVAL 7 DAY - INTERVAL 12 HOUR
+# Step by step: the first event that changes the state after the last cut, as long as there is one.
+_SPLIT_SQL = """WITH RECURSIVE weeks AS (
+  SELECT user_id AS csn, CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start FROM events GROUP BY ALL),
+cuts AS (
+  SELECT csn, week_start, CAST(0 AS BIGINT) AS piece, week_start AS cut, 'LOW' AS state FROM weeks
+  UNION ALL
+  SELECT c.csn, c.week_start, c.piece + 1, CAST(min(e.ts) AS TIMESTAMP), CASE WHEN c.state = 'LOW' THEN 'HIGH' ELSE 'LOW' END
+  FROM cuts c JOIN events e ON e.user_id = c.csn AND e.ts >= c.cut + INTERVAL 12 HOUR
+    AND e.ts <= c.week_start + INTERVAL 7 DAY - INTERVAL 12 HOUR
     AND CASE WHEN e.value > 50 THEN 'HIGH' ELSE 'LOW' END <> c.state
-  GROUP BY c.csn, c.week_start, c.state)"""
-    every = " UNION ALL ".join(
-        f"SELECT csn, CAST(week_start AS TIMESTAMP) AS week_start, {k} AS piece, CAST(cut AS TIMESTAMP) AS cut, state FROM cut{k}"
-        for k in range(11)
-    )
-    return f"""WITH {ctes}, cuts AS ({every})
-SELECT csn, week_start, CAST(piece AS BIGINT) AS piece, cut AS start_dttm,
+  GROUP BY c.csn, c.week_start, c.piece, c.state)
+SELECT csn, week_start, piece, cut AS start_dttm,
   coalesce(lead(cut) OVER (PARTITION BY csn, week_start ORDER BY piece), week_start + INTERVAL 7 DAY) AS end_dttm, state
 FROM cuts"""
 
 
-@query(_split_sql())
+@query(_SPLIT_SQL)
 def split_on_change(spark, folder):
     events = t.table(spark, folder, "events").select(
         F.col("user_id").alias("csn"), "ts", F.when(F.col("value") > 50, "HIGH").otherwise("LOW").alias("seen")
