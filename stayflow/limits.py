@@ -16,7 +16,7 @@ DEFAULTS = {
     # bytes such a side may have, and what a text or nested cell is taken to have
     "broadcastBytes": 64_000_000,
     "bytesPerText": 40,
-    # events of one interval that may be folded in one array; above it the split runs in rounds
+    # events of one interval that may be folded in one array; above it they stay rows
     "eventsPerFold": 20_000,
     # segments of one range shuffle
     "maxSegments": 50_000,

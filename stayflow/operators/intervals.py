@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -411,11 +410,15 @@ def split_on_change(
     """Cut intervals where an event changes their state.
 
     Events are taken in time order.  One cuts if its state is known and differs from the current
-    one, it is at least ``min_gap`` after the start and after the last cut, and at least
-    ``min_gap`` before the end (up to ``as_of`` when open).  At most ``max_cuts`` cuts are made (None:
-    as many as there are) and an interval with unknown state is never cut.  ``may_restart`` may add ``_restart`` to the
-    matched events (``_at`` and the intervals' ``carry`` columns): where it is false, the piece
-    that begins at the event is not cut again.
+    one, it is at least ``min_gap`` (more than nothing) after the start and after the last cut, and at
+    least ``min_gap`` before the end (up to ``as_of`` when open).  At most ``max_cuts`` cuts are made
+    (None: as many as there are) and an interval with unknown state is never cut.  ``may_restart`` may
+    add ``_restart`` to the matched events (``_at`` and the intervals' ``carry`` columns): where it is
+    false, the piece that begins at the event is not cut again.
+
+    Up to ``events_per_fold`` events are walked in one array per interval.  Beyond that the events stay
+    rows: each knows the cut that would follow if it were one, and the chain of cuts from the start is
+    found by doubling the steps taken.
 
     Output: the interval's columns with new start, end and state, and ``piece`` (0, 1, ...).
     """
@@ -441,13 +444,14 @@ def split_on_change(
     bound = events_per_fold or session_limit(intervals.sparkSession, "eventsPerFold")
     heavy = hot_keys(owned, ids, bound)
     if heavy is None:
-        cuts = _cuts_by_fold(owned, ids, gap, max_cuts)
-    else:
-        many = heavy.table.select(*ids)
-        cuts = _cuts_by_fold(without(owned, many, ids), ids, gap, max_cuts).unionByName(
-            _cuts_in_rounds(keep(within(owned, many, ids)), ids, gap, max_cuts)
-        )
-    return _pieces(intervals.join(cuts, ids, "left"), start, end, state)
+        return _pieces(intervals.join(_cuts_by_fold(owned, ids, gap, max_cuts), ids, "left"), start, end, state)
+    many = keep(heavy.table.select(*ids))
+    folded = _cuts_by_fold(without(owned, many, ids, known=True), ids, gap, max_cuts)
+    light = intervals.join(many, ids, "left_anti")
+    chained = _cuts_by_doubling(keep(within(owned, many, ids)), ids, gap, max_cuts, bound)
+    return _pieces(light.join(folded, ids, "left"), start, end, state).unionByName(
+        _pieces_of_many(intervals.join(many, ids, "left_semi"), chained, ids, start, end, state, bound)
+    )
 
 
 _CUTS = "array<struct<at:timestamp_ntz,state:string,restart:boolean>>"
@@ -469,7 +473,7 @@ def _cuts_here(event: Column, cuts: Column, gap: Column) -> Column:
     )
 
 
-def _cuts_by_fold(owned: DataFrame, ids: list[str], gap: Column, max_cuts: int) -> DataFrame:
+def _cuts_by_fold(owned: DataFrame, ids: list[str], gap: Column, max_cuts: int | None) -> DataFrame:
     """Walk the sorted events of one interval, carrying the cuts made so far."""
     log = F.array_sort(F.collect_list(_event()))
     logs = owned.groupBy(*ids).agg(
@@ -487,43 +491,64 @@ def _cuts_by_fold(owned: DataFrame, ids: list[str], gap: Column, max_cuts: int)
     ).filter(F.size("_cuts") > 0)
 
 
-def _cuts_in_rounds(
-    owned: DataFrame, ids: list[str], gap: Column, max_cuts: int | None, shares: int = 32
+def _cuts_by_doubling(
+    owned: DataFrame, ids: list[str], gap: Column, max_cuts: int | None, limit: int
 ) -> DataFrame:
-    """The same cuts for intervals with too many events for one array.
+    """The same cuts as rows (``ids``, ``_at``, ``_state``), for intervals with too many events for one array.
 
-    Each round finds the next cut of every interval with a minimum that is combined before the
-    shuffle.  Only the cuts travel: the events are spread over ``shares`` tasks per interval.
+    If an event cuts, the next cut is known from it alone: the first event at least ``gap`` later, or, if that
+    has the same state, the next event with another one.  Both are found by ordered scans.  The chain that
+    begins at the interval's start is then followed in steps of 1, 2, 4, ... cuts.
     """
-    events = owned.select(
-        *ids, "_at", "_seen", "_restart", F.pmod(F.xxhash64("_at", "_seen"), F.lit(shares)).alias("_share")
+    numbered = arrange(owned, ids, ["_at", "_seen", "_restart"], limit)
+    numbered = numbered.running(_n=("sum", F.lit(1))).shift(_before=("_seen", -1))
+    turns = F.col("_before").isNull() | (F.col("_before") != F.col("_seen"))
+    numbered = numbered.following(_turn=F.when(turns, F.col("_n"))).df
+    numbered = keep(numbered.select(*ids, "_at", "_seen", "_restart", "_state", "_n", "_turn"))
+    event = F.struct("_n", "_seen", "_turn")
+    first = numbered.filter("_n = 1").select(*ids, _differing(event, F.col("_state")).alias("_n")).filter("_n is not null")
+    probes = numbered.filter("_restart").select(
+        *ids, (F.col("_at") + gap).alias("_at"), F.lit(0).alias("_side"), "_n", "_seen", F.lit(None).cast("struct<_n:bigint,_seen:string,_turn:bigint>").alias("_event")
     )
-    cuts = owned.groupBy(*ids).agg(
-        F.first("_state").alias("_state"), F.first("_from").alias("_from")
-    ).withColumn("_cuts", F.array().cast(_CUTS))
-    for _ in count() if max_cuts is None else range(max_cuts):
-        repeated = cuts.withColumn(
-            "_share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint")))
-        )
-        change = _cuts_here(_event(), F.col("_cuts"), gap)
-        cuts = (
-            events.join(repeated, [*ids, "_share"])
-            .groupBy(*ids)
-            .agg(
-                F.first("_state").alias("_state"),
-                F.first("_from").alias("_from"),
-                F.first("_cuts").alias("_cuts"),
-                F.min(F.when(change, _event())).alias("_cut"),
-            )
-            .withColumn(
-                "_cuts",
-                F.when(F.col("_cut").isNull(), F.col("_cuts")).otherwise(
-                    F.array_append("_cuts", F.col("_cut"))
-                ),
-            )
-            .drop("_cut")
-        )
-    return cuts.select(*ids, "_cuts").filter(F.size("_cuts") > 0)
+    events = numbered.select(*ids, "_at", F.lit(1).alias("_side"), "_n", "_seen", event.cast("struct<_n:bigint,_seen:string,_turn:bigint>").alias("_event"))
+    met = arrange(probes.unionByName(events), ids, ["_at", "_side", "_n"], limit).following(_first="_event")
+    jumps = met.filter(F.col("_side") == 0).df.select(*ids, "_n", _differing(F.col("_first"), F.col("_seen")).alias("_next"))
+    jumps, reached = keep(jumps.filter("_next is not null")), keep(first)
+    taken = 1
+    while max_cuts is None or taken < max_cuts:
+        further = reached.join(jumps, [*ids, "_n"]).select(*ids, F.col("_next").alias("_n"))
+        further = keep(further)
+        if further.isEmpty():
+            break
+        reached = keep(reached.unionByName(further))
+        beyond = jumps.select(*ids, F.col("_n").alias("_next"), F.col("_next").alias("_then"))
+        jumps = keep(jumps.join(beyond, [*ids, "_next"]).select(*ids, "_n", F.col("_then").alias("_next")))
+        taken *= 2
+    cuts = numbered.join(reached, [*ids, "_n"], "left_semi").select(*ids, "_at", F.col("_seen").alias("_state"), "_n")
+    if max_cuts is not None:
+        ranked = arrange(cuts, ids, ["_n"], limit).running(_rank=("sum", F.lit(1)))
+        cuts = ranked.filter(F.col("_rank") <= max_cuts).drop("_rank").df
+    return cuts
+
+
+def _differing(event: Column, state: Column) -> Column:
+    """Number of the event, or of the next one with another state if this one has ``state``."""
+    return F.when(event["_seen"] != state, event["_n"]).otherwise(event["_turn"])
+
+
+def _pieces_of_many(
+    intervals: DataFrame, cuts: DataFrame, ids: list[str], start: str, end: str, state: str, limit: int
+) -> DataFrame:
+    """One row per piece from cuts as rows."""
+    begins = intervals.select(*ids, F.col(start).alias("_at"), F.col(state).alias("_state"), F.lit(0).alias("_n"))
+    marks = arrange(begins.unionByName(cuts), ids, ["_n"], limit)
+    marks = marks.running(piece=("sum", F.lit(1))).shift(_upto=("_at", 1))
+    whole = intervals.drop(start, state).withColumnRenamed(end, "_end")
+    rows = join_one(marks.df, whole, ids, "inner", limit)
+    named = rows.withColumns(
+        {start: F.col("_at"), end: F.coalesce("_upto", "_end"), state: F.col("_state"), "piece": (F.col("piece") - 1).cast("int")}
+    )
+    return named.select(*intervals.columns, "piece")
 
 
 def _pieces(df: DataFrame, start: str, end: str, state: str) -> DataFrame:

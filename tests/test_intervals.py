@@ -131,10 +131,10 @@ def loop_split(span, events, cap):
     return [(span["id"], i, m[0], e, m[1]) for i, (m, e) in enumerate(zip(marks, ends))]
 
 
-@pytest.mark.parametrize("fold", [None, 5])
+@pytest.mark.parametrize("fold, limit, cap", [(None, None, 4), (None, None, None), (5, None, 4), (5, None, None), (1, 10, None), (1, 10, 3)])
 @pytest.mark.parametrize("restart", [False, True])
-def test_split_by_fold_and_by_rounds(spark, fold, restart):
-    rnd = Random(5)
+def test_split_by_fold_and_by_doubling(spark, fold, limit, cap, restart):
+    rnd = Random(5 + bool(cap))
     spans, events = [], []
     for i in range(40):
         key = rnd.randrange(30)
@@ -142,9 +142,11 @@ def test_split_by_fold_and_by_rounds(spark, fold, restart):
         e = None if rnd.random() < 0.15 else s + timedelta(minutes=rnd.randrange(2, 300))
         spans.append({"k": key, "id": i, "s": s, "e": e, "state": rnd.choice(["A", "B", None, "A"])})
         for _ in range(rnd.choice([0, 2, 40])):
-            events.append((key, s + timedelta(seconds=rnd.randrange(0, 9000)), rnd.choice(["A", "B", None]), rnd.random() < 0.8))
+            events.append((key, s + timedelta(seconds=rnd.randrange(0, 9000)), rnd.choice(["A", "B", "C", None]), rnd.random() < 0.8))
     seen = set()
     events = [x for x in events if (x[0], x[1]) not in seen and not seen.add((x[0], x[1]))]
+    if not restart:  # several events at one time: the smaller state comes first
+        events += [(k, at, rnd.choice(["A", "B", "C"]), True) for k, at, *_ in events[::5]]
     sdf = spark.createDataFrame([tuple(x.values()) for x in spans], "k long, id long, s timestamp_ntz, e timestamp_ntz, state string")
     edf = spark.createDataFrame(events, "k long, at timestamp_ntz, seen string, go boolean")
     flags = edf.select("at", F.col("go").alias("_restart"), F.col("k").alias("_k"))
@@ -154,17 +156,34 @@ def test_split_by_fold_and_by_rounds(spark, fold, restart):
 
     got = iv.split_on_change(
         sdf, edf, ["k"], ["id"], "s", "e", "state", "at", "seen", as_of=mins(10_000),
-        max_cuts=4, events_per_fold=fold, may_restart=look_up if restart else None, carry=["k"],
+        max_cuts=cap, limit=limit, events_per_fold=fold, may_restart=look_up if restart else None, carry=["k"],
     )
     result = sorted(((r["id"], r["piece"], r["s"], r["e"], r["state"]) for r in got.collect()), key=lambda r: r[:2])
     expected = []
     for x in spans:
-        mine = [(at, st, go if restart else True) for k, at, st, go in events if k == x["k"]]
-        expected += loop_split(x, mine, 4)
+        mine = [(at, st, go if restart else True) for k, at, st, go in events if k == x["k"] and st]
+        expected += loop_split(x, mine, cap)
     # open intervals may also own events of later intervals of the same key; the rule is the same
     assert result == sorted(expected, key=lambda r: r[:2])
 
 
+def test_split_of_fifty_thousand_events(spark):
+    """More events on one stay than are folded: every cut is found, without a cap, in rows."""
+    rnd = Random(8)
+    at, events = T0, []
+    for _ in range(50_000):
+        at += timedelta(seconds=rnd.choice([5, 20, 40, 70, 200]))
+        events.append((1, at, rnd.choice("ABC")))
+    span = {"k": 1, "id": 7, "s": T0, "e": at + timedelta(hours=1), "state": "A"}
+    edf = spark.createDataFrame(events, "k long, at timestamp_ntz, seen string")
+    sdf = spark.createDataFrame([tuple(span.values()), (2, 8, T0, None, "B")], "k long, id long, s timestamp_ntz, e timestamp_ntz, state string")
+    got = iv.split_on_change(sdf, edf, ["k"], ["id"], "s", "e", "state", "at", "seen", as_of=mins(10**6))
+    result = sorted((r["id"], r["piece"], r["s"], r["e"], r["state"]) for r in got.filter("id = 7").collect())
+    want = loop_split(span, [(a, st, True) for _, a, st in events], None)
+    assert len(want) > 20_000 and result == want
+    assert [tuple(r)[2:] for r in got.filter("id = 8").collect()] == [(T0, None, "B", 0)]
+
+
 @pytest.fixture(scope="module")
 def moves(spark):
     rnd = Random(2)
