@@ -18,8 +18,11 @@ ADMIT = "ADMIT TO UNIT"
 TRANSFER = "TRANSFER FROM UNIT"
 IN_UNIT = "PATIENT IN UNIT"
 
-# dated records of one key that may be searched as a list; longer histories are joined by time cell
+# dated records of one key that may be searched as a list; longer histories are cut into chunks of time
 _RECORDS_PER_KEY = 200
+# beginnings and ends of records in one chunk, and lengths of runs of chunks as powers of two
+_CHUNK = 64
+_LENGTHS = 48
 # widths of time cells as powers of two of a second: about an hour, and eight times that per level
 _CELL_BITS = range(12, 40, 3)
 
@@ -198,31 +201,91 @@ def latest_record(
     Of several valid records the one with the latest start wins, then the one with the latest end,
     then the greatest taken values.  Facts without a valid record, or with a NULL key, keep NULL in
     the taken columns (``{record column: new name}``).  A small history sits beside every task, a
-    large one is joined by key and time cell; both give the same rows.
+    large one is merged with the facts in order of time; both give the same rows.
     """
     record = F.struct(
         F.col(start).alias("_s"), open_end(end).alias("_e"), *[F.col(c) for c in take]
     )
     records = history.select(*dict.fromkeys([*keys, start, end, *take])).withColumn("_record", record)
     sizes = records.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).first()
+    valid = F.filter("_records", lambda r: (F.col(at) >= r["_s"]) & (F.col(at) <= r["_e"]))
     if may_broadcast(records, sizes[0] or 0) and (sizes[1] or 0) <= _RECORDS_PER_KEY:
         lists = records.groupBy(*keys).agg(F.collect_list("_record").alias("_records"))
-        held = facts.join(F.broadcast(lists), keys, "left")
-        valid = F.filter("_records", lambda r: (F.col(at) >= r["_s"]) & (F.col(at) <= r["_e"]))
-        found = held.withColumn("_hit", F.array_max(valid))
+        found = facts.join(F.broadcast(lists), keys, "left").withColumn("_hit", F.array_max(valid))
     else:
-        numbered = keep(facts.withColumn("_fact", F.monotonically_increasing_id()))
-        spans = records.select(*keys, F.col(start).alias("_from"), F.col(end).alias("_to"), "_record")
-        narrow = numbered.select(*dict.fromkeys([*keys, at]), "_fact")
-        best = (
-            points_in_intervals(narrow, spans, keys, at, "_from", "_to")
-            .groupBy("_fact")
-            .agg(F.max("_interval._record").alias("_hit"))
-        )
-        found = numbered.join(best, "_fact", "left")
+        placed, lists = _chunks(facts, records.select(*keys, "_record"), keys, at, limit, known)
+        found = join_one(placed, lists, [*keys, "_chunk"], "left", limit, _as_even(known, keys, [*keys, "_chunk"]))
+        found = found.select(*keys, "_row", "_records").select("_row.*", "_records").withColumn("_hit", F.array_max(valid))
     return found.select(*facts.columns, *[F.col(f"_hit.{c}").alias(n) for c, n in take.items()])
 
 
+def _as_even(known: Ordered | None, keys: list[str], finer: list[str]):
+    """No finer key can have more rows than the key it refines."""
+    return True if even(known, keys) else None
+
+
+def _chunks(
+    facts: DataFrame, records: DataFrame, keys: list[str], at: str, limit: int | None, known: Ordered | None
+) -> tuple[DataFrame, DataFrame]:
+    """Long histories: facts with the chunk of time they fall in, and the records that matter there.
+
+    Facts and the beginnings and ends of records are put in order of time, and every ``_CHUNK`` beginnings
+    and ends make a chunk of the key's time.  A fact is copied nowhere: it is given the number of its
+    chunk.  A record is entered in the chunks in which it begins and ends.  Of the records that last through a whole
+    chunk only the greatest can win there; it is carried in.  So no list holds more than ``_CHUNK`` + 1.
+    """
+    held = keep(records.dropna(subset=keys).filter("_record._e >= _record._s").withColumn("_id", F.monotonically_increasing_id()))
+    row = F.struct(*[F.col(c) for c in facts.columns]).alias("_row")
+    dots = facts.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_side"), row)
+    begins = held.select(*keys, F.col("_record._s").alias("_at"), F.lit(0).alias("_side"), "_id")
+    ends = held.select(*keys, F.col("_record._e").alias("_at"), F.lit(2).alias("_side"), "_id")
+    marks = begins.unionByName(ends).unionByName(dots, allowMissingColumns=True)
+    # a key is as hot as its facts and its history are
+    even_too = known if even(known, keys) and hot_keys(held, keys, limit) is None else None
+    seen = arrange(marks, keys, ["_at", "_side", "_id"], limit, even_too).running(
+        _before=("sum", F.when(F.col("_side") != 1, 1))
+    )
+    edge = F.col("_side") != 1
+    seen = seen.with_columns({"_chunk": F.floor((F.col("_before") - F.when(edge, 1).otherwise(0)) / _CHUNK)}).df
+    placed = seen.filter(~edge).select(*keys, "_chunk", "_row")
+    spans = seen.filter(edge).groupBy("_id").agg(F.min("_chunk").alias("_a"), F.max("_chunk").alias("_b"))
+    spans = keep(held.join(spans, "_id").drop("_id"))
+    listed = spans.select(*keys, F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_chunk"), "_record")
+    tops = _carried(spans.filter("_b > _a + 1"), seen.filter(~edge).select(*keys, "_chunk").distinct(), keys)
+    lists = listed.unionByName(tops).groupBy(*keys, "_chunk").agg(F.collect_list("_record").alias("_records"))
+    return placed, lists
+
+
+def _carried(spans: DataFrame, chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """For each chunk the greatest record that lasts all through it.
+
+    The chunks strictly between a record's first and last are cut into runs of 1, 2, 4, ... chunks that begin at
+    multiples of their length; a chunk looks at the runs that hold it, one per length.
+    """
+    powers = F.sequence(F.lit(0), F.lit(_LENGTHS - 1))
+
+    def runs(k: Column) -> Column:
+        """Runs of length 2 ** k: what is left of the span is [low, high], in units of that length."""
+        size = F.pow(F.lit(2.0), k).cast("bigint")
+        low = F.floor((F.col("_a") + size) / size)
+        high = F.floor(F.col("_b") / size) - 1
+        from_left = F.when((low <= high) & (low % 2 == 1), F.struct(k.alias("_power"), low.alias("_run")))
+        from_right = F.when((low <= high) & (high % 2 == 0), F.struct(k.alias("_power"), high.alias("_run")))
+        return F.array(from_left, from_right)
+
+    cut = spans.select(*keys, "_record", F.explode(F.flatten(F.transform(powers, runs))).alias("_part"))
+    best = (
+        cut.filter("_part is not null")
+        .select(*keys, "_part._power", "_part._run", "_record")
+        .groupBy(*keys, "_power", "_run")
+        .agg(F.max("_record").alias("_record"))
+    )
+    used = best.groupBy(*keys).agg(F.collect_set("_power").alias("_powers"))  # at most _LENGTHS
+    asked = chunks.join(used, keys).select(*keys, "_chunk", F.explode("_powers").alias("_power"))
+    asked = asked.withColumn("_run", F.floor(F.col("_chunk") / F.pow(F.lit(2.0), F.col("_power")).cast("bigint")))
+    return asked.join(best, [*keys, "_power", "_run"]).groupBy(*keys, "_chunk").agg(F.max("_record").alias("_record"))
+
+
 def _seconds(ts: Column | str) -> Column:
     """Whole seconds since 1970 of a timestamp without a time zone; NULL for NULL."""
     ts = F.col(ts) if isinstance(ts, str) else ts
@@ -244,41 +307,39 @@ def points_in_intervals(
 
     Output: the point's columns and ``_interval`` (a struct of the interval's columns).  NULL keys
     match nothing.  An interval is entered in the one or two time cells that it touches on the level
-    whose cells are about as wide as it is; a point looks into its cell on every level.  So one
-    equi-join on key, level and cell finds all pairs at any depth of nesting, the rows of one key are
-    spread by time, and only neighbours in time are compared.
+    whose cells are about as wide as it is.  A directory lists for each key the levels in use; points of other
+    keys are dropped, and a point looks into its cell on those levels only.  So one equi-join on key,
+    level and cell finds all pairs at any depth of nesting, and only neighbours in time are compared.
+    Where a key has more points than ``limit``, cells with too many (long and open intervals have
+    wide ones) are spread over tasks.
     """
     span = F.struct(*[F.col(c) for c in intervals.columns]).alias("_interval")
     held = intervals.select(
-        *[F.col(k).alias(f"_right_{k}") for k in keys],
-        F.col(start).alias("_from"),
-        open_end(end).alias("_until"),
-        span,
+        *keys, F.col(start).alias("_from"), open_end(end).alias("_until"), span
     ).filter("_until >= _from")
     length = _seconds("_until") - _seconds("_from")
     level = F.lit(_CELL_BITS[-1])
     for bits in reversed(_CELL_BITS[:-1]):
         level = F.when(length < (1 << bits), bits).otherwise(level)
-    widths = F.array(*[F.lit(bits) for bits in _CELL_BITS])
+    held = held.withColumn("_level", level)
+    directory = held.groupBy(*keys).agg(F.bit_or(F.expr("shiftleft(1L, _level)")).alias("_levels"))
     first, last = (F.expr(f"shiftright({n}, _level)") for n in ("_first", "_last"))
     held = (
-        held.withColumns({"_level": level, "_first": _seconds("_from"), "_last": _seconds("_until")})
+        held.withColumns({"_first": _seconds("_from"), "_last": _seconds("_until")})
         .withColumn("_cell", F.explode(F.sequence(first, last)))
         .drop("_first", "_last")
     )
-    seen = (
-        points.filter(F.col(at).isNotNull())
-        .withColumns({"_level": F.explode(widths), "_second": _seconds(at)})
-        .withColumn("_cell", F.expr("shiftright(_second, _level)"))
-        .drop("_second")
+    dots = points.filter(F.col(at).isNotNull())
+    calm = even(known, keys) or hot_keys(dots, keys, limit) is None
+    used = F.filter(
+        F.array(*[F.lit(bits) for bits in _CELL_BITS]), lambda b: F.col("_levels").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), b)) != 0
+    )
+    seen = join_one(dots, directory, keys, "inner", limit, calm or None).withColumns(
+        {"_level": F.explode(used), "_second": _seconds(at)}
     )
-    test = F.col(at).between(F.col("_from"), F.col("_until"))
-    for c in ("_level", "_cell"):
-        held = held.withColumnRenamed(c, f"_right{c}")
-        test = test & (F.col(c) == F.col(f"_right{c}"))
-    for k in keys:
-        test = test & (F.col(k) == F.col(f"_right_{k}"))
-    return seen.join(held, test, "inner").select(*points.columns, "_interval")
+    seen = seen.withColumn("_cell", F.expr("shiftright(_second, _level)")).drop("_second", "_levels")
+    met = join_one(seen, held, [*keys, "_level", "_cell"], "inner", limit, calm or None)
+    return met.filter(F.col(at).between(F.col("_from"), F.col("_until"))).select(*points.columns, "_interval")
 
 
 def count_in_interval(

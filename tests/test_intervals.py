@@ -44,8 +44,9 @@ def inside(p, s):
     return p[0] == s[0] and s[1] <= p[1] and (s[2] is None or p[1] <= s[2])
 
 
-def test_points_in_overlapping_intervals(tables, data):
-    got = iv.points_in_intervals(*tables, ["k"], "at", "s", "e")
+@pytest.mark.parametrize("limit", LIMITS)
+def test_points_in_overlapping_intervals(tables, data, limit):
+    got = iv.points_in_intervals(*tables, ["k"], "at", "s", "e", limit)
     pairs = sorted((r["pid"], r["_interval"]["sid"]) for r in got.collect())
     assert pairs == sorted((p[2], s[3]) for p in data[0] for s in data[1] if inside(p, s))
 
@@ -64,11 +65,12 @@ def test_counts_without_pairs(tables, data, limit, unlike):
         assert counts[s[3]] == len(want)
 
 
-@pytest.mark.parametrize("way", ["list", "cells"])
-def test_latest_record_wins(tables, data, way, monkeypatch):
-    if way == "cells":
+@pytest.mark.parametrize("chunk, limit", [(None, None), (64, None), (4, None), (1, 25), (3, 25)])
+def test_latest_record_wins(tables, data, chunk, limit, monkeypatch):
+    if chunk:
         monkeypatch.setattr(iv, "_RECORDS_PER_KEY", 1)
-    got = iv.latest_record(*tables, ["k"], "at", "s", "e", {"sid": "sid", "s": "began"})
+        monkeypatch.setattr(iv, "_CHUNK", chunk)
+    got = iv.latest_record(*tables, ["k"], "at", "s", "e", {"sid": "sid", "s": "began"}, limit=limit)
     found = {r["pid"]: (r["began"], r["sid"]) for r in got.collect()}
     assert len(found) == len(data[0]) == got.count()
     for p in data[0]:
@@ -105,12 +107,65 @@ def test_null_keys_ties_and_deep_nesting(odd, monkeypatch):
     counts = {r["sid"]: r["n"] for r in iv.count_in_interval(pdf, sdf, ["k"], ["sid"], "at", "s", "e", "n").collect()}
     assert counts == {s[3]: sum(s[2] is not None and holds(p, s) for p in points) for s in spans}
     want = {p[2]: max(((s[1], s[2] or datetime(9999, 12, 31), s[3]) for s in spans if holds(p, s)), default=(None,))[-1] for p in points}
-    for longest in (200, 1):
+    for longest, chunk in ((200, 64), (1, 64), (1, 2)):
         monkeypatch.setattr(iv, "_RECORDS_PER_KEY", longest)
+        monkeypatch.setattr(iv, "_CHUNK", chunk)
         found = iv.latest_record(pdf, sdf, ["k"], "at", "s", "e", {"sid": "sid"}).collect()
         assert {r["pid"]: r["sid"] for r in found} == want and len(found) == len(points)
 
 
+def _open_history(spark):
+    points = spark.range(100_000).select(
+        F.lit(1).cast("long").alias("k"), "id", (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id"))).alias("at")
+    )
+    spans = [(1, mins(0), None, 0)] + [(1, mins(500 * i), mins(500 * i + 300), i) for i in range(1, 300)]
+    return points.repartition(8), spark.createDataFrame(spans, "k long, s timestamp_ntz, e timestamp_ntz, sid long")
+
+
+def _tasks(df):
+    """Rows made by each task."""
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+
+
+@pytest.fixture
+def as_if_large(spark):
+    """Spark joins tables of this size in one task; here it shall treat them as large ones."""
+    names = ["adaptive.coalescePartitions.enabled", "adaptive.autoBroadcastJoinThreshold", "autoBroadcastJoinThreshold"]
+    for name, value in zip(names, ["false", "-1", "-1"]):
+        spark.conf.set(f"spark.sql.{name}", value)
+    yield
+    for name in names:
+        spark.conf.unset(f"spark.sql.{name}")
+
+
+def test_points_of_one_open_interval_are_spread(spark, as_if_large):
+    points, spans = _open_history(spark)
+    found = iv.points_in_intervals(points, spans.filter("sid = 0"), ["k"], "at", "s", "e", limit=10_000)
+    tasks = _tasks(found)
+    assert sum(tasks) == 100_000 and len(tasks) > 3 and max(tasks) < 60_000
+
+
+def test_only_levels_in_use_are_exchanged(spark):
+    """Three lengths of intervals: a point is copied three times at most, a point of another key never."""
+    points, _ = _open_history(spark)
+    points = points.unionByName(points.limit(5).withColumn("k", F.lit(2).cast("long")))
+    spans = spark.createDataFrame([(1, mins(0), mins(9), 0), (1, mins(0), None, 1), (1, mins(0), mins(9000), 2), (3, mins(0), mins(300), 3)], "k long, s timestamp_ntz, e timestamp_ntz, sid long")
+    found = iv.points_in_intervals(points, spans, ["k"], "at", "s", "e", known=True)
+    assert found.count() == 10 + 9001 + 100_000
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    copied = [line for line in plan.splitlines() if "Generate explode" in line and "_levels" in line]
+    assert len(copied) == 1 and "bit_or" in plan
+
+
+def test_long_history_of_a_hot_key_is_spread(spark, as_if_large):
+    points, spans = _open_history(spark)
+    found = iv.latest_record(points, spans, ["k"], "at", "s", "e", {"sid": "sid"}, limit=10_000)
+    tasks = _tasks(found)
+    assert sum(tasks) == 100_000 and len(tasks) > 3 and max(tasks) < 60_000
+    want = [next((i for i in [(n // 500)] if 0 < i < 300 and n % 500 <= 300), 0) for n in range(100_000)]
+    assert [r["sid"] for r in found.orderBy("id").collect()] == want
+
+
 def loop_split(span, events, cap):
     """The rule, one interval at a time."""
     state, last, cuts = span["state"], span["s"], []
