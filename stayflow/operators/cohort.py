@@ -12,7 +12,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.operators.joins import join_any_key, join_dim, join_one, within, without
+from stayflow.operators.joins import join_dim, only_keys, within, without
+from stayflow.sources.scratch import keep
 
 KEYS = ["csn", "har"]
 
@@ -99,13 +100,11 @@ def flag_flip(
     return within(flipped, flagged, ["csn"], known=True).select(*KEYS)
 
 
-def linked_by_merge(
-    movements: DataFrame,
+def merge_candidates(
     encounters: DataFrame,
     accounts: DataFrame,
     cohort: DataFrame,
     window: RunWindow,
-    move_filter: Column,
     encounter_filter: Column,
 ) -> DataFrame:
     """Encounters on either side of an account merge that fell inside the window.
@@ -118,12 +117,28 @@ def linked_by_merge(
         ).select(F.col("prim_csn").alias("csn"), F.col("har").alias("_from"), F.col("combine_har").alias("_into")),
         cohort,
         ["csn"],
-    ).select("_from", "_into")
+        known=True,
+    )
+    sides = merged.select(F.explode(F.array("_from", "_into")).alias("har")).distinct()
     chosen = encounters.filter(
         encounter_filter & (F.col("admit_dttm") > F.lit(window.year_before))
     )
-    linked = join_any_key(chosen, merged, "har", ["_into", "_from"], "left_semi")
-    return within(linked, movements.filter(move_filter), ["csn"], known=True).select(*KEYS)
+    return only_keys(chosen, keep(sides), "har").select(*KEYS)
+
+
+def linked_by_merge(
+    movements: DataFrame,
+    encounters: DataFrame,
+    accounts: DataFrame,
+    cohort: DataFrame,
+    window: RunWindow,
+    move_filter: Column,
+    encounter_filter: Column,
+) -> DataFrame:
+    """The :func:`merge_candidates` that have a wanted movement; only their part of the log is read."""
+    linked = keep(merge_candidates(encounters, accounts, cohort, window, encounter_filter))
+    moved = only_keys(movements.filter(move_filter), linked, "csn")
+    return within(linked, moved, ["csn"], known=True)
 
 
 def siblings(
@@ -142,7 +157,15 @@ def siblings(
         known=True,
     )
     chosen = encounters if encounter_filter is None else encounters.filter(encounter_filter)
-    return join_one(chosen, targets, ["har"], "left_semi").select(*KEYS)
+    return only_keys(chosen, keep(targets), "har").select(*KEYS)
+
+
+def places_seen(moves: DataFrame, place: Column) -> DataFrame:
+    """Per encounter, whether any of its movements (to known places) satisfies ``place``: ``csn, _wanted``.
+
+    Added up before the shuffle, so an encounter of very many movements is no burden.
+    """
+    return moves.groupBy("csn").agg(F.max(F.when(place, 1)).alias("_wanted"))
 
 
 def require_any(
@@ -154,12 +177,9 @@ def require_any(
     encounter: Column,
 ) -> DataFrame:
     """Cohort rows with a movement to a wanted place, or any known place for a wanted encounter."""
-    visited = within(movements.select("csn", "dept_id"), cohort, ["csn"]).distinct()
-    seen = (
-        join_dim(visited, departments, ["dept_id"])
-        .groupBy("csn")
-        .agg(F.max(F.when(place, 1)).alias("_wanted"))
-    )
+    cohort = keep(cohort)
+    visited = only_keys(movements.select("csn", "dept_id"), cohort, "csn")
+    seen = places_seen(join_dim(visited, departments, ["dept_id"]), place)
     facts = seen.join(encounters.drop("har", "dept_id"), "csn")
     passed = facts.filter(F.coalesce((F.col("_wanted") == 1) | encounter, F.lit(False)))
     return within(cohort, passed, ["csn"], known=True)

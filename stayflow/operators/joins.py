@@ -128,6 +128,22 @@ def within(df: DataFrame, keys_df: DataFrame, keys: list[str], known=None) -> Da
     return join_one(df, keys_df.select(*keys).distinct(), keys, "left_semi", known=known)
 
 
+def only_keys(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+    """Rows of a large table whose ``key`` is listed.  ``listed`` should be a kept table: it is read twice.
+
+    The list's bounds are pushed into the scan of ``df``.  A list known to be small is sent to every task; a long
+    one is joined by key, where Spark can drop most rows before the shuffle by a Bloom filter of the list and
+    splits hot keys itself.
+    """
+    names = listed.select(key).filter(F.col(key).isNotNull())
+    rows, low, high = names.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
+    if not rows:
+        return df.filter(F.lit(False))
+    bounds = F.col(key).between(F.lit(low), F.lit(high))
+    names = names.filter(bounds)
+    return df.filter(bounds).join(F.broadcast(names) if may_broadcast(names, rows) else names, key, "left_semi")
+
+
 def flag_if_exists(
     df: DataFrame,
     keys_df: DataFrame,

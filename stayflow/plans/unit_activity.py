@@ -29,6 +29,7 @@ from stayflow.operators.joins import (
     join_one,
     multi_class_keys,
     only_code,
+    only_keys,
     within,
 )
 from stayflow.operators.ordered import Ordered, arrange, measured
@@ -47,30 +48,38 @@ STAY_ORDER = ["unit_in_dttm", "unit_out_dttm", "dept_id"]
 # -- which encounters -----------------------------------------------------------------------
 
 
-def with_base_class(t: Tables) -> DataFrame:
-    """Encounters with the billing class of their account."""
-    return join_one(t["encounters"], t["accounts"].select("har", "base_class"), ["har"])
-
-
 def find_encounters(
     t: Tables, stored: DataFrame, window: RunWindow, compare: bool = True
 ) -> DataFrame:
-    """Encounters to rebuild: ``csn, har, billed_as_op``.
+    """Encounters to rebuild: ``csn, har, billed_as_op``; see :func:`pick_encounters`."""
+    return pick_encounters(t, stored, window, compare)[0]
+
+
+def pick_encounters(
+    t: Tables, stored: DataFrame, window: RunWindow, compare: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Encounters to rebuild (``csn, har, billed_as_op``) and the part of the log they were picked by.
 
     Each step adds only encounters no earlier step has listed.  ``stored`` is the published table;
     ``compare=False`` leaves out the steps that look for later corrections in it, as for
     historical runs.  The changed-discharge step rests on the first two days of a month.
+
+    The log is read twice: the window's movements tell which encounters were active, and all
+    movements of the encounters that any step may add are kept and serve the other steps and the build.
     """
     recent_move = F.col("in_dttm") > F.lit(rules.DATA_BEGINS)
     recent_admit = F.col("admit_dttm") > F.lit(rules.DATA_BEGINS)
     not_emergency = ~F.col("pat_class").isin(*rules.EMERGENCY_CLASSES)
     is_inpatient = F.col("base_class") == rules.INPATIENT_BASE_CLASS
-    classed = keep(with_base_class(t))
+    on_unit = F.col("grp11").isin(*rules.UNIT_GROUPS)
+    classed = t["encounters"].join(t["accounts"].select("har", "base_class"), "har")
     known = _stored_names(stored)
 
-    chosen = pick.recent_activity(
-        t["movements"], classed, window, recent_move, not_emergency & is_inpatient & recent_admit
-    ).withColumn("billed_as_op", F.lit(0))
+    moved = t["movements"].filter(window.covers("out_dttm") | window.covers("in_dttm")).filter(recent_move)
+    moved = keep(moved.select("csn").distinct())
+    active = keep(only_keys(classed.filter(recent_admit), moved, "csn").select("csn", "har", "dept_id", "pat_class", "base_class"))
+
+    chosen = active.filter(not_emergency & is_inpatient).select("csn", "har", F.lit(0).alias("billed_as_op"))
     if compare:
         if window.as_of.day not in (1, 2):
             chosen = accumulate(chosen, pick.changed_end(known, t["encounters"], window), 0)
@@ -78,50 +87,44 @@ def find_encounters(
             flipped = pick.flag_flip(known, classed, window, from_=stored_flag)
             chosen = accumulate(chosen, flipped, new_flag)
     chosen = keep(chosen)
-
-    merged = pick.linked_by_merge(
-        t["movements"],
-        classed,
-        t["accounts"],
-        chosen,
-        window,
-        recent_move,
-        not_emergency & is_inpatient & recent_admit,
-    )
-    chosen = keep(accumulate(chosen, merged, 0))
-    related = pick.siblings(
-        t["encounters"], t["accounts"], chosen, is_inpatient, not_emergency
+    linked = keep(
+        pick.merge_candidates(classed, t["accounts"], chosen, window, not_emergency & is_inpatient & recent_admit)
     )
-    chosen = pick.require_any(
-        accumulate(chosen, related, 0),
-        t["movements"],
-        t["dept"].select("dept_id", "grp11"),
-        t["encounters"],
-        F.col("grp11").isin(*rules.UNIT_GROUPS),
-        F.col("pat_class").isin(*rules.KEPT_CLASSES),
-    )
-    chosen = keep(chosen)
-
-    on_unit = join_dim(classed, t["dept"].select("dept_id", "grp11"), ["dept_id"])
-    outpatients = pick.recent_activity(
-        t["movements"],
-        on_unit,
-        window,
-        recent_move,
+    either = accumulate(chosen, linked, 0)
+    related = keep(pick.siblings(t["encounters"], t["accounts"], either, is_inpatient, not_emergency))
+    outpatients = join_dim(active, t["dept"].select("dept_id", "grp11"), ["dept_id"]).filter(
         F.col("base_class").isin(*rules.OUTPATIENT_BASE_CLASSES)
-        & recent_admit
-        & F.col("grp11").isin(*rules.UNIT_GROUPS)
-        & (F.col("pat_class") != rules.LABOR_OUTPATIENT_CLASS),
+        & on_unit
+        & (F.col("pat_class") != rules.LABOR_OUTPATIENT_CLASS)
+    )
+    missed = keep(
+        pick.missed_accounts(
+            t["accounts"],
+            known,
+            window,
+            (F.col("acct_class") == rules.MISSED_ACCOUNT_CLASS)
+            & (F.col("tot_chgs") > rules.MISSED_ACCOUNT_MIN_CHARGES),
+        )
     )
-    chosen = keep(accumulate(chosen, outpatients, 1))
-    missed = pick.missed_accounts(
-        t["accounts"],
-        known,
-        window,
-        (F.col("acct_class") == rules.MISSED_ACCOUNT_CLASS)
-        & (F.col("tot_chgs") > rules.MISSED_ACCOUNT_MIN_CHARGES),
+    steps = [chosen, linked, related, active.filter(F.col("base_class").isin(*rules.OUTPATIENT_BASE_CLASSES)), missed]
+    any_step = steps[0].select("csn")
+    for step in steps[1:]:
+        any_step = any_step.union(step.select("csn"))
+    wide = t["movements"].select("csn", "event_id", "dept_id", "in_dttm", "out_dttm", "pat_out_dttm")
+    log = keep(only_keys(wide, keep(any_step.distinct()), "csn"))
+
+    began = log.filter(recent_move)
+    chosen = accumulate(chosen, within(linked, began, ["csn"], known=True), 0)
+    # a sibling counts if its account holds an encounter that has been chosen
+    chosen = accumulate(chosen, within(related, chosen, ["har"], known=True), 0)
+    seen = pick.places_seen(join_dim(log, t["dept"].select("dept_id", "grp11"), ["dept_id"]), on_unit)
+    seen = seen.join(t["encounters"].select("csn", "pat_class"), "csn")
+    passed = seen.filter(
+        F.coalesce((F.col("_wanted") == 1) | F.col("pat_class").isin(*rules.KEPT_CLASSES), F.lit(False))
     )
-    return keep(accumulate(chosen, missed, 0))
+    chosen = within(chosen, passed, ["csn"], known=True)
+    chosen = accumulate(chosen, outpatients.select("csn", "har"), 1)
+    return keep(accumulate(chosen, missed, 0)), log
 
 
 def _stored_names(stored: DataFrame) -> DataFrame:
@@ -149,17 +152,19 @@ def departments(t: Tables) -> DataFrame:
     ).drop("_parent", "_grp7")
 
 
-def cohort_movements(t: Tables, chosen: DataFrame, dept: DataFrame) -> DataFrame:
+def cohort_movements(t: Tables, chosen: DataFrame, dept: DataFrame, log: DataFrame | None = None) -> DataFrame:
     """All movements of the chosen encounters with their department.
 
-    Encounters that are not in the encounter table have none.
+    Encounters that are not in the encounter table have none.  ``log`` is the part of the log that holds
+    them, if it has been read already.
     """
-    known = within(chosen, t["encounters"], ["csn"], known=True)
-    moves = join_one(t["movements"], known, ["csn"])
-    return join_dim(moves, dept, ["dept_id"]).filter(F.col("csn").isNotNull())
+    known = keep(only_keys(t["encounters"].select("csn"), chosen, "csn").join(chosen, "csn"))
+    moves = only_keys(t["movements"], known, "csn") if log is None else log
+    # one row per encounter on the right: Spark sends a short list to every task, and splits hot encounters itself
+    return join_dim(moves.join(known, "csn"), dept, ["dept_id"])
 
 
-def movement_detail(moves: DataFrame, t: Tables, known: Ordered | None = None) -> DataFrame:
+def movement_detail(moves: DataFrame, t: Tables) -> DataFrame:
     """Movements on inpatient units, with type, split where the level of care changes."""
     on_unit = moves.filter(
         F.col("grp11").isin(*rules.UNIT_GROUPS)
@@ -168,7 +173,7 @@ def movement_detail(moves: DataFrame, t: Tables, known: Ordered | None = None) -
     )
     levels = t["loc_events"].select("event_id", "level_of_care")
     typed = keep(classify(on_unit.join(levels, "event_id"), t["dept_history"]))
-    return split_by_care(typed, t, known)
+    return split_by_care(typed, t)
 
 
 def _real_stay() -> Column:
@@ -192,7 +197,7 @@ def classify(moves: DataFrame, history: DataFrame) -> DataFrame:
     ).drop("_valid", "_grp11", "_grp4")
 
 
-def split_by_care(typed: DataFrame, t: Tables, known: Ordered | None = None) -> DataFrame:
+def split_by_care(typed: DataFrame, t: Tables) -> DataFrame:
     """Cut the stays on mixed units at each change of the level of care."""
     mixed = typed.filter("_splits").drop("_splits")
     events = t["loc_events"].filter(
@@ -209,7 +214,7 @@ def split_by_care(typed: DataFrame, t: Tables, known: Ordered | None = None) ->
 
     pieces = split_on_change(
         mixed,
-        join_one(events, mixed.select("csn").distinct(), ["csn"], "left_semi"),
+        only_keys(events, keep(mixed.select("csn").distinct()), "csn"),
         ["csn"],
         ["event_id"],
         "in_dttm",
@@ -221,17 +226,11 @@ def split_by_care(typed: DataFrame, t: Tables, known: Ordered | None = None) ->
         max_cuts=rules.MOST_CUTS,
         may_restart=still_mixed,
         carry=["dept_id", "hosp"],
-        known=_events_known(events, known),
     )
     whole = typed.filter("not _splits").drop("_splits").withColumn("piece", F.lit(0))
     return whole.unionByName(pieces)
 
 
-def _events_known(events: DataFrame, known: Ordered | None) -> Ordered | None:
-    """Level-of-care events are another table: measure them too."""
-    return None if known is None else measured(events, ["csn"])
-
-
 _DETAIL = [
     "csn",
     "har",
@@ -437,10 +436,9 @@ def attribute_site(stays: DataFrame, dept: DataFrame, history: DataFrame) -> Dat
     ).drop("_now_grp4", "_now_loc", "_known", "_valid", "_grp4", "_loc")
 
 
-def account_columns(stays: DataFrame) -> DataFrame:
+def account_columns(stays: DataFrame, known: Ordered | None = None) -> DataFrame:
     """Trackers, cross-site transfers and bounce-back hours within each account."""
     side = F.when(F.col("hup_site") == rules.CROSS_SITE, "one").otherwise("other")
-    known = measured(stays, ["har"])
     crossing = multi_class_keys(
         stays, ["har"], side, F.col("hup_site").isin(*rules.CROSS_SITES)
     )
@@ -503,17 +501,20 @@ def add_churn(stays: DataFrame, moves: DataFrame, known: Ordered | None = None)
     ).drop("_until")
 
 
-def add_flags(stays: DataFrame, t: Tables, known: Ordered | None = None) -> DataFrame:
+def add_flags(
+    stays: DataFrame, t: Tables, known: Ordered | None = None, accounts: Ordered | None = None
+) -> DataFrame:
     """Normal newborn and hospice flags.  Gap rows have no value unless the flag is set."""
     codes = t["rev_codes"].filter(F.col("revenue_code").isin([rules.NEWBORN_CODE, *rules.NICU_CODES]))
-    run = stays.select("har").distinct()
-    coded = within(join_dim(t["charges"], codes, ["rev_code_id"]), run, ["har"])
+    # the run's accounts first: no other account's charges are looked at
+    charges = only_keys(t["charges"], keep(stays.select("har").distinct()), "har")
+    coded = join_dim(charges, codes, ["rev_code_id"])
     newborns = only_code(
         coded, "har", "revenue_code", "amount", rules.NEWBORN_CODE, list(rules.NICU_CODES)
     )
     hospice = t["encounters"].filter(F.col("pat_class").isin(*rules.HOSPICE_CLASSES))
     unset = F.when(F.col("detail_line").isNotNull(), F.lit(0))
-    flagged = flag_if_exists(stays, newborns, ["har"], "normal_newborn", unset)
+    flagged = flag_if_exists(stays, newborns, ["har"], "normal_newborn", unset, accounts)
     return flag_if_exists(flagged, hospice, ["csn"], "hospice", unset, known)
 
 
@@ -577,24 +578,28 @@ def to_output(stays: DataFrame, owner: str) -> DataFrame:
     return named.select(*[F.col(n).cast(types[n]).alias(n) for n in types])
 
 
-def build_for(t: Tables, chosen: DataFrame, window: RunWindow, owner: str = "") -> DataFrame:
+def build_for(
+    t: Tables, chosen: DataFrame, window: RunWindow, owner: str = "", log: DataFrame | None = None
+) -> DataFrame:
     """Unit activity of the given encounters (``csn, har, billed_as_op``)."""
     t = {**t, "as_of": window.end}  # open stays run as far as the movements do
-    dept = departments(t)
-    moves = keep(cohort_movements(t, chosen, dept))
+    dept = keep(departments(t))
+    moves = keep(cohort_movements(t, chosen, dept, log))
     known = measured(moves, ["csn"])
-    detail = keep(movement_detail(moves, t, known))
+    detail = keep(movement_detail(moves, t))
     rows = keep(all_rows(moves, detail, known))
     stays = keep(unit_stays(rows, known))
     stays = stays.unionByName(gap_stays(stays, moves, known))
     stays = encounter_columns(stays, t["encounters"], known)
     stays = keep(attribute_site(keep(stays), dept, t["dept_history"]))
-    stays = keep(add_churn(account_columns(stays), moves, known))
-    return to_output(finish(add_flags(stays, t, known), t["encounters"], known), owner)
+    accounts = measured(stays, ["har"])
+    stays = keep(add_churn(account_columns(stays, accounts), moves, known))
+    return to_output(finish(add_flags(stays, t, known, accounts), t["encounters"], known), owner)
 
 
 def build(
     t: Tables, stored: DataFrame, window: RunWindow, owner: str = "", compare: bool = True
 ) -> DataFrame:
     """The daily run: pick the encounters, then build their unit activity."""
-    return build_for(t, find_encounters(t, stored, window, compare), window, owner)
+    chosen, log = pick_encounters(t, stored, window, compare)
+    return build_for(t, chosen, window, owner, log)
