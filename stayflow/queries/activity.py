@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from stayflow.operators.cohort import RunWindow
 from stayflow.operators.ordered import arrange
 from stayflow.plans.schemas import INPUTS, OUTPUT
-from stayflow.plans.unit_activity import build
+from stayflow.plans.unit_activity import build, find_encounters
 from stayflow.queries import tables as t
 from stayflow.queries.registry import query
-from stayflow.sources.scratch import keep
+from stayflow.sources.published import MONTH, publish, read_published, stored_for_run
+from stayflow.sources.scratch import keep, scratch_path
 
 WINDOW = RunWindow(date(2024, 2, 1), lookback_days=40)
 
@@ -46,9 +47,29 @@ def _typed(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(n).cast(kind.replace(";", ",")).alias(n) for n, kind in fields])
 
 
-def hospital(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _weekly(events: DataFrame) -> DataFrame:
+    """A user is an account, and each week of the month an encounter of its own."""
+    week = F.floor((F.dayofmonth("ts") - 1) / 7)
+    return events.withColumns({"har": F.col("user_id"), "user_id": F.col("user_id") * 10 + week})
+
+
+def _with_merges(accounts: DataFrame) -> DataFrame:
+    """Every tenth account was merged into the next one in the run's window, and another tenth long before."""
+    ending = F.pmod("har", F.lit(10))
+    merged = ending.isin(3, 6)
+    return accounts.withColumns(
+        {
+            "combine_har": F.when(merged, F.col("har") + 1),
+            "combine_dttm": F.when(ending == 3, F.lit(datetime(2024, 1, 31))).when(ending == 6, F.lit(datetime(2023, 6, 1))),
+            "base_class": F.when(F.pmod("har", F.lit(4)) == 0, 2).otherwise(1),
+        }
+    )
+
+
+def hospital(spark: SparkSession, folder: str, weekly: bool = False) -> dict[str, DataFrame]:
     """All input tables of the build, derived from ``events``."""
-    events = t.table(spark, folder, "events").withColumn("har", F.pmod("user_id", F.lit(t.ACCOUNTS)))
+    events = t.table(spark, folder, "events")
+    events = _weekly(events) if weekly else events.withColumn("har", F.pmod("user_id", F.lit(t.ACCOUNTS)))
     dept = _pick(F.col("event_type"), 0)
     hour = F.col("ts") + F.expr("INTERVAL '1' HOUR")
     gone = ~F.col("event_type").isin("view", "purchase")
@@ -165,7 +186,7 @@ def hospital(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     made = {
         "movements": log,
         "encounters": encounters,
-        "accounts": accounts,
+        "accounts": _with_merges(accounts) if weekly else accounts,
         "dept": depts,
         "dept_history": early.unionByName(late),
         "loc_events": levels,
@@ -218,8 +239,9 @@ def _around(name: str, source: str) -> str:
   FROM ({source}) WINDOW w AS (PARTITION BY csn ORDER BY in_dttm, out_dttm))"""
 
 
-_ACTIVITY_SQL = f"""
-WITH dept AS (SELECT * FROM (VALUES {_values(_PLACES.values())}) v(dept_id, name, specialty, grp11, grp4, rev_loc_id)),
+def _tables_sql(events: str, har: str, accounts: str) -> str:
+    """The hospital; ``har`` is an encounter's account, ``accounts`` their classes and merges."""
+    return f"""dept AS (SELECT * FROM (VALUES {_values(_PLACES.values())}) v(dept_id, name, specialty, grp11, grp4, rev_loc_id)),
 places AS (SELECT dept.*, CASE WHEN rev_loc_id = 10107 THEN 'PPMC' ELSE 'HUP' END AS hosp FROM dept),
 hist AS (
   SELECT dept_id, TIMESTAMP '2000-01-01' AS start_date, TIMESTAMP '2024-01-15 23:59:59' AS end_date, grp11, grp4, rev_loc_id FROM dept
@@ -228,24 +250,26 @@ hist AS (
 log AS (
   SELECT user_id AS csn, event_id, CASE event_type WHEN 'view' THEN 11 WHEN 'click' THEN 12 WHEN 'purchase' THEN 20
     WHEN 'signup' THEN 40 ELSE 5602 END AS dept_id, ts AS in_dttm, lead(ts) OVER w AS next_ts, event_type, value
-  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+  FROM ({events}) WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 moves AS (
   SELECT csn, event_id, dept_id, in_dttm, coalesce(next_ts, in_dttm + INTERVAL 1 HOUR) AS out_dttm,
     CASE WHEN next_ts IS NOT NULL THEN next_ts WHEN event_type NOT IN ('view', 'purchase') THEN in_dttm + INTERVAL 1 HOUR END AS pat_out
   FROM log),
 encounters AS (
-  SELECT csn, csn % 50 AS har, arg_min(dept_id, in_dttm) AS dept_id,
+  SELECT csn, {har} AS har, arg_min(dept_id, in_dttm) AS dept_id,
     CASE arg_min(event_type, in_dttm) WHEN 'signup' THEN 102 WHEN 'purchase' THEN 153 ELSE 101 END AS pat_class,
     min(in_dttm) AS admit, CASE WHEN arg_max(event_type, in_dttm) NOT IN ('view', 'purchase') THEN max(in_dttm) + INTERVAL 1 HOUR END AS disch
   FROM log GROUP BY csn),
 accounts AS (
-  SELECT csn % 50 AS har, min(csn) AS prim_csn, min(in_dttm) AS adm, CASE WHEN max(value) > 300 THEN 2 ELSE 1 END AS base_class,
-    round(sum(value), 2) AS tot FROM log GROUP BY csn % 50),
+  SELECT {har} AS har, min(csn) AS prim_csn, min(in_dttm) AS adm, {accounts},
+    round(sum(value), 2) AS tot FROM log GROUP BY {har}),
 care AS (
   SELECT event_id, csn, in_dttm AS effective, CASE WHEN value > 40 THEN 37 ELSE 1 END AS level, 1 AS subtype FROM log
   UNION ALL SELECT event_id + 1000000000000, csn, in_dttm + INTERVAL 90 MINUTE, CASE WHEN value >= 20 THEN 1 WHEN value >= 2 THEN 37 END,
-    CASE WHEN event_type = 'error' THEN 2 ELSE 1 END FROM log),
-recent AS (
+    CASE WHEN event_type = 'error' THEN 2 ELSE 1 END FROM log)"""
+
+
+_COHORT_SQL = """recent AS (
   SELECT DISTINCT csn FROM moves WHERE out_dttm BETWEEN TIMESTAMP '2023-12-23' AND TIMESTAMP '2024-02-02'
     OR in_dttm BETWEEN TIMESTAMP '2023-12-23' AND TIMESTAMP '2024-02-02'),
 inpatients AS (
@@ -260,8 +284,9 @@ listed AS (SELECT * FROM inpatients UNION ALL SELECT * FROM outpatients),
 cohort AS (
   SELECT * FROM listed
   UNION ALL SELECT prim_csn, har, 0 FROM accounts WHERE tot > 1000 AND adm > TIMESTAMP '2024-02-01' - INTERVAL 180 DAY
-    AND prim_csn NOT IN (SELECT csn FROM listed)),
-cm AS (SELECT m.*, c.har, c.billed, p.name, p.specialty, p.grp11, p.hosp FROM moves m JOIN cohort c USING (csn) JOIN places p USING (dept_id)),
+    AND prim_csn NOT IN (SELECT csn FROM listed))"""
+
+_STEPS_SQL = f"""cm AS (SELECT m.*, c.har, c.billed, p.name, p.specialty, p.grp11, p.hosp FROM moves m JOIN cohort c USING (csn) JOIN places p USING (dept_id)),
 typed AS (
   SELECT cm.*, CASE h.grp11 WHEN 1 THEN 'PSYCHIATRY' WHEN 2 THEN 'WOMENS SERVICES' WHEN 3 THEN 'MED/SURG'
       WHEN 4 THEN CASE WHEN cm.hosp = 'HUP' AND h.grp4 = 'HUP54' AND a.level NOT IN (36, 37) THEN 'MED/SURG' ELSE 'CRITICAL CARE' END
@@ -364,7 +389,7 @@ visits AS (
   SELECT s.csn, s.line, count(*) AS visits FROM har_next s JOIN moves m ON m.csn = s.csn AND m.in_dttm BETWEEN s.in_dttm AND s.out_dttm - INTERVAL 1 MINUTE
     AND m.dept_id <> s.dept_id JOIN dept d ON d.dept_id = m.dept_id WHERE m.dept_id <> 5602 AND d.grp11 = 6 GROUP BY ALL),
 newborns AS (
-  SELECT csn % 50 AS har FROM log GROUP BY 1 HAVING sum(CASE WHEN event_type = 'signup' THEN round(value - 20, 2) END) > 0
+  SELECT csn_har AS har FROM (SELECT *, CSN_HAR AS csn_har FROM log) GROUP BY 1 HAVING sum(CASE WHEN event_type = 'signup' THEN round(value - 20, 2) END) > 0
     AND count(*) FILTER (event_type = 'error' AND value > 250) = 0),
 kept AS (SELECT * FROM har_next WHERE NOT (coalesce(kind LIKE 'NON IP UNIT%', false) AND coalesce(status = 'PATIENT IN UNIT', false) AND line = 1)),
 last_lines AS (SELECT csn, max(line) AS line FROM kept GROUP BY csn),
@@ -373,8 +398,9 @@ final AS (
     l.line IS NOT NULL AND k.status NOT IN ('DISCHARGED', 'PATIENT IN UNIT') AND k.next_csn IS NULL AND k.out_dttm = e.disch AS ends
   FROM kept k JOIN encounters e ON e.csn = k.csn LEFT JOIN last_lines l ON l.csn = k.csn AND l.line = k.line
   LEFT JOIN visits v ON v.csn = k.csn AND v.line = k.line LEFT JOIN back_csn b ON b.csn = k.csn AND b.line = k.line
-  LEFT JOIN back_har r ON r.csn = k.csn AND r.line = k.line LEFT JOIN newborns nb ON nb.har = k.har)
-SELECT csn AS "PAT_ENC_CSN", line AS "LINE", har AS "HSP_ACCOUNT_ID", kind AS "UNIT_STAY_TYPE", CAST(dept_id AS BIGINT) AS "ADT_DEPARTMENT_ID",
+  LEFT JOIN back_har r ON r.csn = k.csn AND r.line = k.line LEFT JOIN newborns nb ON nb.har = k.har)"""
+
+_SELECT_SQL = """SELECT csn AS "PAT_ENC_CSN", line AS "LINE", har AS "HSP_ACCOUNT_ID", kind AS "UNIT_STAY_TYPE", CAST(dept_id AS BIGINT) AS "ADT_DEPARTMENT_ID",
   in_dttm AS "UNIT_IN_DTTM", out_dttm AS "UNIT_OUT_DTTM", CASE WHEN ends THEN 'DISCHARGED' ELSE status END AS "UNIT_STATUS",
   unit_csn AS "IP_UNIT_TRACKER_CSN", icu_csn AS "ICU_TRACKER_CSN", next_dept AS "NEXT_IP_DEPT_ID",
   CASE WHEN ends THEN 'DISCHARGED' ELSE next_csn END AS "NEXT_IP_UNIT_STAY_TYPE_CSN", unit_har AS "IP_UNIT_TRACKER_HAR", icu_har AS "ICU_TRACKER_HAR",
@@ -386,13 +412,158 @@ SELECT csn AS "PAT_ENC_CSN", line AS "LINE", har AS "HSP_ACCOUNT_ID", kind AS "U
 FROM final"""
 
 
-@query(_ACTIVITY_SQL)
-def unit_activity(spark, folder):
-    stored = spark.createDataFrame([], OUTPUT)
-    table = build(hospital(spark, folder), stored, WINDOW).drop("TABLE_OWNER")
+def _activity_sql(events: str, har: str, accounts: str, cohort: str) -> str:
+    """All tables up to ``final``, which has a row per stay."""
+    return f"{_tables_sql(events, har, accounts)},\n{cohort},\n{_STEPS_SQL}".replace("CSN_HAR", har)
+
+
+_ACTIVITY_SQL = "WITH " + _activity_sql(
+    "SELECT * FROM events", "csn % 50", "CASE WHEN max(value) > 300 THEN 2 ELSE 1 END AS base_class", _COHORT_SQL
+) + "\n" + _SELECT_SQL
+
+
+def _plain_numbers(table: DataFrame) -> DataFrame:
     return table.select(
         *[
             F.col(n).cast("bigint" if kind == "int" else "double" if kind.startswith("decimal") else kind).alias(n)
             for n, kind in table.dtypes
         ]
     )
+
+
+@query(_ACTIVITY_SQL)
+def unit_activity(spark, folder):
+    stored = spark.createDataFrame([], OUTPUT)
+    return _plain_numbers(build(hospital(spark, folder), stored, WINDOW).drop("TABLE_OWNER"))
+
+
+# -- the daily run against a stored table ---------------------------------------------------
+
+DAILY = RunWindow(date(2024, 2, 5), lookback_days=8)
+FIRST_OF_MONTH = RunWindow(date(2024, 2, 1), lookback_days=8)
+_WEEKLY = "SELECT event_id, ts, user_id * 10 + (day(ts) - 1) // 7 AS user_id, event_type, value FROM events"
+_MERGED = """CASE WHEN (csn // 10) % 4 = 0 THEN 2 ELSE 1 END AS base_class,
+    CASE WHEN (csn // 10) % 10 IN (3, 6) THEN csn // 10 + 1 END AS combine_har,
+    CASE (csn // 10) % 10 WHEN 3 THEN TIMESTAMP '2024-01-31' WHEN 6 THEN TIMESTAMP '2023-06-01' END AS combine"""
+
+
+def stored_stays(tables: dict[str, DataFrame]) -> DataFrame:
+    """What earlier runs are taken to have published: one stay for each encounter of the first three weeks.
+
+    Some were stored with another discharge time, some with another billing flag, and some accounts not at all.
+    """
+    account = lambda n: F.pmod("har", F.lit(n))
+    seen = tables["encounters"].filter((F.pmod("csn", F.lit(10)) < 3) & (account(11) != 10))
+    late = F.when(account(7) == 2, F.expr("INTERVAL '1' HOUR")).otherwise(F.expr("INTERVAL '0' HOUR"))
+    billed = F.when(account(4) == 0, F.when(account(8) == 0, 0).otherwise(1)).when(account(9) == 5, 1).otherwise(0)
+    made = {
+        "PAT_ENC_CSN": F.col("csn"),
+        "LINE": F.lit(1),
+        "HSP_ACCOUNT_ID": F.col("har"),
+        "UNIT_STAY_TYPE": F.when(F.col("dept_id") == 20, "CRITICAL CARE").otherwise("MED/SURG"),
+        "ADT_DEPARTMENT_ID": F.col("dept_id"),
+        "UNIT_IN_DTTM": F.col("admit_dttm"),
+        "UNIT_OUT_DTTM": F.col("disch_dttm") + late,
+        "UNIT_STATUS": F.lit("DISCHARGED"),
+        "IP_UNIT_TRACKER_HAR": F.lit(1),
+        "BILLED_AS_OP": billed,
+    }
+    types = dict(part.split(" ") for part in OUTPUT.split(", "))
+    return seen.select(*[made.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in types.items()])
+
+
+_STORED_SQL = """stored0 AS (
+  SELECT csn AS "PAT_ENC_CSN", CAST(1 AS BIGINT) AS "LINE", har AS "HSP_ACCOUNT_ID", CASE WHEN dept_id = 20 THEN 'CRITICAL CARE' ELSE 'MED/SURG' END AS "UNIT_STAY_TYPE",
+    CAST(dept_id AS BIGINT) AS "ADT_DEPARTMENT_ID", admit AS "UNIT_IN_DTTM", disch + CASE WHEN har % 7 = 2 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS "UNIT_OUT_DTTM",
+    'DISCHARGED' AS "UNIT_STATUS", CAST(1 AS BIGINT) AS "IP_UNIT_TRACKER_HAR", CAST(NULL AS BIGINT) AS "ICU_TRACKER_HAR",
+    CAST(CASE WHEN har % 4 = 0 THEN CASE WHEN har % 8 = 0 THEN 0 ELSE 1 END WHEN har % 9 = 5 THEN 1 ELSE 0 END AS BIGINT) AS "BILLED_AS_OP"
+  FROM encounters WHERE csn % 10 < 3 AND har % 11 <> 10)"""
+
+
+def _cohort_sql(window: RunWindow, tag: str = "") -> str:
+    """The steps of a run, one after the other, each without what an earlier one has listed."""
+    start, end, before = (f"TIMESTAMP '{d:%Y-%m-%d}'" for d in (window.start, window.end, window.year_before))
+    ago = lambda n: f"TIMESTAMP '{window.days_ago(n):%Y-%m-%d}'"
+    changed = "EXISTS (SELECT 1 FROM stored0 s WHERE s.PAT_ENC_CSN = e.csn AND s.UNIT_OUT_DTTM <> e.disch)"
+    if window.as_of.day in (1, 2):
+        changed = "false"
+    return f"""
+recent{tag} AS (
+  SELECT DISTINCT csn FROM moves WHERE out_dttm BETWEEN {start} AND {end} OR in_dttm BETWEEN {start} AND {end}),
+facts{tag} AS (
+  SELECT e.csn, e.har, e.pat_class, e.dept_id, a.base_class, r.csn IS NOT NULL AND a.base_class = 1 AND e.pat_class NOT IN (103, 104) AS s1,
+    e.disch > {ago(45)} AND {changed} AS s2,
+    e.disch > {ago(180)} AND a.base_class <> 1 AND e.csn IN (SELECT PAT_ENC_CSN FROM stored0 WHERE BILLED_AS_OP = 0) AS s3,
+    e.disch > {ago(180)} AND a.base_class = 1 AND e.csn IN (SELECT PAT_ENC_CSN FROM stored0 WHERE BILLED_AS_OP = 1) AS s4,
+    r.csn IS NOT NULL AND a.base_class IN (2, 3) AND e.pat_class <> 138 AND e.dept_id IN (SELECT dept_id FROM dept WHERE grp11 IN (1, 2, 3, 4)) AS s7
+  FROM encounters e JOIN accounts a ON a.har = e.har LEFT JOIN recent{tag} r ON r.csn = e.csn),
+early{tag} AS (SELECT csn, har, CASE WHEN s1 OR s2 THEN 0 WHEN s3 THEN 1 ELSE 0 END AS billed FROM facts{tag} WHERE s1 OR s2 OR s3 OR s4),
+sides{tag} AS (
+  SELECT har, combine_har FROM accounts WHERE adm > {before} AND combine BETWEEN {start} AND {end}
+    AND prim_csn NOT IN (SELECT csn FROM early{tag})),
+linked{tag} AS (
+  SELECT e.csn, e.har, 0 AS billed FROM encounters e JOIN accounts a ON a.har = e.har
+  WHERE a.base_class = 1 AND e.pat_class NOT IN (103, 104) AND e.admit > {before}
+    AND (e.har IN (SELECT har FROM sides{tag}) OR e.har IN (SELECT combine_har FROM sides{tag})) AND e.csn NOT IN (SELECT csn FROM early{tag})),
+two{tag} AS (SELECT * FROM early{tag} UNION ALL SELECT * FROM linked{tag}),
+family{tag} AS (
+  SELECT e.csn, e.har, 0 AS billed FROM encounters e WHERE e.pat_class NOT IN (103, 104) AND e.csn NOT IN (SELECT csn FROM two{tag})
+    AND e.har IN (SELECT c.har FROM two{tag} c JOIN accounts a ON a.combine_har = c.har WHERE a.base_class = 1)),
+three{tag} AS (
+  SELECT x.* FROM (SELECT * FROM two{tag} UNION ALL SELECT * FROM family{tag}) x JOIN encounters e USING (csn)
+  WHERE e.pat_class IN (101, 102, 125, 10014) OR x.csn IN (SELECT csn FROM moves JOIN dept USING (dept_id) WHERE grp11 IN (1, 2, 3, 4))),
+four{tag} AS (SELECT * FROM three{tag} UNION ALL SELECT csn, har, 1 FROM facts{tag} WHERE s7 AND csn NOT IN (SELECT csn FROM three{tag})),
+cohort{tag} AS (
+  SELECT * FROM four{tag} UNION ALL SELECT prim_csn, har, 0 FROM accounts WHERE tot > 1000 AND adm > {ago(180)}
+    AND har NOT IN (SELECT HSP_ACCOUNT_ID FROM stored0) AND prim_csn NOT IN (SELECT csn FROM four{tag}))"""
+
+
+def _repaired_sql(source: str, name: str) -> str:
+    """``source`` with the stays of accounts renumbered whose first stay two encounters hold."""
+    return f"""
+{name}_twice AS (SELECT HSP_ACCOUNT_ID AS har FROM {source} WHERE IP_UNIT_TRACKER_HAR = 1 GROUP BY 1 HAVING count(DISTINCT PAT_ENC_CSN) > 1),
+{name}_members AS (SELECT DISTINCT PAT_ENC_CSN FROM {source} WHERE HSP_ACCOUNT_ID IN (SELECT har FROM {name}_twice)),
+{name}_again AS (
+  SELECT PAT_ENC_CSN, LINE, count(*) FILTER (UNIT_STAY_TYPE NOT ILIKE 'NON IP%') OVER w AS unit, count(*) FILTER (UNIT_STAY_TYPE = 'CRITICAL CARE') OVER w AS icu
+  FROM {source} JOIN {name}_members USING (PAT_ENC_CSN) WINDOW w AS (PARTITION BY HSP_ACCOUNT_ID ORDER BY UNIT_IN_DTTM, ADT_DEPARTMENT_ID, PAT_ENC_CSN)),
+{name} AS (
+  SELECT s.* REPLACE (CASE WHEN s.UNIT_STAY_TYPE NOT ILIKE 'NON IP%' THEN coalesce(unit, IP_UNIT_TRACKER_HAR) ELSE IP_UNIT_TRACKER_HAR END AS IP_UNIT_TRACKER_HAR,
+    CASE WHEN s.UNIT_STAY_TYPE = 'CRITICAL CARE' THEN coalesce(icu, ICU_TRACKER_HAR) ELSE ICU_TRACKER_HAR END AS ICU_TRACKER_HAR)
+  FROM {source} s LEFT JOIN {name}_again a ON a.PAT_ENC_CSN = s.PAT_ENC_CSN AND a.LINE = s.LINE)"""
+
+
+def _daily_sql() -> str:
+    body = _activity_sql(_WEEKLY, "csn // 10", _MERGED, f"{_STORED_SQL},{_cohort_sql(DAILY)}")
+    return f"""WITH {body},
+batch AS ({_SELECT_SQL}),{_repaired_sql("stored0", "stored1")},
+replaced AS (SELECT * FROM batch UNION ALL BY NAME SELECT * FROM stored1 WHERE PAT_ENC_CSN NOT IN (SELECT PAT_ENC_CSN FROM batch)),
+{_repaired_sql("replaced", "published")}
+SELECT * FROM published"""
+
+
+@query(_daily_sql())
+def daily_run(spark, folder):
+    """Pick against the stored table, build, publish, read back: the whole table after the run."""
+    path = scratch_path(spark)
+    tables = hospital(spark, folder, weekly=True)
+    publish(spark, path, stored_stays(tables))
+    batch = build(tables, stored_for_run(spark, path, tables, DAILY), DAILY)
+    publish(spark, path, batch)
+    return _plain_numbers(read_published(spark, path).drop(MONTH, "TABLE_OWNER"))
+
+
+def _cohorts_sql() -> str:
+    tables = _tables_sql(_WEEKLY, "csn // 10", _MERGED)
+    first, later = _cohort_sql(FIRST_OF_MONTH, "_1"), _cohort_sql(DAILY, "_5")
+    return f"""WITH {tables},
+{_STORED_SQL},{first},{later}
+SELECT 1 AS run_day, csn, har, billed AS billed_as_op FROM cohort_1 UNION ALL SELECT 5, csn, har, billed FROM cohort_5"""
+
+
+@query(_cohorts_sql())
+def cohort_by_run_day(spark, folder):
+    """The encounters of two run days; on the first of a month discharge times are not compared."""
+    tables = hospital(spark, folder, weekly=True)
+    stored = stored_stays(tables)
+    days = [find_encounters(tables, stored, w).select(F.lit(w.as_of.day).alias("run_day"), "*") for w in (FIRST_OF_MONTH, DAILY)]
+    return days[0].unionByName(days[1])

@@ -123,3 +123,48 @@ def test_scratch_of_a_run_is_deleted(spark, tmp_path):
     files = spark._jvm.org.apache.hadoop.fs.Path(folder)
     assert not files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files)
     assert len(seen(spark, path)) == 1 and outside.count() == 3
+
+
+def test_months_and_accounts_are_looked_up(spark, tmp_path, monkeypatch):
+    """Only months with rows of affected encounters are read; the rest of the stored table is not."""
+    path = str(tmp_path / "activity")
+    months = [datetime(2023, m, 5) for m in range(1, 13)]
+    publish(spark, path, table(spark, [stay(c, 1, 100 * c, when, 1) for c, when in enumerate(months, 1)]))
+    read, real = [], published._read
+
+    def noted(session, folder, held, kind="data", schema=published._SCHEMA):
+        read.append((kind, sorted(held)))
+        return real(session, folder, held, kind, schema)
+
+    monkeypatch.setattr(published, "_read", noted)
+    # encounter 3 moves to May, encounter 20 joins account 700 of encounter 7
+    done = publish(spark, path, table(spark, [stay(3, 1, 300, months[4], 1), stay(20, 1, 700, months[4], 1)]))
+    assert [m for kind, m in read if kind == "data"] == [["2023-03", "2023-05", "2023-07"]]
+    got = {(r["PAT_ENC_CSN"]): (r["UNIT_IN_DTTM"], r["IP_UNIT_TRACKER_HAR"]) for r in read_published(spark, path).collect()}
+    assert len(got) == 13 and got[3] == (months[4], 1) and got[20] == (months[4], 1) and got[7] == (months[6], 2)
+    assert {tuple(r) for r in published.changed_encounters(spark, path, done.number - 1).collect()} == {(3, 2), (7, 2), (20, 2)}
+    assert published.changed_encounters(spark, path, done.number).count() == 0
+    assert {r["csn"]: r["version"] for r in published.changed_encounters(spark, path).collect()}[20] == 2
+
+    read.clear()
+    listed = spark.createDataFrame([(3,), (99,)], "csn long")
+    rows = published.read_of(spark, path, listed, spark.createDataFrame([(900,)], "har long"))
+    assert sorted(r["PAT_ENC_CSN"] for r in rows.collect()) == [3, 9]
+    assert [m for kind, m in read if kind == "data"] == [["2023-05", "2023-09"]]
+
+
+def test_unexpected_input_is_counted(spark, tmp_path):
+    path = str(tmp_path / "activity")
+    rows = table(spark, [stay(1, 1, 100, datetime(2024, 1, 5), 1, "review"), stay(2, 1, 200, datetime(2024, 1, 6), 1)])
+    site = F.when(F.col("PAT_ENC_CSN") == 2, "Needs Investigation").otherwise("HUP-Main")
+    done = publish(spark, path, rows.withColumn("HUP_SITE", site))
+    assert (done.number, done.rows) == (1, 2)
+    assert done.unexpected == {"UNIT_STAY_TYPE=review": 1, "HUP_SITE=Needs Investigation": 1}
+    done = publish(spark, path, rows.filter("PAT_ENC_CSN = 2"))
+    assert done.unexpected == {"UNIT_STAY_TYPE=review": 0, "HUP_SITE=Needs Investigation": 0}
+    counts = {(r["version"], r["name"]): r["rows"] for r in published.read_quality(spark, path).collect()}
+    assert counts[1, "HUP_SITE=Needs Investigation"] == 1 and counts[2, "rows"] == 1
+    done = publish(spark, path, rows.filter("PAT_ENC_CSN = 77"))
+    assert (done.number, done.rows) == (3, 0) and read_published(spark, path).count() == 2
+    done = publish(spark, path, table(spark, []))
+    assert done.rows == 0 and read_published(spark, path).count() == 2
