@@ -386,3 +386,31 @@ def read_grid(spark, folder):
     path = scratch_path(spark)
     _grid(spark, folder).write.csv(path, header=True, sep="\t")
     return grid.clean_grid(grid.read_grid(spark, path), first_by=["event_id"])
+
+
+@query(
+    """WITH numbered AS (SELECT event_id, event_type, value, event_id % 10 AS n FROM events)
+SELECT event_id, CASE WHEN n = 5 THEN event_type || chr(10) || 'and more' ELSE event_type END AS note,
+  CASE WHEN n = 4 THEN NULL ELSE CAST(round(value) AS BIGINT) END AS value, CAST(NULL AS BIGINT) AS cells
+FROM numbered WHERE n NOT IN (3, 7)
+UNION ALL SELECT event_id, NULL, NULL, CASE n WHEN 3 THEN 2 ELSE 4 END FROM numbered WHERE n IN (3, 7)"""
+)
+def grid_with_rejects(spark, folder):
+    """A grid with short and long records, quoted line breaks and null tokens: good rows, and rejects with their cells."""
+    path = scratch_path(spark)
+    n = F.col("event_id") % 10
+    number = F.round("value").cast("bigint").cast("string")
+    note = F.when(n == 5, F.concat(F.lit('"'), "event_type", F.lit('\nand more"'))).otherwise(F.col("event_type"))
+    cells = [F.col("event_id").cast("string"), note, F.when(n == 3, None).when(n == 4, "NaN").otherwise(number), F.when(n == 7, "extra")]
+    t.table(spark, folder, "events").select(F.concat_ws("\t", *cells)).write.text(path)
+    rows, rejects = grid.read_grid_checked(spark, path, names=["event_id", "note", "value"], line_breaks=True)
+    good = grid.clean_null_tokens(rows).select(
+        F.col("event_id").cast("bigint").alias("event_id"), "note", F.col("value").cast("bigint").alias("value"), F.lit(None).cast("bigint").alias("cells")
+    )
+    bad = rejects.select(
+        F.substring_index("record", "\t", 1).cast("bigint").alias("event_id"),
+        F.lit(None).cast("string").alias("note"),
+        F.lit(None).cast("bigint").alias("value"),
+        F.col("cells").cast("bigint").alias("cells"),
+    )
+    return good.unionByName(bad)

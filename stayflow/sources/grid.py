@@ -9,6 +9,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from stayflow.sources.scratch import keep
 
 # Whole-cell texts that stand for an empty cell.
 NULL_TOKENS = ("NULL", "nan")
@@ -19,6 +22,41 @@ def read_grid(spark: SparkSession, path: str, separator: str = "\t") -> DataFram
     return spark.read.csv(path, header=True, inferSchema=False, sep=separator)
 
 
+_RECORD = "_record"
+
+
+def read_grid_checked(
+    spark: SparkSession,
+    path: str,
+    separator: str = "\t",
+    names: list[str] | None = None,
+    line_breaks: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of an exported grid, and the records that have too few or too many cells.
+
+    Columns are named by the header line, or by ``names`` where files have none.  A rejected record comes as it
+    stands in the file (``record``) with its number of cells (``cells``).  ``line_breaks`` lets quoted cells hold
+    line breaks; a file is then read by one task, so large exports should come as several files.
+    The files are parsed once: what has been parsed is kept, and both results read it.
+    """
+    options = {"sep": separator, "header": names is None, "multiLine": line_breaks}
+    names = names or spark.read.csv(path, inferSchema=False, **options).columns
+    schema = StructType([StructField(n, StringType()) for n in [*names, _RECORD]])
+    parsed = keep(
+        spark.read.schema(schema)
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD, enforceSchema=True, **options)
+        .csv(path)
+    )
+    record = F.col(_RECORD)
+    # separators inside quotes are no ends of cells
+    bare = F.regexp_replace(record, '"[^"]*"', "")
+    cells = F.size(F.split(bare, f"\\Q{separator}\\E", -1))
+    return (
+        parsed.filter(record.isNull()).drop(_RECORD),
+        parsed.filter(record.isNotNull()).select(record.alias("record"), cells.alias("cells")),
+    )
+
+
 def clean_null_tokens(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS) -> DataFrame:
     """Empty every cell that consists of a null token, in any case."""
     lowered = [t.lower() for t in tokens]

@@ -2,7 +2,7 @@
 
 import pytest
 
-from stayflow.sources.grid import clean_grid, clean_null_tokens, format_times, normalize_utc, read_grid, utc_columns
+from stayflow.sources.grid import read_grid_checked, clean_grid, clean_null_tokens, format_times, normalize_utc, read_grid, utc_columns
 
 TEXT = """id\tname\tseen\tnote\tlater
 1\tNULL\t2023-05-01T10:11:12.345+0000\tplain\tnone
@@ -50,3 +50,15 @@ def test_cells_that_are_no_time_are_kept(spark):
     with pytest.raises(Exception, match="no UTC time in column seen"):
         normalize_utc(df, first_by=["id"]).collect()
     assert [r["seen"] for r in normalize_utc(df.filter("id > '3'"), ["seen"]).collect()] == [None, None]
+
+
+def test_ragged_records_are_rejected(spark, tmp_path):
+    folder = tmp_path / "grids"
+    folder.mkdir()
+    (folder / "a.tsv").write_text('id\tname\tnote\n1\tx\ty\n2\tshort\n3\ta\tb\tc\n4\t"two\nlines"\t"a\ttab"\n')
+    (folder / "b.tsv").write_text('id\tname\tnote\n5\t"q\tr"\n6\t\t\n')
+    rows, rejects = read_grid_checked(spark, str(folder), line_breaks=True)
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", "x", "y"), ("4", "two\nlines", "a\ttab"), ("6", None, None)]
+    assert sorted(tuple(r) for r in rejects.collect()) == [("2\tshort", 2), ("3\ta\tb\tc", 4), ('5\t"q\tr"', 2)]
+    plain, bad = read_grid_checked(spark, str(folder / "b.tsv"))
+    assert plain.count() == 1 and bad.count() == 1
