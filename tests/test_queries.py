@@ -47,3 +47,20 @@ def test_scans_read_only_what_they_need(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_returnflag:string>" in plan
     plan = QUERIES["movement_detail"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_shipdate" in plan
+
+
+HOT = ["unit_stays", "gap_rows", "points_in_intervals", "churn_counts", "trackers", "split_on_change", "dated_join_long_history", "repair_account_trackers"]
+
+
+@pytest.mark.parametrize("name", HOT)
+def test_hot_keys_give_the_same_rows(spark, con, name):
+    """Limits so small that nearly every key is cut into segments and every split is followed in rows."""
+    limits = {"stayflow.rowsPerTask": "25", "stayflow.eventsPerFold": "3"}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        problem, _ = compare(spark, con, FOLDER, QUERIES[name], SQL[name])
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
+    assert problem is None
