@@ -11,7 +11,8 @@ a name is not believed of a part with the article or nearly all plain text, exce
 
 Edge cases: a null or empty page gives the empty text.  Unclosed, stray and crossed tags are read as
 browsers do for the common cases; comments and declarations are dropped; text without any tag is main
-text.  Pages of any length are read whole, one pass over the tags.  Repeated rows give repeated results.
+text.  Pages of any length are read whole; the work grows
+with their length whatever their tags.  Repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -23,9 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
+_MARKUP = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+_UNQUOTED = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -58,12 +58,20 @@ COMMENTS = set("comment comments disqus replies respond commentlist discussion".
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 
 
+# facts about a subtree, as bits
+_FACTS = {"main": 1, "article": 2, "h1": 4}
+
+
 class Node:
-    __slots__ = ("tag", "names", "role", "hidden", "parent", "parts", "points", "text", "links")
+    """An element.  ``scope`` is the nearest holder around it (or itself), whose ``open`` counts open tags inside."""
+
+    __slots__ = ("tag", "names", "role", "hidden", "parent", "parts", "points", "text", "links", "facts", "scope", "open")
 
     def __init__(self, tag: str, parent, attributes: str = ""):
         self.tag, self.parent, self.parts = tag, parent, []
-        self.names, self.role, self.points, self.text, self.links = set(), "", 0.0, 0, 0
+        self.names, self.role, self.points, self.text, self.links, self.facts = set(), "", 0.0, 0, 0, 0
+        holds = parent is None or tag in HOLDERS
+        self.scope, self.open = (self, {}) if holds else (parent.scope, None)
         self.hidden = bool(attributes) and _HIDDEN.search(attributes) is not None
         for kind, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
             value = next((v for v in values if v), "")
@@ -73,46 +81,106 @@ class Node:
                 self.names |= {w.lower() for w in _NAME.findall(value)}
 
 
+class _Ends:
+    """Where tags end.  What has been found to be missing from the rest of a page is not looked for again."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.missing, self.quoted = page, page.rfind(">"), set(), True
+
+    def of(self, at: int) -> int:
+        """Position after the ``>`` that ends a tag whose attributes begin at ``at``; 0 if there is none.
+
+        A ``>`` in quotes ends nothing, unless a quote is never closed.
+        """
+        page, start = self.page, at
+        while self.quoted and at <= self.last:
+            at = _UNQUOTED.match(page, at).end()
+            if at >= len(page):
+                break
+            mark = page[at]
+            if mark == ">":
+                return at + 1
+            close = -1 if mark in self.missing else page.find(mark, at + 1)
+            if close < 0:
+                self.missing.add(mark)
+            at = max(close, at) + 1
+        if start > self.last:
+            return 0
+        self.quoted = False  # no tag of the rest ends outside its quotes
+        return page.find(">", start) + 1
+
+
 def parse(page: str) -> Node:
     """The tree of a page; text parts are strings with references decoded."""
     root = Node("html", None)
-    now, at, size = root, 0, len(page)
-    while at < size:
-        found = _TAG.search(page, at)
+    now, at, size, ends = root, 0, len(page), _Ends(page)
+    opened: dict[str, int] = {}  # open tags of the whole page
+
+    def leave(to: Node) -> Node:
+        node = now
+        while node is not to:
+            opened[node.tag] -= 1
+            if node.open is None:
+                node.scope.open[node.tag] -= 1
+            node = node.parent
+        return to
+
+    text_from = 0
+    while True:
+        found = _MARKUP.search(page, at)
         if found is None:
-            now.parts.append(html.unescape(page[at:]))
             break
-        if found.start() > at:
-            now.parts.append(html.unescape(page[at : found.start()]))
-        at = found.end()
+        start = found.start()
+        if found[2] is None:
+            if found[0] == "<!--":
+                end = page.find("-->", found.end())
+                end = size if end < 0 else end + 3
+            else:
+                end = page.find(">", start) + 1 if start < ends.last else 0
+        else:
+            end = ends.of(found.end())
+        if not end:  # no tag: part of the text
+            at = found.end()
+            continue
+        if start > text_from:
+            now.parts.append(html.unescape(page[text_from:start]))
+        at = text_from = end
         if found[2] is None:
             continue
-        tag, closing, attributes = found[2].lower(), bool(found[1]), found[3]
+        tag, closing, attributes = found[2].lower(), bool(found[1]), page[found.end() : end - 1]
         if closing:
-            now = _close(now, tag)
+            if opened.get(tag):
+                now = leave(_closed(now, tag))
             continue
-        if tag in ("html", "body", "head") and tag == "html":
+        if tag == "html":
             continue
         if now.tag == "head" and tag in ("body", "div", "p", "article", "main", "section", "nav", "header"):
-            now = now.parent
-        now = _open_before(now, tag)
+            now = leave(now.parent)
+        now = leave(_open_before(now, tag))
         node = Node(tag, now, attributes)
         now.parts.append(node)
         if tag in VOID:
             continue
         if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            raw = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
+            at = text_from = raw.end() if raw else size
             continue
         if not attributes.rstrip().endswith("/") or tag in BLOCK:
             now = node
+            opened[tag] = opened.get(tag, 0) + 1
+            if node.open is None:
+                node.scope.open[tag] = node.scope.open.get(tag, 0) + 1
+    if text_from < size:
+        now.parts.append(html.unescape(page[text_from:]))
     return root
 
 
-def _close(now: Node, tag: str) -> Node:
+def _closed(now: Node, tag: str) -> Node:
+    """The node that is open after an end tag."""
+    if tag not in BLOCK and not now.scope.open.get(tag) and now.scope.tag != tag:
+        return now  # an inline end tag does not reach out of the holder that it stands in
     node = now
     while node.parent is not None and node.tag != tag:
-        # an inline end tag does not reach out of the holder that it stands in
         if tag not in BLOCK and node.tag in HOLDERS:
             return now
         node = node.parent
@@ -123,6 +191,8 @@ def _open_before(now: Node, tag: str) -> Node:
     """Close what the start of ``tag`` ends: an open paragraph, or an item of the same list."""
     if tag in CLOSES_P or tag in SAME:
         ends = SAME.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
+        if now.scope.tag not in ends and not any(now.scope.open.get(e) for e in ends):
+            return now
         node = now
         while node is not None and (node.tag not in HOLDERS or node.tag in ends):
             if node.tag in ends:
@@ -132,7 +202,7 @@ def _open_before(now: Node, tag: str) -> Node:
 
 
 def _measure(node: Node) -> None:
-    """Characters of text and of link text below each node (children before parents)."""
+    """Characters of text and of link text below each node, and what it holds (children before parents)."""
     order, stack = [], [node]
     while stack:
         n = stack.pop()
@@ -143,6 +213,7 @@ def _measure(node: Node) -> None:
             if isinstance(part, Node):
                 n.text += part.text
                 n.links += part.text if part.tag == "a" else part.links
+                n.facts |= part.facts | _FACTS.get(part.tag, 0)
             else:
                 n.text += len(part.strip())
 
@@ -173,24 +244,15 @@ def _boilerplate(node: Node, inside: bool, plain: int) -> bool:
     if node.tag == "header" or node.role in ROLES:
         return not (inside and node.tag == "header")
     if node.names & COMMENTS:
-        return node.tag != "main" and not _holds(node, "main")
+        return node.tag != "main" and not node.facts & _FACTS["main"]
     unlikely = node.names & UNLIKELY or ("header" in node.names and not inside)
     if not unlikely or node.tag == "main":
         return False
+    # inline parts are words of their sentence, and an article's paragraphs and headings its text, whatever their names
+    if node.tag not in BLOCK or (inside and (node.tag in PARAGRAPH or node.tag in HEADING)):
+        return False
     # a name that would take nearly all plain text, or the article, is the layout's
-    return 5 * (node.text - node.links) <= 4 * plain and not any(_holds(node, t) for t in ("main", "article", "h1"))
-
-
-def _holds(node: Node, tag: str) -> bool:
-    stack = [node]
-    while stack:
-        n = stack.pop()
-        for part in n.parts:
-            if isinstance(part, Node):
-                if part.tag == tag:
-                    return True
-                stack.append(part)
-    return False
+    return 5 * (node.text - node.links) <= 4 * plain and not node.facts
 
 
 def _density(node: Node) -> float:
@@ -209,12 +271,22 @@ def _score(root: Node) -> list[Node]:
                     node.points += 25.0
             node.points += points
 
-    stack = [root]
+    # every piece of text belongs to the nearest block around it
+    blocks, texts, stack = [], [], [(root, 0)]
+    blocks.append(root)
+    texts.append([])
     while stack:
-        node = stack.pop()
-        children = [p for p in node.parts if isinstance(p, Node)]
-        stack.extend(children)
-        own = "".join(_text_of(p) if isinstance(p, Node) else p for p in node.parts if not _is_block(p))
+        node, owner = stack.pop()
+        for part in reversed(node.parts):
+            if isinstance(part, str):
+                texts[owner].append(part)
+            elif _is_block(part):
+                blocks.append(part)
+                texts.append([])
+                stack.append((part, len(blocks) - 1))
+            else:
+                stack.append((part, owner))
+    for node, own in zip(blocks, map("".join, texts)):
         length = len(own.strip())
         if not length:
             continue
