@@ -257,42 +257,64 @@ class Trie:
 class WordTable:
     """What the forward pass gave for each distinct word seen by this Python worker.
 
-    ``values`` is asked once per new word, with the trie standing at that word.  The table is
-    emptied once it holds ``most`` words; results do not depend on that.
+    ``values`` is asked once per new word, with the trie standing at that word.  The table is emptied once
+    it holds ``most`` words, or 16 times as many letters and values together.  Words of more than 64 letters
+    (text without spaces) are walked but not remembered.  Results do not depend on any of that.
     """
 
+    LONG = 64
+
     def __init__(self, model: Model, values, most: int = 1_200_000):
         self.model, self.values, self.most = model, values, most
         self._clear()
 
     def _clear(self) -> None:
         self.row: dict[str, int] = {}
-        self.parts: list[np.ndarray] = []
+        self.letters = 0
         self.flat = np.empty(0, np.int32)
         self.begin = np.zeros(1, np.int64)
 
+    def _add(self, new: list[str]) -> None:
+        trie, out, sizes = Trie(self.model), [], []
+        for word in new:
+            trie.enter(word)
+            got = self.values(trie)
+            out.append(np.array(got, np.int32))
+            sizes.append(len(got))
+            self.row[word] = len(self.row)
+        self.flat = np.concatenate([self.flat, *out])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+
+    def _forget(self, words: list[str]) -> None:
+        """Take out the words that were added last."""
+        for word in words:
+            del self.row[word]
+        self.begin = self.begin[: len(self.row) + 1]
+        self.flat = self.flat[: self.begin[-1]].copy()
+
     def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Values of all words, end to end, and how many each word has."""
-        new = sorted(set(words).difference(self.row))
-        if len(self.row) + len(new) > self.most and self.row:
+        distinct = set(words)
+        long = sorted(w for w in distinct if len(w) > self.LONG)
+        new = sorted(w for w in distinct.difference(self.row) if len(w) <= self.LONG)
+        held = self.letters + len(self.flat) + 2 * sum(map(len, new))
+        if (len(self.row) + len(new) > self.most or held > 16 * self.most) and self.row:
             self._clear()
-            new = sorted(set(words))
+            new = sorted(w for w in distinct if len(w) <= self.LONG)
         if new:
-            trie, out, sizes = Trie(self.model), [], []
-            for word in new:
-                trie.enter(word)
-                got = self.values(trie)
-                out.extend(got)
-                sizes.append(len(got))
-                self.row[word] = len(self.row)
-            self.flat = np.concatenate([self.flat, np.array(out, np.int32)])
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+            self._add(new)
+            self.letters += sum(map(len, new))
+        if long:
+            self._add(long)
         rows = np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
         first, size = self.begin[rows], self.begin[rows + 1] - self.begin[rows]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
         at = np.arange(total) + np.repeat(first - (ends - size), size)
-        return self.flat[at], size
+        found = self.flat[at]
+        if long:
+            self._forget(long)
+        return found, size
 
 
 def runs(texts, most_chars: int = 1_000_000):
