@@ -58,6 +58,25 @@ def targets(sizes: list[int], weights: list[float], share: float, most: float) -
     return out
 
 
+# A source's tokens are cut into blocks whose sizes differ by one at most: the first ``source_size % blocks`` are
+# the larger ones.  Only quotients and remainders are formed, so sizes may be as large as a long.
+
+
+def _block_begin(block: Column) -> Column:
+    return block * F.expr("source_size div blocks") + F.least(block, F.expr("source_size % blocks"))
+
+
+def _block_of(place: Column) -> Column:
+    small, larger = F.expr("source_size div blocks"), F.expr("source_size % blocks")
+    head = larger * (small + 1)
+    return F.when(place < head, _quotient(place, small + 1)).otherwise(larger + _quotient(place - head, small))
+
+
+def _quotient(a: Column, b: Column) -> Column:
+    """Whole quotient of longs that are not negative, never through a double."""
+    return F.call_function("div", a, b)
+
+
 class Mix:
     """A mixture of ``docs``; ``size`` gives the tokens of a document.
 
@@ -178,8 +197,7 @@ class Mix:
         wanted = wanted.join(F.broadcast(table), "number").withColumn("rank", F.col("id") - F.col("edge"))
         all_ = wanted.join(ranked, ["number", "rank"], "left")
         block = F.col("rank") % F.col("blocks")
-        begin = (block * F.col("source_size") / F.col("blocks")).cast("long")
-        end = ((block + 1) * F.col("source_size") / F.col("blocks")).cast("long")
+        begin, end = _block_begin(block), _block_begin(block + 1)
         round_ = (F.col("rank") / F.col("blocks")).cast("long")
         left = F.col("whole") - round_ * F.col("source_size")  # of the target, for this round
         return all_.select(
@@ -196,15 +214,9 @@ class Mix:
 
         Columns: the placed row's, ``slot``, and the words [``from_word``, ``to_word``) of the document.
         """
-        size, blocks = F.col("source_size"), F.col("blocks")
-        # blocks that the stretch of the row meets; one more on either side for rounding
-        low = F.greatest(F.lit(0), (F.col("first") * blocks / size).cast("long") - 1)
-        high = F.least(blocks - 1, ((F.col("first") + F.col("size")) * blocks / size).cast("long") + 1)
-        own = self.docs.filter("size > 0").withColumn("block", F.explode(F.sequence(low, high)))
-        own = own.filter(
-            (F.col("first") < ((F.col("block") + 1) * size / blocks).cast("long"))
-            & (F.col("first") + F.col("size") > (F.col("block") * size / blocks).cast("long"))
-        )
+        # blocks that the stretch of the row meets
+        met_blocks = F.sequence(_block_of(F.col("first")), _block_of(F.col("first") + F.col("size") - 1))
+        own = self.docs.filter("size > 0").withColumn("block", F.explode(met_blocks))
         met = own.join(self.schedule(), ["number", "block"])
         met = met.withColumn("from_word", F.greatest("begin", "first") - F.col("first"))
         met = met.withColumn("to_word", F.least(F.col("end"), F.col("first") + F.col("size")) - F.col("first"))
