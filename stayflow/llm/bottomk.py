@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, NumericType, StringType
 
 SPACE = r"[\x20\x09-\x0D]+"
 K = 128
@@ -93,35 +94,75 @@ def digits(a: Column | str) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
+_KNOTS, _STEP = 4096, 64  # quantiles of the ids, and how many are looked through at a time
+
+
+def _place(docs: DataFrame, id_column: str) -> Column:
+    """A double that never falls as the id rises; null for null."""
+    kind = docs.schema[id_column].dataType
+    if isinstance(kind, NumericType):
+        return F.col(id_column).cast("double")
+    if isinstance(kind, (StringType, BinaryType)):
+        # the first six bytes
+        head = F.substring(F.rpad(F.hex(F.col(id_column).cast("binary")), 12, "0"), 1, 12)
+        return F.conv(head, 16, 10).cast("double")
+    raise TypeError(f"ids must be numbers, texts or bytes, not {kind.simpleString()}")
+
+
+def _cells(docs: DataFrame, per_cell: int) -> tuple[Column, Column]:
+    """Columns ``interval`` and ``cell`` of consecutive places (``_place``), about ``per_cell`` rows in each cell.
+
+    Quantiles, at most ``_KNOTS``, bound the intervals; an interval is cut into equal widths.  So ids that are spread
+    unevenly, or a few that lie far off, change the sizes of cells inside one interval only.  No place: -1.
+    """
+    shares = [k / _KNOTS for k in range(_KNOTS + 1)]
+    asked = docs.agg(F.percentile_approx("_place", shares, 100_000).alias("knots"), F.count("_place").alias("n")).first()
+    knots = sorted(set(asked["knots"] or [0.0]))
+    parts = max(1, -(-asked["n"] // (per_cell * max(1, len(knots) - 1))))
+    far = knots[-1] + max(1.0, abs(knots[-1]))
+    held, coarse = (F.split(F.lit(",".join(map(repr, some))), ",").cast("array<double>") for some in (knots, knots[::_STEP]))
+    place = F.col("_place")
+    block = F.greatest(F.lit(0), F.size(F.filter(coarse, lambda k: k <= place)) - 1) * _STEP
+    here = block + F.size(F.filter(F.slice(held, block + 1, _STEP), lambda k: k <= place)) - 1
+    interval = F.greatest(F.lit(0), here)
+    low, high = F.get(held, interval), F.coalesce(F.get(held, interval + 1), F.lit(far))
+    inside = F.floor((place - low) / (high - low) * parts).cast("long")
+    cell = F.least(F.greatest(inside, F.lit(0)), F.lit(parts - 1)) + interval * F.lit(parts).cast("long")
+    none = F.lit(-1).cast("long")
+    return F.when(place.isNull(), none).otherwise(interval), F.when(place.isNull(), none).otherwise(cell)
+
+
 def with_next(
     docs: DataFrame, id_column: str, columns: list[str], derived: dict[str, Column] | None = None, per_cell: int = 1024
 ) -> DataFrame:
     """Add struct ``next``: ``columns`` of the row that follows by id (after the last: the first).
 
-    ``derived`` columns are computed once per row and are part of ``next`` too.  Null ids come first;
-    rows with one id follow each other by the hash of ``columns``.  Rows are dealt to cells of
-    consecutive ids, about ``per_cell`` rows each, and ordered inside a cell; only the list of cells and
-    the first row of each cell go beyond it.
+    ``derived`` columns are computed once per row and are part of ``next`` too.  Ids are numbers, texts or bytes; null
+    ids come first and rows with one id follow each other by the hash of ``columns``.  Rows are dealt to
+    cells of consecutive ids and ordered inside a cell; only the list of cells and the first row of each cell go
+    beyond it.
     """
     derived = derived or {}
-    span = docs.agg(F.min(id_column).alias("lo"), F.max(id_column).alias("hi"), F.count("*").alias("n")).first()
-    low, width = span["lo"] or 0, 1
-    if span["n"]:
-        width = max(1, ((span["hi"] or 0) - low + 1) * per_cell // span["n"])
-    cell = F.coalesce(F.expr(f"(`{id_column}` - {low}) div {width}"), F.lit(-1)).cast("long")
-    narrow = docs.select(id_column, *columns).withColumn("_tie", F.xxhash64(*columns)).withColumn("_cell", cell)
+    placed = docs.select(id_column, *columns).withColumn("_place", _place(docs, id_column))
+    interval, cell = _cells(placed, per_cell)
+    tie = F.xxhash64(*columns)
+    narrow = placed.withColumns({"_tie": tie, "_interval": interval, "_cell": cell}).drop("_place")
     # dealt before the derived columns are made, so that the one shuffle of texts does not carry them
     dealt = narrow.repartition(F.col("_cell"))
     inside = Window.partitionBy("_cell").orderBy(F.col(id_column).asc_nulls_first(), F.col("_tie"))
     payload = F.struct(*columns, *derived)
     ordered = dealt.withColumns(derived).withColumn("_lead", F.lead(payload).over(inside))
-    # the first row of each cell goes to the cell before it; the list has one short row per cell
-    listed = Window.orderBy("_cell")
+    # the first row of each cell goes to the cell before it: the one before in the interval, or else the last
+    # cell of the interval before, of which there are few
+    cells = narrow.groupBy("_interval", "_cell").agg(F.count("*")).select("_interval", "_cell")
+    in_interval = Window.partitionBy("_interval").orderBy("_cell")
+    listed = Window.orderBy("_interval")
     every = listed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cells = narrow.groupBy("_cell").agg(F.count("*")).select("_cell")
-    cells = cells.withColumn("_prior", F.coalesce(F.lag("_cell").over(listed), F.last("_cell").over(every)))
+    lasts = cells.groupBy("_interval").agg(F.max("_cell").alias("_last"))
+    lasts = lasts.select("_interval", F.coalesce(F.lag("_last").over(listed), F.last("_last").over(every)).alias("_before"))
+    cells = cells.join(lasts, "_interval").select("_cell", F.coalesce(F.lag("_cell").over(in_interval), "_before").alias("_prior"))
     firsts = dealt.withColumn("_at", F.row_number().over(inside)).filter("_at = 1").select("_cell", *columns)
     firsts = firsts.join(cells, "_cell").withColumns(derived)
     firsts = firsts.select(F.col("_prior").alias("_cell"), payload.alias("_head"))
     joined = ordered.join(firsts, "_cell", "left")
-    return joined.withColumn("next", F.coalesce("_lead", "_head")).drop("_tie", "_cell", "_lead", "_head")
+    return joined.withColumn("next", F.coalesce("_lead", "_head")).drop("_tie", "_interval", "_cell", "_lead", "_head")

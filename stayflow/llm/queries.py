@@ -114,6 +114,8 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         bottomk.digits("edited_sketch").alias("edited_fingerprint"),
         bottomk.resemblance("sketch", "edited_sketch").alias("near_edited"),
         bottomk.resemblance("sketch", "next.sketch").alias("near_next"),
+        bottomk.distinct_shingles("sketch").alias("n_shingles"),
+        bottomk.containment("sketch", "edited_sketch").alias("kept_in_edited"),
     )
 
 

@@ -273,6 +273,48 @@ def test_next_rows(spark, awkward, none):
     assert bottomk.with_next(none, "doc_id", ["text"]).count() == 0
 
 
+def test_blocks_of_very_large_sources(spark):
+    """Blocks follow each other without gaps, for sizes whose products would not fit a long."""
+    sizes = [(1, 1), (7, 3), (10**13 + 5, 152_587_891), (9 * 10**18, 137_329_101_562), (2 * 65_536 + 1, 2)]
+    rows = []
+    for n, b in sizes:
+        rows += [(n, b, k) for k in sorted({k for k in (0, 1, b // 3, b - 2, b - 1, n % b - 1, n % b) if 0 <= k < b})]
+    frame = spark.createDataFrame(rows, "source_size long, blocks long, block long")
+    begin, end = mixing._block_begin(F.col("block")), mixing._block_begin(F.col("block") + 1)
+    frame = frame.withColumns({"begin": begin, "end": end})
+    frame = frame.withColumns({"first": mixing._block_of(F.col("begin")), "last": mixing._block_of(F.col("end") - 1)})
+    for r in frame.collect():
+        n, b, k = r["source_size"], r["blocks"], r["block"]
+        assert r["begin"] == k * (n // b) + min(k, n % b) and r["end"] - r["begin"] in (n // b, n // b + 1)
+        assert r["first"] == r["last"] == k and (k < b - 1 or r["end"] == n)
+
+
+def _next_in_order(spark, ids, kind, order=None, per_cell=16):
+    rows = [(i, f"text of {i}") for i in ids]
+    frame = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(7)
+    got = {r["doc_id"]: r["next"]["text"] for r in bottomk.with_next(frame, "doc_id", ["text"], per_cell=per_cell).collect()}
+    line = sorted(ids, key=order)
+    assert got == {a: f"text of {b}" for a, b in zip(line, line[1:] + line[:1])}
+
+
+def test_next_by_any_ids(spark):
+    """One far id, the ends of the range, clusters, texts and bytes as ids."""
+    _next_in_order(spark, [*range(20_000), 2**62], "long", per_cell=4)
+    _next_in_order(spark, [-(2**63), 2**63 - 1, 0, 5, 6, *[2**60 + k for k in range(500)], *[-k * k for k in range(1, 400)]], "long")
+    _next_in_order(spark, [f"doc-{k:05d}" for k in range(900)] + ["", "a", "é", "日本", "doc", "zzzzzzzzzz"], "string", lambda t: t.encode())
+    _next_in_order(spark, [k / 7 for k in range(-300, 300)], "double")
+    _next_in_order(spark, [7], "int")
+    with pytest.raises(TypeError):
+        bottomk.with_next(spark.createDataFrame([(None, "a")], "doc_id date, text string"), "doc_id", ["text"])
+
+
+def test_a_far_id_leaves_cells_small(spark):
+    ids = spark.range(20_000).unionByName(spark.range(2**61, 2**61 + 1)).select(F.col("id").cast("double").alias("_place"))
+    interval, cell = bottomk._cells(ids, 64)
+    sizes = [r["count"] for r in ids.groupBy(cell.alias("c")).count().collect()]
+    assert sum(sizes) == 20_001 and max(sizes) <= 64
+
+
 def vectors_with_neighbours(seed, angles):
     draw = np.random.RandomState(seed)
     rows = []

@@ -1,6 +1,7 @@
 """Operators on single texts, against the libraries and plain code."""
 
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stayflow.llm import html_text, licenses, quality_crf, sentencepiece_codec, simhash_index, token_prefix
-from stayflow.llm.pieces import Model
+from stayflow.llm.pieces import Model, Trie, WordTable, load
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 LIB = sentencepiece.SentencePieceProcessor(model_file=PATH)
@@ -145,6 +146,45 @@ def test_main_text(spark):
     assert html_text.main_text(deep) == "deep, text"
 
 
+def test_names_are_not_believed_of_words_and_paragraphs():
+    page = '<body><article><h1 class="alert">Head, line</h1><p>see <span class="search">this</span> word</p><p class="notice">kept</p><div class="ad">no</div></article></body>'
+    assert html_text.main_text(page) == "Head, line see this word kept"
+
+
+LONG_PAGES = {
+    "inline": "<font>" * 50_000 + "x, y",
+    "named blocks": "<div class=widget>a" * 50_000,
+    "open quotes": '<a "' * 50_000,
+    "quoted ends": '<a "x>" ' * 50_000,
+    "declarations": "<!" * 50_000,
+    "stray ends": "<b><div>" + "<font>" * 20_000 + "</b>" * 20_000,
+    "rules": "<font>" * 20_000 + "<hr>" * 20_000,
+    "mixed": "<div><font>" * 20_000 + "t",
+    "stray blocks": "<i>" * 20_000 + "</section>" * 20_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG_PAGES)
+def test_work_grows_with_the_page(name):
+    began = time.process_time()
+    html_text.main_text(LONG_PAGES[name])
+    assert time.process_time() - began < 2
+
+
+def test_text_without_spaces_is_not_hoarded():
+    """Words of any length are walked, but long ones are not remembered, and short ones up to a size."""
+    draw = random.Random(4)
+    table = WordTable(load(PATH), Trie.tokens, most=200)
+    for _ in range(30):
+        texts = ["".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(draw.choice([3, 10, 200]))) for _ in range(60)]
+        words = [table.model.words(t) for t in texts]
+        ids, sizes = table.lookup([w for ws in words for w in ws])
+        ends = sizes.cumsum()
+        got = [ids[e - n : e].tolist() for e, n in zip(ends, sizes)]
+        assert [sum((got.pop(0) for _ in ws), []) for ws in words] == LIB.encode(texts)
+        assert len(table.row) <= 260 and len(table.flat) + table.letters <= 16 * 200 + 2000 and max(map(len, table.row)) <= 64
+
+
 def test_main_text_of_the_pages(spark):
     """All pages have an article; its text is what remains without tags."""
     import html
