@@ -68,9 +68,12 @@ def merge_parts(parts: DataFrame, key: str, sketch_column: str, k: int = K, salt
     return held.select(F.col("key").alias(key), F.col("sketch").alias(sketch_column))
 
 
-def resemblance(a: Column | str, b: Column | str, k: int = K) -> Column:
-    """Estimate of the shingles in both over the shingles in either; 1 for two empty texts."""
-    both = merge(a, b, k)
+def resemblance(a: Column | str, b: Column | str, k: int = K, both: Column | None = None) -> Column:
+    """Estimate of the shingles in both over the shingles in either; 1 for two empty texts.
+
+    ``both`` is their merged fingerprint, if it is at hand.
+    """
+    both = merge(a, b, k) if both is None else both
     common = F.size(F.array_intersect(both, F.array_intersect(a, b)))
     return F.when(F.size(both) == 0, 1.0).otherwise(common / F.size(both)).cast("double")
 
@@ -82,10 +85,11 @@ def distinct_shingles(a: Column | str, k: int = K) -> Column:
     return F.when(F.size(a) < k, F.size(a).cast("double")).otherwise((k - 1) / last)
 
 
-def containment(a: Column | str, b: Column | str, k: int = K) -> Column:
+def containment(a: Column | str, b: Column | str, k: int = K, both: Column | None = None) -> Column:
     """Estimate of the share of a's shingles that are also in b; 1 for an empty a."""
     a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
-    common = resemblance(a, b, k) * distinct_shingles(merge(a, b, k), k)
+    both = merge(a, b, k) if both is None else both
+    common = resemblance(a, b, k, both) * distinct_shingles(both, k)
     return F.when(F.size(a) == 0, 1.0).otherwise(F.least(F.lit(1.0), common / distinct_shingles(a, k)))
 
 
@@ -109,27 +113,32 @@ def _place(docs: DataFrame, id_column: str) -> Column:
     raise TypeError(f"ids must be numbers, texts or bytes, not {kind.simpleString()}")
 
 
-def _cells(docs: DataFrame, per_cell: int) -> tuple[Column, Column]:
-    """Columns ``interval`` and ``cell`` of consecutive places (``_place``), about ``per_cell`` rows in each cell.
+def _cells(docs: DataFrame, per_cell: int) -> DataFrame:
+    """``docs`` with columns ``_interval`` and ``_cell`` of consecutive places (``_place``), about ``per_cell`` rows in each.
 
     Quantiles, at most ``_KNOTS``, bound the intervals; an interval is cut into equal widths.  So ids that are spread
     unevenly, or a few that lie far off, change the sizes of cells inside one interval only.  No place: -1.
     """
     shares = [k / _KNOTS for k in range(_KNOTS + 1)]
-    asked = docs.agg(F.percentile_approx("_place", shares, 100_000).alias("knots"), F.count("_place").alias("n")).first()
-    knots = sorted(set(asked["knots"] or [0.0]))
+    asked = docs.agg(F.percentile_approx("_place", shares, 10_000).alias("knots"), F.count("_place").alias("n")).first()
+    apart = max(1, _KNOTS * per_cell // max(1, asked["n"]))  # fewer intervals where there are few rows
+    knots = sorted(set((asked["knots"] or [0.0])[::apart]))
     parts = max(1, -(-asked["n"] // (per_cell * max(1, len(knots) - 1))))
     far = knots[-1] + max(1.0, abs(knots[-1]))
     held, coarse = (F.split(F.lit(",".join(map(repr, some))), ",").cast("array<double>") for some in (knots, knots[::_STEP]))
-    place = F.col("_place")
-    block = F.greatest(F.lit(0), F.size(F.filter(coarse, lambda k: k <= place)) - 1) * _STEP
-    here = block + F.size(F.filter(F.slice(held, block + 1, _STEP), lambda k: k <= place)) - 1
-    interval = F.greatest(F.lit(0), here)
-    low, high = F.get(held, interval), F.coalesce(F.get(held, interval + 1), F.lit(far))
+    place = F.coalesce("_place", F.lit(knots[0]))
+    # one column after the other, so that each is computed once: a block of knots, the knot in it, the cell after it
+    out = docs.withColumn("_block", F.greatest(F.lit(0), F.size(F.filter(coarse, lambda k: k <= place)) - 1) * _STEP)
+    here = F.col("_block") + F.size(F.filter(F.slice(held, F.col("_block") + 1, _STEP), lambda k: k <= place)) - 1
+    out = out.withColumn("_interval", F.greatest(F.lit(0), here).cast("long"))
+    knot = F.col("_interval").cast("int")
+    low, high = F.get(held, knot), F.coalesce(F.get(held, knot + 1), F.lit(far))
     inside = F.floor((place - low) / (high - low) * parts).cast("long")
-    cell = F.least(F.greatest(inside, F.lit(0)), F.lit(parts - 1)) + interval * F.lit(parts).cast("long")
+    cell = F.least(F.greatest(inside, F.lit(0)), F.lit(parts - 1)) + F.col("_interval") * parts
     none = F.lit(-1).cast("long")
-    return F.when(place.isNull(), none).otherwise(interval), F.when(place.isNull(), none).otherwise(cell)
+    unplaced = F.col("_place").isNull()
+    out = out.withColumn("_cell", F.when(unplaced, none).otherwise(cell))
+    return out.withColumn("_interval", F.when(unplaced, none).otherwise(F.col("_interval"))).drop("_block", "_place")
 
 
 def with_next(
@@ -144,9 +153,7 @@ def with_next(
     """
     derived = derived or {}
     placed = docs.select(id_column, *columns).withColumn("_place", _place(docs, id_column))
-    interval, cell = _cells(placed, per_cell)
-    tie = F.xxhash64(*columns)
-    narrow = placed.withColumns({"_tie": tie, "_interval": interval, "_cell": cell}).drop("_place")
+    narrow = _cells(placed, per_cell).withColumn("_tie", F.xxhash64(*columns))
     # dealt before the derived columns are made, so that the one shuffle of texts does not carry them
     dealt = narrow.repartition(F.col("_cell"))
     inside = Window.partitionBy("_cell").orderBy(F.col(id_column).asc_nulls_first(), F.col("_tie"))

@@ -106,16 +106,18 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next.text", F.lit(1), cut))
     rows = rows.withColumn("edited", edited).withColumn("edited_sketch", bottomk.sketch("edited"))
+    rows = rows.withColumn("both", bottomk.merge("sketch", "edited_sketch"))
+    both = F.col("both")
     return rows.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         bottomk.digits("sketch").alias("fingerprint"),
         bottomk.digits("edited_sketch").alias("edited_fingerprint"),
-        bottomk.resemblance("sketch", "edited_sketch").alias("near_edited"),
+        bottomk.resemblance("sketch", "edited_sketch", both=both).alias("near_edited"),
         bottomk.resemblance("sketch", "next.sketch").alias("near_next"),
         bottomk.distinct_shingles("sketch").alias("n_shingles"),
-        bottomk.containment("sketch", "edited_sketch").alias("kept_in_edited"),
+        bottomk.containment("sketch", "edited_sketch", both=both).alias("kept_in_edited"),
     )
 
 
