@@ -21,9 +21,11 @@ from stayflow.llm import (
     spelling_kd,
     token_prefix,
 )
+from stayflow.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 QUERIES: dict = {}
-SQL: dict[str, str] = {}
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
