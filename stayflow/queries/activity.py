@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from stayflow.operators.cohort import RunWindow
 from stayflow.operators.ordered import arrange
+from stayflow.plans.daily import run_day
 from stayflow.plans.schemas import INPUTS, OUTPUT
 from stayflow.plans.unit_activity import build, find_encounters
 from stayflow.queries import tables as t
 from stayflow.queries.registry import query
-from stayflow.sources.published import MONTH, publish, read_published, stored_for_run
+from stayflow.sources.published import MONTH, publish, read_published
 from stayflow.sources.scratch import keep, scratch_path
 
 WINDOW = RunWindow(date(2024, 2, 1), lookback_days=40)
@@ -547,8 +548,7 @@ def daily_run(spark, folder):
     path = scratch_path(spark)
     tables = hospital(spark, folder, weekly=True)
     publish(spark, path, stored_stays(tables))
-    batch = build(tables, stored_for_run(spark, path, tables, DAILY), DAILY)
-    publish(spark, path, batch)
+    run_day(spark, path, tables, DAILY)
     return _plain_numbers(read_published(spark, path).drop(MONTH, "TABLE_OWNER"))
 
 
