@@ -1,13 +1,16 @@
 """Near-duplicate vectors from a pivot-permutation index.
 
-Each vector is described by its ``PREFIX`` nearest reference points (pivots), and an inverted list is
-kept for every set of ``SHARED`` pivots: two vectors meet in a list exactly if they share at least
-that many of their nearest pivots.  Pairs that meet are verified by their cosine in double precision.
-A pair is taken in one list only, that of the smallest pivots it shares.
-
-Pivots come from a bounded sample (``SAMPLE`` distinct vectors by hash order, those at least 0.6 apart
-in cosine kept, random directions added up to ``PIVOTS``).  All vectors are indexed.  The measured
-recall is in the README; it is held to 0.9 by a test.
+Each vector is described by its nearest reference points (pivots), nearest first, and an inverted list is
+kept for every set of ``shared`` of them: two vectors meet in a list exactly if they share at least
+that many of their nearest pivots.  (Lists of single pivots would have to be paired to count what is
+shared, and hold a fixed part of all vectors each.)  Pairs that meet are verified by their cosine in double
+precision.  A pair is taken in one list only, that of the smallest pivots it shares.
+
+The number of pivots follows the number of vectors (:func:`shape_for`): about with its square root, so that the
+chance that two unlike vectors meet falls as fast as their pairs grow.  Pivots come from a bounded sample
+(``SAMPLE`` distinct vectors by hash order for every 512 pivots, those at least 0.6 apart in cosine kept, random
+directions added).  All vectors are indexed.  The measured recall of each shape is in the README; it
+is held to 0.9 by a test.
 
 Equal vectors are one node of the index; long lists are compared in bounded cells, each of which
 hands on link counts and spanning links, not pairs.
@@ -19,6 +22,8 @@ linked with each other.  Only the named columns are read; an empty table gives n
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -34,17 +39,39 @@ PIVOTS, PREFIX, SHARED, SAMPLE = 512, 7, 3, 4096
 _SLICE = 20_000  # pairs verified at once
 
 
+@dataclass(frozen=True)
+class Shape:
+    """How many pivots there are, how many describe a vector, and how many of these two vectors must share."""
+
+    pivots: int = PIVOTS
+    prefix: int = PREFIX
+    shared: int = SHARED
+
+
+# vectors up to which a shape is taken; the last one serves all larger tables
+SHAPES = (
+    (16_384, Shape()),
+    (65_536, Shape(1024)),
+    (262_144, Shape(2048, 8)),
+    (1_048_576, Shape(4096, 8)),
+    (math.inf, Shape(4096, 10, 4)),
+)
+
+
+def shape_for(n: int) -> Shape:
+    return next(shape for most, shape in SHAPES if n <= most)
+
+
 def choose_pivots(sample: list[list[float]], most: int = PIVOTS) -> dict[int, np.ndarray]:
     """Unit pivots for each length of vector in the sample."""
     out = {}
     for size in sorted({len(v) for v in sample}):
-        rows = np.array([v for v in sample if len(v) == size], np.float64)
-        rows /= np.linalg.norm(rows, axis=1)[:, None]
-        chosen: list[np.ndarray] = []
+        rows = _unit(np.array([v for v in sample if len(v) == size], np.float64))
+        chosen, have = np.empty((most, size)), 0
         for row in rows:
-            if len(chosen) < most and (not chosen or (np.array(chosen) @ row).max() < 0.6):
-                chosen.append(row)
-        out[size] = _filled(np.array(chosen), size, most)
+            if have < most and (not have or (chosen[:have] @ row).max() < 0.6):
+                chosen[have], have = row, have + 1
+        out[size] = _filled(chosen[:have], size, most)
     return out
 
 
@@ -55,69 +82,76 @@ def _filled(chosen: np.ndarray | None, size: int, most: int) -> np.ndarray:
     return extra if not have else np.vstack([chosen, extra])
 
 
-def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled by their largest component first, so that no square leaves the range of doubles."""
+    rows = rows / np.abs(rows).max(axis=1)[:, None]
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
+
+
+def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, prefix: int = PREFIX) -> np.ndarray:
     """Numbers of the nearest pivots of each row, nearest first."""
-    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
-    return np.argsort(-(unit @ pivots.T), axis=1, kind="stable")[:, :PREFIX].astype(np.int32)
+    return np.argsort(-(_unit(vectors) @ pivots.T), axis=1, kind="stable")[:, :prefix].astype(np.int32)
 
 
-def _describe(pivots: dict[int, np.ndarray]):
+def _describe(pivots: dict[int, np.ndarray], shape: Shape):
     @F.arrow_udf("array<int>")
     def prefixes(vectors: pa.Array) -> pa.Array:
         flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         sizes = vectors.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         begin = np.cumsum(sizes) - sizes
-        out = np.zeros((len(sizes), PREFIX), np.int32)
+        out = np.zeros((len(sizes), shape.prefix), np.int32)
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
             points = pivots.get(int(size))
             if points is None:
-                points = _filled(None, int(size), PIVOTS)
+                points = _filled(None, int(size), shape.pivots)
             for part in np.array_split(rows, max(1, len(rows) // 2048)):
                 if len(part):
                     block = flat[begin[part][:, None] + np.arange(size)]
-                    out[part] = nearest_pivots(block, points)
-        offsets = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * PREFIX)
+                    out[part] = nearest_pivots(block, points, shape.prefix)
+        offsets = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * shape.prefix)
         return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
 
     return prefixes
 
 
-def _lists(nodes: DataFrame) -> DataFrame:
-    """Inverted-list entries of every node: one for each set of SHARED of its nearest pivots."""
+def _lists(nodes: DataFrame, shape: Shape) -> DataFrame:
+    """Inverted-list entries of every node: one for each set of ``shared`` of its nearest pivots."""
     ordered = nodes.select("node", F.size("vector").alias("size"), F.sort_array("prefix").alias("near"))
     keys = []
-    for places in combinations(range(PREFIX), SHARED):
+    for places in combinations(range(shape.prefix), shape.shared):
         key = F.col("size").cast("long")
         for place in places:
-            key = key * PIVOTS + F.get("near", F.lit(place))
+            key = key * shape.pivots + F.get("near", F.lit(place))
         keys.append(key)
     return ordered.select("node", F.explode(F.array(*keys)).alias("key"))
 
 
-def _link(least: float):
+def _link(least: float, shape: Shape):
     def links(part: pa.Table) -> pa.Table:
         n = part.num_rows
         node, key = part["node"].to_numpy(), part["key"].to_numpy()
-        near = np.sort(part["prefix"].combine_chunks().flatten().to_numpy().reshape(n, PREFIX), axis=1)
+        near = np.sort(part["prefix"].combine_chunks().flatten().to_numpy().reshape(n, shape.prefix), axis=1)
         vectors = part["vector"].combine_chunks()
-        flat = vectors.flatten().to_numpy(zero_copy_only=False)
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         sizes = vectors.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         begin = np.cumsum(sizes) - sizes
+        # the largest component of each vector: squares of what is divided by it stay in the range of doubles
+        top = np.maximum.reduceat(np.abs(flat), begin) if n else np.empty(0)
         copies = part["copies"].to_numpy()
-        last = key % PIVOTS  # the largest pivot of the list's key
+        last = key % shape.pivots  # the largest pivot of the list's key
         forest, count = Forest(n), np.zeros(n, np.int64)
         for a, b in pairs(part["cell"].to_numpy(), key, part["side"].to_numpy()):
             for k in range(0, len(a), _SLICE):
                 x, y = a[k : k + _SLICE], b[k : k + _SLICE]
                 both = (near[x][:, :, None] == near[y][:, None, :]).any(axis=2)
-                own = (both & (near[x] <= last[x][:, None])).sum(axis=1) == SHARED
+                own = (both & (near[x] <= last[x][:, None])).sum(axis=1) == shape.shared
                 x, y = x[own], y[own]
                 for size in np.unique(sizes[x]):
                     same = sizes[x] == size
                     u, v = x[same], y[same]
-                    p = flat[begin[u][:, None] + np.arange(size)].astype(np.float64)
-                    q = flat[begin[v][:, None] + np.arange(size)].astype(np.float64)
+                    p = flat[begin[u][:, None] + np.arange(size)] / top[u][:, None]
+                    q = flat[begin[v][:, None] + np.arange(size)] / top[v][:, None]
                     dot = np.einsum("ij,ij->i", p, q)
                     norms = np.sqrt(np.einsum("ij,ij->i", p, p) * np.einsum("ij,ij->i", q, q))
                     good = dot / norms >= least
@@ -148,12 +182,13 @@ def near_vectors(
     own = own.withColumn("sound", F.coalesce(sound, F.lit(False)))
     classes = own.filter("sound").groupBy("vector").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     classes = keep(classes.withColumn("node", F.monotonically_increasing_id()))
-    sample = classes.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE).collect()
-    pivots = choose_pivots([r["vector"] for r in sample])
-    nodes = keep(classes.withColumn("prefix", _describe(pivots)("vector")))
+    shape = shape_for(classes.count())
+    sample = classes.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE * shape.pivots // PIVOTS).collect()
+    pivots = choose_pivots([r["vector"] for r in sample], shape.pivots)
+    nodes = keep(classes.withColumn("prefix", _describe(pivots, shape)("vector")))
     payload = nodes.select("node", "vector", "prefix", "copies")
-    met = cells(_lists(nodes), "key", "node", block=1024, payload=payload)
-    found = keep(over_cells(met, _link(least), "u long, v long, links long"))
+    met = cells(_lists(nodes, shape), "key", "node", block=1024, payload=payload)
+    found = keep(over_cells(met, _link(least, shape), "u long, v long, links long"))
     counts = found.groupBy("u").agg(F.sum("links").alias("links")).withColumnRenamed("u", "node")
     roots = components(found.select("u", "v"))
     named = nodes.select("node", "least", "copies").join(roots, "node", "left").join(counts, "node", "left")

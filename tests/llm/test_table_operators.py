@@ -326,12 +326,32 @@ def vectors_with_neighbours(seed, angles):
     return rows
 
 
-def test_recall_near_the_limit():
-    """Pairs just over a cosine of 0.95 share enough pivots in at least nine of ten cases."""
+@pytest.mark.parametrize("shape", dict.fromkeys(s for _, s in pivot_index.SHAPES))
+def test_recall_near_the_limit(shape):
+    """Pairs just over a cosine of 0.95 share enough pivots in at least nine of ten cases, in every shape."""
     rows = np.array(vectors_with_neighbours(1, np.arccos(np.random.RandomState(2).uniform(0.95, 0.97, 800))))
-    near = pivot_index.nearest_pivots(rows, pivot_index.choose_pivots(rows.tolist())[64])
+    more = np.random.RandomState(6).standard_normal((6000, 64))
+    pivots = pivot_index.choose_pivots([*rows.tolist(), *more.tolist()], shape.pivots)[64]
+    assert len(pivots) == shape.pivots
+    near = pivot_index.nearest_pivots(rows, pivots, shape.prefix)
     shared = [len(set(near[2 * k]) & set(near[2 * k + 1])) for k in range(800)]
-    assert np.mean(np.array(shared) >= pivot_index.SHARED) >= 0.9
+    assert np.mean(np.array(shared) >= shape.shared) >= 0.9
+
+
+def test_shapes_follow_the_table():
+    sizes = [pivot_index.shape_for(n).pivots for n in (0, 16_384, 16_385, 100_000, 10**6, 10**12)]
+    assert sizes == [512, 512, 1024, 2048, 4096, 4096]
+
+
+@pytest.mark.parametrize("shape", [pivot_index.Shape(1024), pivot_index.Shape(2048, 8), pivot_index.Shape(4096, 10, 4)])
+def test_links_in_other_shapes(spark, monkeypatch, shape):
+    """The same links whatever the shape, also of vectors whose squares leave the range of doubles."""
+    monkeypatch.setattr(pivot_index, "SHAPES", ((math.inf, shape),))
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors_with_neighbours(5, [0.05] * 60))]
+    rows = [(k, [x * s for x in v]) for (k, v), s in zip(rows, [1.0, 1e200, 1e-200, 3.0] * 30)]
+    got = {r["vec_id"]: r for r in pivot_index.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    linked = [got[k]["n_links"] == 1 and got[k]["component_id"] == k - k % 2 for k in range(120)]
+    assert np.mean(linked) >= 0.98
 
 
 def test_near_vectors(spark):
