@@ -414,3 +414,18 @@ def grid_with_rejects(spark, folder):
         F.col("cells").cast("bigint").alias("cells"),
     )
     return good.unionByName(bad)
+
+
+@query(
+    """SELECT event_id, CASE event_id % 10 WHEN 2 THEN 'not yet known' WHEN 4 THEN strftime(ts, '%Y-%m-%d %H:%M') WHEN 6 THEN NULL WHEN 8 THEN NULL
+  ELSE strftime(ts, '%m/%d/%Y %H:%M:%S') END AS seen_at FROM events"""
+)
+def clean_grid_with_bad_cells(spark, folder):
+    """Cells of a time column that are no time keep their text; blank cells and null tokens are empty."""
+    n = F.col("event_id") % 10
+    utc = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'")
+    cell = F.when(n == 2, "not yet known").when(n == 4, F.date_format("ts", "yyyy-MM-dd HH:mm")).when(n == 6, " ").when(n == 8, "NaN").otherwise(utc)
+    cells = t.table(spark, folder, "events").select("event_id", cell.alias("seen_at"))
+    return grid.clean_grid(cells.withColumn("event_id", F.col("event_id").cast("string")), first_by=["event_id"]).withColumn(
+        "event_id", F.col("event_id").cast("bigint")
+    )
