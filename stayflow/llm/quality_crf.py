@@ -229,7 +229,7 @@ def train(
     sample: int = 1000,
     sample_lines: int = 2000,
 ) -> Field:
-    """Fit on at most ``sample`` labelled documents of each label."""
+    """Fit on at most ``sample`` labelled documents of each label; of rows with one id the smallest text counts."""
     marked = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
     marked = marked.filter("id is not null and label in (0, 1)")
     order = [F.xxhash64("id", F.lit(5)), "id"]
@@ -239,7 +239,8 @@ def train(
     # at most twice the sample: small enough to send to every task
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
-    chosen = texts.filter(lines <= sample_lines).join(F.broadcast(drawn), "id")
+    chosen = texts.filter(lines <= sample_lines).join(F.broadcast(drawn.distinct()), "id")
+    chosen = chosen.groupBy("id", "label").agg(F.min("text").alias("text"))  # ids may be repeated
 
     def features(batches):
         for batch in batches:
@@ -264,13 +265,6 @@ def train(
     return fit_field(np.concatenate(each).astype(np.float64), np.array([len(e) for e in each]), label)
 
 
-def hash_of(text: str) -> int:
-    """An order of the sample that does not depend on how Spark delivers it."""
-    import zlib
-
-    return zlib.crc32(text.encode())
-
-
 def quality(text: Column | str, field: Field) -> Column:
     """Column of scores (double) of a text column."""
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -57,3 +58,12 @@ def test_labels_are_no_input_of_a_score(spark):
     seen = labels.filter(quality_crf.remainder("doc_id", 3) != 1)
     a, b = (quality_crf.train(docs, seen) for _ in range(2))
     assert (a.near == b.near).all() and (a.step == b.step).all()
+
+
+def test_repeated_ids_do_not_enlarge_the_sample(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    once = quality_crf.train(docs, labels)
+    again = docs.unionByName(docs).unionByName(docs.withColumn("text", F.concat("text", F.lit(" and more"))))
+    many = quality_crf.train(again, labels.unionByName(labels))
+    assert (once.near == many.near).all() and (once.step == many.step).all()
