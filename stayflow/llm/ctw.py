@@ -22,6 +22,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,11 +41,14 @@ def normal_form(text: str | None) -> bytes:
 
 
 def _strings(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of each byte with its context, of all texts end to end, and where each text begins."""
+    """Codes of each byte with its context, of all texts end to end, and where each text begins.
+
+    A code packs the bytes before, nearest first, and the byte itself, so that codes sort as a tree.
+    """
     pad = END * depth  # what stands before a text
     flat = np.frombuffer(b"".join(pad + t for t in texts), np.uint8)
     codes = np.zeros(len(flat), np.int64)
-    for back in range(depth, -1, -1):
+    for back in [*range(1, depth + 1), 0]:
         codes <<= 8
         codes[back:] |= flat[: len(flat) - back]
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -203,63 +207,141 @@ def _estimate(level: DataFrame) -> DataFrame:
     return level.withColumn("kt", block).withColumn("p", (b + 0.5) / (a + b + 1.0))
 
 
-def _bits(codes: DataFrame) -> DataFrame:
-    """The eight decisions of each byte string: context, node of the byte's tree, and the bit taken."""
-    byte = F.col("code").bitwiseAND(255)
-    steps = [
-        F.struct(
-            (F.lit(1 << k) + F.shiftright(byte, 8 - k)).cast("int").alias("node"),
-            F.shiftright(byte, 7 - k).bitwiseAND(1).cast("int").alias("bit"),
-        )
-        for k in range(8)
-    ]
-    exploded = codes.withColumn("step", F.explode(F.array(*steps)))
-    return exploded.withColumn("context", F.shiftright("code", 8)).withColumns(
-        {"node": F.col("step.node"), "bit": F.col("step.bit")}
-    ).drop("step")
+def _log_gammas(x: np.ndarray) -> np.ndarray:
+    """``_log_gamma`` of an array."""
+    y = x + 7.0
+    down = x.copy()
+    for k in range(1, 7):
+        down *= x + k
+    series = 1.0 / (12.0 * y) - 1.0 / (360.0 * y**3) + 1.0 / (1260.0 * y**5)
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(down)
+
+
+class _Level:
+    """Contexts of one depth with their nodes: ``keys`` are (context, node) in one number, ascending."""
 
+    def __init__(self, keys: np.ndarray, a: np.ndarray, b: np.ndarray, longer: np.ndarray | None):
+        self.keys, self.a, self.b = keys, a, b
+        self.p = (b + 0.5) / (a + b + 1.0)
+        kt = _log_gammas(a + 0.5) + _log_gammas(b + 0.5) - _log_gammas(a + b + 1.0) - math.log(math.pi)
+        if longer is None:
+            self.weighted, self.own = kt, np.ones(len(keys))
+        else:
+            gap = longer - kt
+            self.weighted = np.logaddexp(longer, kt) - math.log(2)
+            self.own = 1.0 / (1.0 + np.exp(np.minimum(gap, 700.0)))
 
-def _shorter(context: Column | str, depth: int) -> Column:
-    return F.col(context).bitwiseAND((1 << (8 * depth)) - 1) if depth else F.lit(0).cast("long")
+
+def _subtrees(codes: np.ndarray, n: np.ndarray, levels: int):
+    """The deepest ``levels`` + 1 depths of the trees over whole groups of strings.
+
+    Returns the levels from the deepest up, for each the place of its rows in the level above it, and
+    for the eight decisions of each string their places in the deepest level and the bits taken.
+    """
+    byte = codes & 255
+    nodes = np.stack([(1 << k) + (byte >> (8 - k)) for k in range(8)])
+    bits = np.stack([byte >> (7 - k) & 1 for k in range(8)])
+    keys, place = np.unique((codes - byte + nodes).ravel(), return_inverse=True)
+    ones = np.bincount(place, (bits * n).ravel(), len(keys))
+    tree = [_Level(keys, np.bincount(place, ((1 - bits) * n).ravel(), len(keys)), ones, None)]
+    parents = []
+    for _ in range(levels):
+        low = tree[-1]
+        keys, up = np.unique(((low.keys >> 16) << 8) | (low.keys & 255), return_inverse=True)
+        sums = (np.bincount(up, values, len(keys)) for values in (low.a, low.b, low.weighted))
+        tree.append(_Level(keys, *sums))
+        parents.append(up)
+    return tree, parents, place.reshape(8, -1), bits
+
+
+def _whole_groups(batches, names: list[str], least: int = 1 << 18):
+    """Arrays of the named columns of rows sorted by the first, cut between its values only."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
+        size += batch.num_rows
+        if size < least:
+            continue
+        columns = [np.concatenate(c) for c in zip(*held)]
+        cut = int(np.searchsorted(columns[0], columns[0][-1]))
+        if cut:
+            yield [c[:cut] for c in columns]
+        held = [[c[cut:] for c in columns]]
+        size = size - cut
+        least = max(least, 2 * size)  # a large group is not joined up anew for every batch
+    if size:
+        yield [np.concatenate(c) for c in zip(*held)]
 
 
 def tree(counts: DataFrame, depth: int) -> DataFrame:
     """Log10 probability (``value``) of the last byte of each string given the ``depth`` bytes before it.
 
-    ``counts`` has each ``code`` (packed bytes) once, with its training count ``n``.
+    ``counts`` has each ``code`` once, with its training count ``n``.  The two deepest depths of
+    context are built in arrays, by tasks that hold the strings of one context of ``depth`` - 2 bytes
+    at a time (at most 2**24 of them, as three bytes are left open); the depths above are aggregations.
     """
-    bits = _bits(counts)
-    zero, one = F.sum(F.col("n") * (1 - F.col("bit"))), F.sum(F.col("n") * F.col("bit"))
-    leaf = _estimate(bits.groupBy("context", "node").agg(zero.alias("a"), one.alias("b")))
-    levels = {depth: keep(leaf.withColumn("weighted", F.col("kt")).withColumn("own", F.lit(1.0)))}
-    for d in range(depth - 1, -1, -1):
-        up = levels[d + 1].groupBy(_shorter("context", d).alias("context"), "node")
-        up = up.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("weighted").alias("longer"))
-        up = _estimate(up)
+    top = max(depth - 2, 0)
+    own = counts.select(F.shiftright("code", 8 * (depth - top + 1)).alias("key"), "code", "n")
+
+    def up(batches):
+        for _, codes, n in _whole_groups(batches, ["key", "code", "n"]):
+            last = _subtrees(codes, n, depth - top)[0][-1]
+            arrays = [last.keys >> 8, (last.keys & 255).astype(np.int32), last.a, last.b, last.weighted]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["context", "node", "a", "b", "weighted"])
+
+    grouped = own.repartition("key").sortWithinPartitions("key", "code")
+    levels = {top: keep(grouped.mapInArrow(up, "context long, node int, a double, b double, weighted double"))}
+    for d in range(top - 1, -1, -1):
+        level = levels[d + 1].groupBy(F.shiftright("context", 8).alias("context"), "node")
+        level = _estimate(level.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("weighted").alias("longer")))
         gap = F.col("longer") - F.col("kt")
         # log of the mean of the estimate and the product of the longer contexts
         mean = F.greatest("longer", "kt") + F.log1p(F.exp(-F.abs(gap))) - math.log(2)
-        levels[d] = keep(up.withColumn("weighted", mean).withColumn("own", 1.0 / (1.0 + F.exp(gap))).drop("longer"))
-    mixed = None
-    for d in range(depth + 1):
-        level = levels[d].select("context", "node", "own", "p")
+        levels[d] = keep(level.withColumn("weighted", mean).withColumn("own", 1.0 / (1.0 + F.exp(gap))).drop("longer"))
+    mixed = None  # what the depths so far give, and the weight that is left to longer contexts
+    for d in range(top + 1):
+        level = levels[d].withColumnRenamed("context", "key")
         if mixed is None:
             level = level.withColumn("sum", F.lit(0.0)).withColumn("rest", F.lit(1.0))
         else:
-            above = mixed.withColumnRenamed("context", "parent")
-            level = level.withColumn("parent", _shorter("context", d - 1)).join(above, ["parent", "node"])
-        mixed = level.select(
-            "context",
-            "node",
-            (F.col("sum") + F.col("rest") * F.col("own") * F.col("p")).alias("sum"),
-            (F.col("rest") * (1.0 - F.col("own"))).alias("rest"),
-        )
-    chance = F.when(F.col("bit") == 1, F.col("sum")).otherwise(1.0 - F.col("sum"))
-    return bits.join(mixed, ["context", "node"]).groupBy("code").agg(F.sum(F.log10(chance)).alias("value"))
+            above = mixed.withColumnRenamed("key", "parent")
+            level = level.withColumn("parent", F.shiftright("key", 8)).join(above, ["parent", "node"])
+        if d == top:
+            mixed = level.select("key", "node", "sum", "rest")
+        else:
+            mixed = level.select(
+                "key",
+                "node",
+                (F.col("sum") + F.col("rest") * F.col("own") * F.col("p")).alias("sum"),
+                (F.col("rest") * (1.0 - F.col("own"))).alias("rest"),
+            )
+
+    def down(batches):
+        for _, code, n, node, total, rest in _whole_groups(batches, ["key", "code", "n", "node", "sum", "rest"]):
+            is_code = node == 0
+            codes = code[is_code]
+            levels, parents, place, bits = _subtrees(codes, n[is_code], depth - top)
+            order = np.argsort((code[~is_code] << 8) | node[~is_code])
+            total, rest = total[~is_code][order], rest[~is_code][order]
+            for k in range(depth - top, -1, -1):
+                level = levels[k]
+                total, rest = total + rest * level.own * level.p, rest * (1.0 - level.own)
+                if k:
+                    total, rest = total[parents[k - 1]], rest[parents[k - 1]]
+            one = total[place]
+            value = np.log10(np.where(bits == 1, one, 1.0 - one)).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(value)], ["code", "value"])
+
+    zero = F.lit(0.0)
+    both = own.select("key", "code", "n", F.lit(0).alias("node"), zero.alias("sum"), zero.alias("rest")).union(
+        mixed.select("key", F.col("key").alias("code"), F.lit(0).cast("long").alias("n"), "node", "sum", "rest")
+    )
+    return both.repartition("key").sortWithinPartitions("key").mapInArrow(down, "code long, value double")
 
 
 def score(
-    docs: DataFrame, train: Column, id_column: str = "doc_id", text_column: str = "text", depth: int = 4
+    docs: DataFrame, train: Column, id_column: str = "doc_id", text_column: str = "text", depth: int = 6
 ) -> DataFrame:
     """Scores of all texts by models of those where ``train`` holds; one row per row.
 
@@ -306,15 +388,16 @@ def score(
                     own[END] += 1
         sent = table.filter(table["word"].is_valid())
         dict.update(own, zip(sent["word"].to_pylist(), sent["value"].to_pylist()))
-        entries = table.filter(table["code"].is_valid()).sort_by("code")
-        codes, value = entries["code"].to_numpy(), entries["value"].to_numpy()
+        entries = table.filter(table["code"].is_valid())
+        codes, first = np.unique(entries["code"].to_numpy(), return_index=True)
+        value, places = entries["value"].to_numpy()[first], pd.Index(codes)
         out: list[list] = [[], [], [], [], []]
         forms: list[bytes] = []
 
         def flush():
             if forms:
                 found, begin = _strings(forms, depth)
-                out[4].extend(np.add.reduceat(value[np.searchsorted(codes, found)], begin).tolist())
+                out[4].extend(np.add.reduceat(value[places.get_indexer(found)], begin).tolist())
                 forms.clear()
 
         ids, trains = [], []
