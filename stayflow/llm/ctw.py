@@ -33,6 +33,8 @@ from stayflow.sources.scratch import keep, scratch_of_run, scratch_path
 END = b"\n"
 CHUNK = 32_000_000  # bytes of text that one scoring group holds
 BLOCK = 1_000_000  # bytes of text that are packed into one row
+CELL = 100_000  # the number of cells of strings is the root of the bytes of text over this
+SALTED = 100_000_000_000  # bytes of text for each part in which the rows of a cell are merged and sent
 
 
 def normal_form(text: str | None) -> bytes:
@@ -161,33 +163,127 @@ def _word_counts(chunked: DataFrame) -> DataFrame:
     return chunked.select("chunk", "trains", "sizes", "packed").mapInArrow(run, "chunk long, word binary, n long")
 
 
-def _string_counts(chunked: DataFrame, depth: int) -> DataFrame:
+def _pack(numbers: np.ndarray) -> bytes:
+    """Eight-byte numbers, compressed; whole numbers by their steps."""
+    if numbers.dtype.kind == "i":
+        numbers = np.diff(numbers, prepend=0)
+    return pa.compress(numbers.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, size: int, kind=np.int64) -> np.ndarray:
+    numbers = np.frombuffer(pa.decompress(packed, 8 * size, "zstd", asbytes=True), kind)
+    return np.cumsum(numbers) if kind is np.int64 else numbers
+
+
+def _summed(codes: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, ascending, and the sums of their numbers."""
+    distinct, at = np.unique(np.concatenate(codes), return_inverse=True)
+    sums = np.zeros(len(distinct), np.int64)
+    np.add.at(sums, at, np.concatenate(n))
+    return distinct, sums
+
+
+def _cell_row(head: list[int], names: list[str], codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    arrays = [pa.array([x], pa.int64()) for x in (*head, len(codes))]
+    arrays += [pa.array([_pack(x)], pa.binary()) for x in (codes, n)]
+    return pa.RecordBatch.from_arrays(arrays, [*names, "size", "codes", "n"])
+
+
+def _string_counts(chunked: DataFrame, depth: int, cells: int) -> DataFrame:
     """Byte strings of each chunk with their number in its training texts (zero for others).
 
-    A chunk whose blocks are read by several tasks has a row from each of them.
+    Strings are dealt to ``cells`` by the context bytes that ``_top`` names; a row has the strings of
+    one chunk and cell, packed.  A chunk whose blocks are read by several tasks has rows from each.
     """
+    shift = 8 * (depth - _top(depth) + 1)
 
     def rows(chunk, codes, n):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), chunk)), pa.array(codes), pa.array(n)], names)
+        # multiplied modulo 2**64, so that near contexts lie in different cells
+        cell = ((codes >> shift).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(cells)
+        order = np.argsort(cell, kind="stable")
+        cell, codes, n = cell[order], codes[order], n[order]
+        starts = np.flatnonzero(np.diff(cell, prepend=cells))
+        for begin, end in zip(starts, [*starts[1:], len(codes)]):
+            yield _cell_row([chunk, int(cell[begin])], ["chunk", "cell"], codes[begin:end], n[begin:end])
 
     def run(batches):
         chunk, codes, n = None, np.empty(0, np.int64), np.empty(0, np.int64)
-        for own, forms in _runs(batches, CHUNK // 8):
+        for own, forms in _runs(batches, CHUNK // 4):
             if chunk is not None and own != chunk:
-                yield rows(chunk, codes, n)
+                yield from rows(chunk, codes, n)
                 codes, n = codes[:0], n[:0]
             chunk = own
             known, times = np.unique(_strings(forms[True], depth)[0], return_counts=True)
-            other = np.unique(_strings(forms[False], depth)[0])
-            codes, at = np.unique(np.concatenate([codes, known, other]), return_inverse=True)
-            sums = np.zeros(len(codes), np.int64)
-            np.add.at(sums, at, np.concatenate([n, times, np.zeros(len(other), np.int64)]))
-            n = sums
+            other = pd.unique(_strings(forms[False], depth)[0])
+            codes, n = _summed([codes, known, other], [n, times, np.zeros(len(other), np.int64)])
         if chunk is not None:
-            yield rows(chunk, codes, n)
+            yield from rows(chunk, codes, n)
+
+    schema = "chunk long, cell long, size long, codes binary, n binary"
+    return chunked.select("chunk", "trains", "sizes", "packed").mapInArrow(run, schema)
+
+
+def _rows(batches, names: list[str]):
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in names))
 
-    names = ["chunk", "code", "n"]
-    return chunked.select("chunk", "trains", "sizes", "packed").mapInArrow(run, "chunk long, code long, n long")
+
+def _merged(strings: DataFrame, salts: int) -> DataFrame:
+    """All strings of each cell with their numbers, one packed row for a cell.
+
+    With many chunks the rows of a cell are merged in ``salts`` parts first, each in its own task.
+    """
+
+    def run(batches):
+        held, codes, n, size, least = None, [], [], 0, 1 << 21
+        for cell, salt, number, packed, times in _rows(batches, ["cell", "salt", "size", "codes", "n"]):
+            if held is not None and held != (cell, salt):
+                yield _cell_row(list(held), ["cell", "salt"], *_summed(codes, n))
+                codes, n, size, least = [], [], 0, 1 << 21
+            held = (cell, salt)
+            codes.append(_unpack(packed, number))
+            n.append(_unpack(times, number))
+            size += number
+            if size > least:
+                whole, sums = _summed(codes, n)
+                codes, n, size, least = [whole], [sums], len(whole), max(least, 2 * len(whole))
+        if held is not None:
+            yield _cell_row(list(held), ["cell", "salt"], *_summed(codes, n))
+
+    parts = strings.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)))
+    for salted in [True, False] if salts > 1 else [False]:
+        if not salted:
+            parts = parts.withColumn("salt", F.lit(0).cast("long"))
+        parts = parts.select("cell", "salt", "size", "codes", "n").repartition("cell", "salt")
+        parts = parts.sortWithinPartitions("cell", "salt")
+        parts = parts.mapInArrow(run, "cell long, salt long, size long, codes binary, n binary")
+    return parts.drop("salt")
+
+
+def _sent(strings: DataFrame, values: DataFrame, salts: int) -> DataFrame:
+    """The values of each chunk's strings: every cell's rows meet the cell's values in a sorted stream."""
+
+    def run(batches):
+        codes = value = None
+        names = ["chunk", "cell", "size", "codes", "value"]
+        for chunk, cell, size, packed, given in _rows(batches, names):
+            own = _unpack(packed, size)
+            if given is not None:  # comes first in its cell
+                codes, value = own, _unpack(given, size, np.float64)
+                continue
+            found = _pack(value[np.searchsorted(codes, own)])
+            row = [pa.array([x], pa.int64()) for x in (chunk, size)]
+            row += [pa.array([x], pa.binary()) for x in (packed, found)]
+            yield pa.RecordBatch.from_arrays(row, ["chunk", "size", "codes", "value"])
+
+    salt = F.pmod(F.xxhash64("chunk"), F.lit(salts))
+    asked = strings.select("chunk", "cell", salt.alias("salt"), "size", "codes", F.lit(None).cast("binary").alias("value"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    given = values.select(F.lit(None).cast("long").alias("chunk"), "cell", every.alias("salt"), "size", "codes", "value")
+    both = given.union(asked).repartition("cell", "salt").sortWithinPartitions("cell", "salt", F.col("chunk").asc_nulls_first())
+    return both.select("chunk", "cell", "size", "codes", "value").mapInArrow(
+        run, "chunk long, size long, codes binary, value binary"
+    )
 
 
 def _log_gamma(x: Column) -> Column:
@@ -254,44 +350,27 @@ def _subtrees(codes: np.ndarray, n: np.ndarray, levels: int):
     return tree, parents, place.reshape(8, -1), bits
 
 
-def _whole_groups(batches, names: list[str], least: int = 1 << 18):
-    """Arrays of the named columns of rows sorted by the first, cut between its values only."""
-    held: list[list[np.ndarray]] = []
-    size = 0
-    for batch in batches:
-        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
-        size += batch.num_rows
-        if size < least:
-            continue
-        columns = [np.concatenate(c) for c in zip(*held)]
-        cut = int(np.searchsorted(columns[0], columns[0][-1]))
-        if cut:
-            yield [c[:cut] for c in columns]
-        held = [[c[cut:] for c in columns]]
-        size = size - cut
-        least = max(least, 2 * size)  # a large group is not joined up anew for every batch
-    if size:
-        yield [np.concatenate(c) for c in zip(*held)]
+def _top(depth: int) -> int:
+    """Bytes of context that decide the cell of a string; the depths beyond are built inside cells."""
+    return max(depth - 2, 0)
 
 
 def tree(counts: DataFrame, depth: int) -> DataFrame:
-    """Log10 probability (``value``) of the last byte of each string given the ``depth`` bytes before it.
+    """Log10 probability of the last byte of each string given the ``depth`` bytes before it.
 
-    ``counts`` has each ``code`` once, with its training count ``n``.  The two deepest depths of
-    context are built in arrays, by tasks that hold the strings of one context of ``depth`` - 2 bytes
-    at a time (at most 2**24 of them, as three bytes are left open); the depths above are aggregations.
+    ``counts`` has one packed row per cell, with the training counts ``n`` of its ``codes``; the
+    result has ``value`` in place of them.  The deepest depths of context are built in arrays inside
+    the cells, the depths above them by aggregations.
     """
-    top = max(depth - 2, 0)
-    own = counts.select(F.shiftright("code", 8 * (depth - top + 1)).alias("key"), "code", "n")
+    top = _top(depth)
 
     def up(batches):
-        for _, codes, n in _whole_groups(batches, ["key", "code", "n"]):
-            last = _subtrees(codes, n, depth - top)[0][-1]
-            arrays = [last.keys >> 8, (last.keys & 255).astype(np.int32), last.a, last.b, last.weighted]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["context", "node", "a", "b", "weighted"])
+        for cell, size, codes, n in _rows(batches, ["cell", "size", "codes", "n"]):
+            last = _subtrees(_unpack(codes, size), _unpack(n, size), depth - top)[0][-1]
+            arrays = [np.full(len(last.keys), cell), last.keys >> 8, (last.keys & 255).astype(np.int32), last.a, last.b, last.weighted]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["cell", "context", "node", "a", "b", "weighted"])
 
-    grouped = own.repartition("key").sortWithinPartitions("key", "code")
-    levels = {top: keep(grouped.mapInArrow(up, "context long, node int, a double, b double, weighted double"))}
+    levels = {top: keep(counts.mapInArrow(up, "cell long, context long, node int, a double, b double, weighted double"))}
     for d in range(top - 1, -1, -1):
         level = levels[d + 1].groupBy(F.shiftright("context", 8).alias("context"), "node")
         level = _estimate(level.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("weighted").alias("longer")))
@@ -308,7 +387,7 @@ def tree(counts: DataFrame, depth: int) -> DataFrame:
             above = mixed.withColumnRenamed("key", "parent")
             level = level.withColumn("parent", F.shiftright("key", 8)).join(above, ["parent", "node"])
         if d == top:
-            mixed = level.select("key", "node", "sum", "rest")
+            mixed = level.select("cell", "key", "node", "sum", "rest")
         else:
             mixed = level.select(
                 "key",
@@ -317,27 +396,26 @@ def tree(counts: DataFrame, depth: int) -> DataFrame:
                 (F.col("rest") * (1.0 - F.col("own"))).alias("rest"),
             )
 
-    def down(batches):
-        for _, code, n, node, total, rest in _whole_groups(batches, ["key", "code", "n", "node", "sum", "rest"]):
-            is_code = node == 0
-            codes = code[is_code]
-            levels, parents, place, bits = _subtrees(codes, n[is_code], depth - top)
-            order = np.argsort((code[~is_code] << 8) | node[~is_code])
-            total, rest = total[~is_code][order], rest[~is_code][order]
-            for k in range(depth - top, -1, -1):
-                level = levels[k]
-                total, rest = total + rest * level.own * level.p, rest * (1.0 - level.own)
-                if k:
-                    total, rest = total[parents[k - 1]], rest[parents[k - 1]]
-            one = total[place]
-            value = np.log10(np.where(bits == 1, one, 1.0 - one)).sum(axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(value)], ["code", "value"])
-
-    zero = F.lit(0.0)
-    both = own.select("key", "code", "n", F.lit(0).alias("node"), zero.alias("sum"), zero.alias("rest")).union(
-        mixed.select("key", F.col("key").alias("code"), F.lit(0).cast("long").alias("n"), "node", "sum", "rest")
-    )
-    return both.repartition("key").sortWithinPartitions("key").mapInArrow(down, "code long, value double")
+    def down(own: pa.Table, above: pa.Table) -> pa.Table:
+        size, packed = own["size"][0].as_py(), own["codes"][0].as_py()
+        codes = _unpack(packed, size)
+        levels, parents, place, bits = _subtrees(codes, _unpack(own["n"][0].as_py(), size), depth - top)
+        key, node, total, rest = (above[c].to_numpy() for c in ("key", "node", "sum", "rest"))
+        order = np.argsort((key << 8) | node)
+        total, rest = total[order], rest[order]
+        for k in range(depth - top, -1, -1):
+            level = levels[k]
+            total, rest = total + rest * level.own * level.p, rest * (1.0 - level.own)
+            if k:
+                total, rest = total[parents[k - 1]], rest[parents[k - 1]]
+        one = total[place]
+        value = np.log10(np.where(bits == 1, one, 1.0 - one)).sum(axis=0)
+        row = [own["cell"][:1], pa.array([size], pa.int64())]
+        row += [pa.array([x], pa.binary()) for x in (packed, _pack(value))]
+        return pa.Table.from_arrays(row, ["cell", "size", "codes", "value"])
+
+    cells = counts.groupBy("cell").cogroup(mixed.groupBy("cell"))
+    return cells.applyInArrow(down, "cell long, size long, codes binary, value binary")
 
 
 def score(
@@ -365,15 +443,20 @@ def score(
         F.coalesce(F.sum((F.col("first") & (F.col("count") > 0)).cast("long")), F.lit(0)).alias("distinct"),
     ).first()
     total, distinct = int(seen["tokens"]), int(seen["distinct"])
-    strings = keep(_string_counts(chunked, depth))
+    size = chunked.agg(F.sum(F.expr("aggregate(sizes, 0L, (held, size) -> held + size)"))).first()[0] or 0
+    salts = 1 + size // SALTED
+    strings = keep(_string_counts(chunked, depth, 1 + math.isqrt(size // CELL)))
     path = scratch_path(docs.sparkSession)
     with scratch_of_run(docs.sparkSession):  # counts and levels of the trees go once the values stand
-        values = keep(tree(keep(strings.groupBy("code").agg(F.sum("n").alias("n"))), depth), path)
+        values = keep(tree(keep(_merged(strings, salts)), depth), path)
     none = F.lit(None)
     wanted = words.filter(F.col("word").isNotNull())
-    wanted = wanted.select("chunk", "word", none.cast("long").alias("code"), F.col("count").cast("double").alias("value"))
+    wanted = wanted.select(
+        "chunk", "word", "count", *(none.cast(k).alias(c) for c, k in (("size", "long"), ("codes", "binary"), ("value", "binary")))
+    )
+    sent = _sent(strings, values, salts)
     wanted = wanted.union(
-        strings.select("chunk", "code").join(values, "code").select("chunk", none.cast("binary").alias("word"), "code", "value")
+        sent.select("chunk", none.cast("binary").alias("word"), none.cast("long").alias("count"), "size", "codes", "value")
     )
     floor = math.log10(total + 0.5 * (distinct + 1))
     names = ["id", "train", "n_bytes", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -387,10 +470,11 @@ def score(
                     own.update(form[:-1].split())
                     own[END] += 1
         sent = table.filter(table["word"].is_valid())
-        dict.update(own, zip(sent["word"].to_pylist(), sent["value"].to_pylist()))
-        entries = table.filter(table["code"].is_valid())
-        codes, first = np.unique(entries["code"].to_numpy(), return_index=True)
-        value, places = entries["value"].to_numpy()[first], pd.Index(codes)
+        dict.update(own, zip(sent["word"].to_pylist(), sent["count"].to_pylist()))
+        parts = list(_rows(table.filter(table["codes"].is_valid()).to_batches(), ["size", "codes", "value"]))
+        codes, first = np.unique(np.concatenate([_unpack(c, k) for k, c, _ in parts]), return_index=True)
+        value = np.concatenate([_unpack(v, k, np.float64) for k, _, v in parts])[first]
+        places = pd.Index(codes)
         out: list[list] = [[], [], [], [], []]
         forms: list[bytes] = []
 
