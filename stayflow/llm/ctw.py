@@ -208,7 +208,7 @@ def _string_counts(chunked: DataFrame, depth: int, cells: int) -> DataFrame:
 
     def run(batches):
         chunk, codes, n = None, np.empty(0, np.int64), np.empty(0, np.int64)
-        for own, forms in _runs(batches, CHUNK // 4):
+        for own, forms in _runs(batches, CHUNK // 8):
             if chunk is not None and own != chunk:
                 yield from rows(chunk, codes, n)
                 codes, n = codes[:0], n[:0]
@@ -475,6 +475,7 @@ def score(
         codes, first = np.unique(np.concatenate([_unpack(c, k) for k, c, _ in parts]), return_index=True)
         value = np.concatenate([_unpack(v, k, np.float64) for k, _, v in parts])[first]
         places = pd.Index(codes)
+        del parts, first
         out: list[list] = [[], [], [], [], []]
         forms: list[bytes] = []
 

@@ -217,6 +217,17 @@ def test_context_tree_weighting(spark, depth):
         assert r["base_score"] == pytest.approx(sum(math.log10((known[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws))
 
 
+def test_scores_do_not_depend_on_cells_and_parts(spark, monkeypatch):
+    texts = ["the cat sat on the mat", "a cat and a hat", None, "the hat"] * 3
+    rows = [(k, t, k % 4 != 3) for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, own boolean").repartition(3)
+    monkeypatch.setattr(ctw, "CELL", 10)  # several cells
+    monkeypatch.setattr(ctw, "SALTED", 100)  # merged and sent in parts
+    got = {r["doc_id"]: r["score"] for r in ctw.score(frame, F.col("own"), depth=4).collect()}
+    want = brute_scores(texts, [own for *_, own in rows], 4)
+    assert [got[k] for k, *_ in rows] == pytest.approx(want, rel=1e-9)
+
+
 def test_context_tree_weighting_of_awkward_rows(awkward, none):
     rows = ctw.score(awkward, F.col("doc_id") != 2, depth=2).collect()
     assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r["doc_id"]) for r in awkward.collect())
