@@ -6,8 +6,8 @@ binary decisions; each decision (a node of the byte's binary tree) has a context
 contexts in the proportions that context-tree weighting gives after all training texts, so the model
 is the mixture over all prunings of all trees.
 
-Counting and the trees are DataFrame aggregations and joins over context counts that grow with the
-corpus.  Scoring sends each chunk of texts only the probabilities of the byte strings (context and
+Byte strings (context and byte) are counted per chunk of texts and dealt to cells by their nearest
+context bytes; the deepest depths are built inside the cells, those above by aggregations.  Scoring sends each chunk of texts only the probabilities of the byte strings (context and
 byte) that occur in it, so no task and no broadcast holds the model.  Byte strings that only held-out
 texts have are given nodes with zero counts, which is what the tree would say of them.
 
