@@ -22,7 +22,6 @@ import math
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,12 +174,58 @@ def _unpack(packed: bytes, size: int, kind=np.int64) -> np.ndarray:
     return np.cumsum(numbers) if kind is np.int64 else numbers
 
 
+def _firsts(codes: np.ndarray) -> np.ndarray:
+    """Where each distinct code of an ascending array begins."""
+    return np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])[: len(codes)])
+
+
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, ascending, and how often each comes.  The array is sorted in place."""
+    codes.sort()
+    first = _firsts(codes)
+    return codes[first], np.diff(first, append=len(codes))
+
+
 def _summed(codes: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes, ascending, and the sums of their numbers."""
-    distinct, at = np.unique(np.concatenate(codes), return_inverse=True)
-    sums = np.zeros(len(distinct), np.int64)
-    np.add.at(sums, at, np.concatenate(n))
-    return distinct, sums
+    """Distinct codes, ascending, and the sums of their numbers.  Both lists of ascending codes and numbers are
+    emptied on the way, so that few copies stand at a time."""
+    joined = np.concatenate(codes)
+    codes.clear()
+    order = np.argsort(joined, kind="stable")  # merges what is ascending
+    joined = joined[order]
+    first = _firsts(joined)
+    joined = joined[first]
+    numbers = np.concatenate(n)
+    n.clear()
+    numbers = numbers[order]
+    return joined, np.add.reduceat(numbers, first) if len(first) else numbers
+
+
+class _Sums:
+    """Codes with numbers that come in pieces, summed as soon as the pieces are half as long as the sums."""
+
+    def __init__(self):
+        self.codes: list[np.ndarray] = []
+        self.n: list[np.ndarray] = []
+        self.size, self.least = 0, 1 << 20
+
+    def add(self, codes: np.ndarray, n: np.ndarray) -> None:
+        self.codes.append(codes)
+        self.n.append(n)
+        self.size += len(codes)
+        if self.size > self.least:
+            self._sum()
+
+    def _sum(self) -> None:
+        whole, sums = _summed(self.codes, self.n)
+        self.codes, self.n, self.size = [whole], [sums], len(whole)
+        self.least = max(self.least, self.size + self.size // 2)
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """The sums; none are held afterwards."""
+        sums = _summed(self.codes, self.n)
+        self.__init__()
+        return sums
 
 
 def _cell_row(head: list[int], names: list[str], codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -207,17 +252,16 @@ def _string_counts(chunked: DataFrame, depth: int, cells: int) -> DataFrame:
             yield _cell_row([chunk, int(cell[begin])], ["chunk", "cell"], codes[begin:end], n[begin:end])
 
     def run(batches):
-        chunk, codes, n = None, np.empty(0, np.int64), np.empty(0, np.int64)
-        for own, forms in _runs(batches, CHUNK // 8):
+        chunk, sums = None, _Sums()
+        for own, forms in _runs(batches, CHUNK // 16):
             if chunk is not None and own != chunk:
-                yield from rows(chunk, codes, n)
-                codes, n = codes[:0], n[:0]
+                yield from rows(chunk, *sums.taken())
             chunk = own
-            known, times = np.unique(_strings(forms[True], depth)[0], return_counts=True)
-            other = pd.unique(_strings(forms[False], depth)[0])
-            codes, n = _summed([codes, known, other], [n, times, np.zeros(len(other), np.int64)])
+            sums.add(*_counted(_strings(forms[True], depth)[0]))
+            other = _counted(_strings(forms[False], depth)[0])[0]
+            sums.add(other, np.zeros(len(other), np.int64))
         if chunk is not None:
-            yield from rows(chunk, codes, n)
+            yield from rows(chunk, *sums.taken())
 
     schema = "chunk long, cell long, size long, codes binary, n binary"
     return chunked.select("chunk", "trains", "sizes", "packed").mapInArrow(run, schema)
@@ -235,20 +279,14 @@ def _merged(strings: DataFrame, salts: int) -> DataFrame:
     """
 
     def run(batches):
-        held, codes, n, size, least = None, [], [], 0, 1 << 21
+        held, sums = None, _Sums()
         for cell, salt, number, packed, times in _rows(batches, ["cell", "salt", "size", "codes", "n"]):
             if held is not None and held != (cell, salt):
-                yield _cell_row(list(held), ["cell", "salt"], *_summed(codes, n))
-                codes, n, size, least = [], [], 0, 1 << 21
+                yield _cell_row(list(held), ["cell", "salt"], *sums.taken())
             held = (cell, salt)
-            codes.append(_unpack(packed, number))
-            n.append(_unpack(times, number))
-            size += number
-            if size > least:
-                whole, sums = _summed(codes, n)
-                codes, n, size, least = [whole], [sums], len(whole), max(least, 2 * len(whole))
+            sums.add(_unpack(packed, number), _unpack(times, number))
         if held is not None:
-            yield _cell_row(list(held), ["cell", "salt"], *_summed(codes, n))
+            yield _cell_row(list(held), ["cell", "salt"], *sums.taken())
 
     parts = strings.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)))
     for salted in [True, False] if salts > 1 else [False]:
@@ -418,6 +456,26 @@ def tree(counts: DataFrame, depth: int) -> DataFrame:
     return cells.applyInArrow(down, "cell long, size long, codes binary, value binary")
 
 
+def _values(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of the packed rows, ascending, and their values."""
+    at = np.flatnonzero(table["codes"].is_valid().to_numpy())
+    sizes = [table["size"][i].as_py() for i in at]
+    codes = np.concatenate([_unpack(table["codes"][i].as_py(), k) for i, k in zip(at, sizes)])
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = _firsts(codes)
+    codes, order = codes[first], order[first]
+    return codes, np.concatenate([_unpack(table["value"][i].as_py(), k, np.float64) for i, k in zip(at, sizes)])[order]
+
+
+def _looked_up(found: np.ndarray, codes: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The value of each code found; ``codes`` ascend and hold them all."""
+    order = np.argsort(found)
+    out = np.empty(len(found))
+    out[order] = value[np.searchsorted(codes, found[order])]
+    return out
+
+
 def score(
     docs: DataFrame, train: Column, id_column: str = "doc_id", text_column: str = "text", depth: int = 6
 ) -> DataFrame:
@@ -463,28 +521,16 @@ def score(
 
     def score_chunk(texts: pa.Table, table: pa.Table) -> pa.Table:
         blocks = list(zip(*(texts[k].to_pylist() for k in ("ids", "trains", "sizes", "packed"))))
+        out: list[list] = [[], [], [], [], []]
         own: Counter = Counter()
         for _, flags, sizes, packed in blocks:
             for flag, form in zip(flags, _unpacked(sizes, packed)):
                 if flag:
                     own.update(form[:-1].split())
                     own[END] += 1
-        sent = table.filter(table["word"].is_valid())
-        dict.update(own, zip(sent["word"].to_pylist(), sent["count"].to_pylist()))
-        parts = list(_rows(table.filter(table["codes"].is_valid()).to_batches(), ["size", "codes", "value"]))
-        codes, first = np.unique(np.concatenate([_unpack(c, k) for k, c, _ in parts]), return_index=True)
-        value = np.concatenate([_unpack(v, k, np.float64) for k, _, v in parts])[first]
-        places = pd.Index(codes)
-        del parts, first
-        out: list[list] = [[], [], [], [], []]
-        forms: list[bytes] = []
-
-        def flush():
-            if forms:
-                found, begin = _strings(forms, depth)
-                out[4].extend(np.add.reduceat(value[places.get_indexer(found)], begin).tolist())
-                forms.clear()
-
+        for batch in table.select(["word", "count"]).to_batches(max_chunksize=10_000):
+            batch = batch.filter(batch["word"].is_valid())
+            dict.update(own, zip(batch["word"].to_pylist(), batch["count"].to_pylist()))
         ids, trains = [], []
         for own_ids, flags, sizes, packed in blocks:
             ids += own_ids
@@ -497,8 +543,11 @@ def score(
                 out[1].append(len(tokens))
                 out[2].append(int((counts > 0).sum()))
                 out[3].append(float((np.log10(counts + 0.5) - floor).sum()))
-                forms.append(form)
-            flush()
+        del own  # words and strings are not held at the same time
+        codes, value = _values(table)
+        for _, _, sizes, packed in blocks:
+            found, begin = _strings(_unpacked(sizes, packed), depth)
+            out[4].extend(np.add.reduceat(_looked_up(found, codes, value), begin).tolist())
         arrays = [
             pa.array(ids, texts.schema.field("ids").type.value_type),
             pa.array(trains, pa.bool_()),

@@ -2,11 +2,14 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from stayflow.llm import bottomk, cells, ctw, mixing, pivot_index, simhash_index
 from stayflow.llm.components import components
@@ -237,6 +240,29 @@ def test_context_tree_weighting_of_awkward_rows(awkward, none):
     assert ctw.score(none, F.lit(True), depth=2).count() == 0
 
 
+def test_a_chunk_is_scored_without_holding_words_beside_strings(spark, monkeypatch):
+    caught, whole = [], PandasCogroupedOps.applyInArrow
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", lambda ops, run, schema: caught.append(run) or whole(ops, run, schema))
+    ctw.score(spark.createDataFrame([(1, "a cat", True)], "doc_id long, text string, own boolean"), F.col("own"))
+    numbers = np.random.default_rng(5).integers(0, 1 << 32, 120_000)
+    forms = [ctw.normal_form(" ".join(f"{x:08x}" for x in numbers[k : k + 10_000])) for k in range(0, len(numbers), 10_000)]
+    codes = np.unique(ctw._strings(forms, 6)[0])
+    texts = {"ids": [[k] for k in range(12)], "trains": [[True]] * 12, "sizes": [[len(f)] for f in forms]}
+    texts["packed"] = [pa.compress(f, "zstd", asbytes=True) for f in forms]
+    value = -1e-6 * np.arange(len(codes))
+    table = pa.table(
+        {"word": pa.array([None], pa.binary()), "count": pa.array([None], pa.int64()), "size": [len(codes)], "codes": [ctw._pack(codes)], "value": [ctw._pack(value)]}
+    )
+    texts = pa.table(texts, pa.schema({"ids": pa.list_(pa.int64()), "trains": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int32()), "packed": pa.binary()}))
+    tracemalloc.start()
+    scored = caught[-1](texts, table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = [value[np.searchsorted(codes, ctw._strings([f], 6)[0])].sum() for f in forms]
+    assert scored["score"].to_pylist() == pytest.approx(want) and scored["n_known"].to_pylist() == [10_001] * 12
+    assert peak < 48 * len(codes)
+
+
 def shingles(text):
     words = (text or "").encode().split()
     return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
