@@ -79,6 +79,18 @@ def test_latest_record_wins(tables, data, chunk, limit, monkeypatch):
         assert found[p[2]] == (best[0], best[2])
 
 
+@pytest.mark.parametrize("limit", [None, 25])
+def test_short_histories_are_lists_however_many(spark, tables, data, limit, monkeypatch):
+    monkeypatch.setattr(iv, "_chunks", None)  # for long ones
+    spark.conf.set("stayflow.broadcastRows", 1)
+    try:
+        got = iv.latest_record(*tables, ["k"], "at", "s", "e", {"sid": "sid"}, limit=limit).collect()
+    finally:
+        spark.conf.unset("stayflow.broadcastRows")
+    want = {p[2]: max(((s[1], s[2] or datetime(9999, 12, 31), s[3]) for s in data[1] if inside(p, s)), default=(None,))[-1] for p in data[0]}
+    assert {r["pid"]: r["sid"] for r in got} == want and len(got) == len(data[0])
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     """NULL keys on both sides, ties, nesting twenty deep, long and open intervals, times before 1970."""
