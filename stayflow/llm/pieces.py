@@ -16,6 +16,7 @@ is kept on a stack and reused by every following word with the same prefix.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -198,6 +199,18 @@ class Trie:
         model, word, last, begin, count = self.model, self.word, self.last, self.start, self.count
         ending, pair, size = model.endings.get, model._pairs.get, model.size
         for end in range(first, len(word) + 1):
+            # only one token fits, whatever is tried first: most often the last one and this character
+            start = begin[end - 1]
+            token = ending(word[start:end], _NO_PIECE)
+            if token >= 0:
+                fit = pair(last[start] * size + token)
+                if fit is None:
+                    fit = model.fits(last[start], token)
+                if fit:
+                    last.append(token)
+                    begin.append(start)
+                    count.append(count[start] + 1)
+                    continue
             for start in range(end - 1, -1, -1):
                 token = ending(word[start:end])
                 if token is None:
@@ -241,9 +254,9 @@ class Trie:
     def tokens(self) -> list[int]:
         """Token ids of the current word, read back from its last position."""
         out: list[int] = []
-        end = len(self.word)
+        last, begin, end = self.last, self.start, len(self.word)
         while end:
-            start, token = self.start[end], self.last[end]
+            start, token = begin[end], last[end]
             if token != _NO_PIECE:
                 out.append(token)
             elif self.model.bytes_known:
@@ -275,15 +288,14 @@ class WordTable:
         self.begin = np.zeros(1, np.int64)
 
     def _add(self, new: list[str]) -> None:
-        trie, out, sizes = Trie(self.model), [], []
+        trie, values, flat, ends = Trie(self.model), self.values, array("i"), []
         for word in new:
             trie.enter(word)
-            got = self.values(trie)
-            out.append(np.array(got, np.int32))
-            sizes.append(len(got))
-            self.row[word] = len(self.row)
-        self.flat = np.concatenate([self.flat, *out])
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+            flat.extend(values(trie))
+            ends.append(len(flat))
+        self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
+        self.flat = np.concatenate([self.flat, np.frombuffer(flat, np.int32)])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.array(ends, np.int64)])
 
     def _forget(self, words: list[str]) -> None:
         """Take out the words that were added last."""

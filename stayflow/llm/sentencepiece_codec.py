@@ -43,9 +43,11 @@ def encode_texts(texts: list[str], path: str, kind: str = "bpe", most: int = 1_2
 def decode_ids(ids, path: str, kind: str = "bpe") -> str:
     """The text of token ids; bytes that are no UTF-8 become U+FFFD, one each."""
     model = load(path, kind)
-    parts = [model.out[i] for i in ids if 0 <= i < model.size]
+    if ids and (min(ids) < 0 or max(ids) >= model.size):
+        ids = [i for i in ids if 0 <= i < model.size]
+    parts = list(map(model.out.__getitem__, ids))
     joined = b"".join(parts)
-    first = next((i for i in ids if 0 <= i < model.size and model.out[i]), None)
+    first = next((i for i in ids if model.out[i]), None)
     if first in model.piece_of and joined.startswith(b" "):  # the mark put in front of the text
         joined = joined[1:]
     try:

@@ -11,13 +11,33 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stayflow.llm import html_text, licenses, quality_crf, sentencepiece_codec, simhash_index, token_prefix
-from stayflow.llm.pieces import Model, Trie, WordTable, load
+from stayflow.llm.pieces import MARK, Model, Trie, WordTable, load
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 LIB = sentencepiece.SentencePieceProcessor(model_file=PATH)
 ALPHABET = "abcdeth inrs  \n▁.,<>/é日本\x00🙂0129'\"=()ABC\t"
 
 
+def test_few_endings_are_tried_per_letter():
+    class Asked(dict):
+        times = 0
+
+        def get(self, *of):
+            self.times += 1
+            return dict.get(self, *of)
+
+    model = Model(PATH)
+    model.endings = asked = Asked(model.endings)
+    words = sorted(set(model.words("the theory of international relations and other considerations, however unlikely, remains unanswered")))
+    trie, letters = Trie(model), 0
+    for word in words:
+        shared = next((k for k, (x, y) in enumerate(zip(word, trie.word)) if x != y), min(len(word), len(trie.word)))
+        letters += len(word) - shared
+        trie.enter(word)
+        assert trie.tokens() == LIB.encode(word.replace(MARK, " ").removeprefix(" "))
+    assert asked.times < 3.3 * letters
+
+
 @given(st.lists(st.text(alphabet=ALPHABET, max_size=30), min_size=1, max_size=8))
 @settings(max_examples=150, deadline=None)
 def test_ids_counts_and_texts_are_the_librarys(texts):
