@@ -33,10 +33,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with their number and whether they decode to the text."""
-    coded = docs.select("doc_id", "source", "text", sentencepiece_codec.encode("text", PIECES, most=WORDS_HELD).alias("ids"))
-    decoded = sentencepiece_codec.decode("ids", PIECES)
-    return coded.select(
-        "doc_id", "source", "ids", F.size("ids").cast("long").alias("n_ids"), decoded.eqNullSafe(F.col("text")).alias("exact")
+    both = sentencepiece_codec.encode_and_decode("text", PIECES, most=WORDS_HELD)
+    return docs.select("doc_id", "source", "text", both.alias("coded")).select(
+        "doc_id",
+        "source",
+        "coded.ids",
+        F.size("coded.ids").cast("long").alias("n_ids"),
+        F.col("coded.decoded").eqNullSafe(F.col("text")).alias("exact"),
     )
 
 

@@ -2,9 +2,11 @@
 
 Text is marked by writing ``▁`` for each space and one more in front.  No piece holds a ``▁`` after
 another character, so no token crosses the start of a marked word and words are encoded alone.
+Nor does one cross two characters that stand side by side in no piece (a letter and a comma, say):
+a word is cut there into parts, of which there are fewer distinct ones, and parts are encoded alone.
 
-The forward pass walks distinct words in sorted order.  Each position of a word is a node of the
-trie of the sorted words; the state of a node (its best last piece, and how many tokens lead there)
+The forward pass walks distinct parts in sorted order.  Each position of a part is a node of the
+trie of the sorted parts; the state of a node (its best last piece, and how many tokens lead there)
 is kept on a stack and reused by every following word with the same prefix.
 
 * ``unigram`` models: the state is the best path by summed piece scores (plain Viterbi).
@@ -18,8 +20,11 @@ from __future__ import annotations
 import re
 from array import array
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 
 MARK = "▁"
@@ -66,9 +71,11 @@ class Model:
         # no piece joins these to a neighbour, so they may stand as words of their own
         joined = set("".join(p for p in self.ids if len(p) > 1))
         alone = "".join(c for c in "\n\t\r" if c not in joined)
-        self.pattern = re.compile(
-            f"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]" if alone else f"{MARK}*[^{MARK}]+|{MARK}+"
-        )
+        end = f"|{MARK}+" + (f"|[{alone}]" if alone else "")
+        self.pattern = re.compile(f"{MARK}*[^{MARK}{alone}]+{end}")
+        sets = ["".join(map(re.escape, s)) for s in self._joined()]
+        within = [f"[{s}]+" for s in sets] + [f"[^{MARK}{alone}{''.join(sets)}]+"]
+        self.part_pattern = re.compile(f"{MARK}*(?:{'|'.join(within)}){end}")
         # every ending of a piece, with its id if it is a piece itself
         self.endings: dict[str, int] = {}
         for piece in self.ids:
@@ -81,10 +88,33 @@ class Model:
         self._pairs: dict[int, bool] = {}
         self.piece_of = {i: p for p, i in self.ids.items()}
 
+    def _joined(self, most: int = 8) -> list[list[str]]:
+        """Sets of characters that pieces join, directly or by others; the ``most`` largest.
+
+        Characters of two sets, or of a set and none of these, stand side by side in no piece.
+        """
+        near: dict[str, str] = {}
+
+        def top(c: str) -> str:
+            while near.setdefault(c, c) != c:
+                near[c] = c = near[near[c]]
+            return c
+
+        for a, b in {piece[k : k + 2] for piece in map(str.lstrip, self.ids, repeat(MARK)) for k in range(len(piece) - 1)}:
+            near[top(a)] = top(b)
+        sets: dict[str, list[str]] = {}
+        for c in sorted(near):
+            sets.setdefault(top(c), []).append(c)
+        return sorted(sets.values(), key=len, reverse=True)[:most]
+
     def words(self, text: str) -> list[str]:
         """Marked words in order; joined they are the marked text."""
         return self.pattern.findall(MARK + text.replace(" ", MARK)) if text else []
 
+    def parts(self, text: str) -> list[str]:
+        """Parts of the marked words in order; joined they are the marked text."""
+        return self.part_pattern.findall(MARK + text.replace(" ", MARK)) if text else []
+
     # pieces as the merges build them
 
     def _merge(self, symbols: list[str]) -> tuple[list[str], dict]:
@@ -304,29 +334,65 @@ class WordTable:
         self.begin = self.begin[: len(self.row) + 1]
         self.flat = self.flat[: self.begin[-1]].copy()
 
-    def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Values of all words, end to end, and how many each word has."""
-        distinct = set(words)
-        long = sorted(w for w in distinct if len(w) > self.LONG)
-        new = sorted(w for w in distinct.difference(self.row) if len(w) <= self.LONG)
+    def _learn(self, distinct: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The row of each of these sorted words; the long ones among them, which are to be forgotten."""
+        long = [w for w in distinct if len(w) > self.LONG]
+        new = [w for w in distinct if w not in self.row and len(w) <= self.LONG]
         held = self.letters + len(self.flat) + 2 * sum(map(len, new))
         if (len(self.row) + len(new) > self.most or held > 16 * self.most) and self.row:
             self._clear()
-            new = sorted(w for w in distinct if len(w) <= self.LONG)
+            new = [w for w in distinct if len(w) <= self.LONG]
         if new:
             self._add(new)
             self.letters += sum(map(len, new))
         if long:
             self._add(long)
-        rows = np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.row.__getitem__, distinct), np.int64, len(distinct)), long
+
+    def _gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first, size = self.begin[rows], self.begin[rows + 1] - self.begin[rows]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(first - (ends - size), size)
-        found = self.flat[at]
+        return self.flat[np.arange(total) + np.repeat(first - (ends - size), size)], size
+
+    def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Values of all words, end to end, and how many each word has."""
+        distinct, (codes,) = _coded([pa.array(words, pa.string())])
+        rows, long = self._learn(distinct)
+        found = self._gather(rows[codes])
         if long:
             self._forget(long)
-        return found, size
+        return found
+
+    def read(self, texts, most_chars: int = 8_000_000):
+        """Per run of texts: the parts of each text, the values of all parts, end to end, and how many each part has.
+
+        The new parts of about ``most_chars`` are walked together: they share more prefixes than those of a run.
+        """
+        for group in runs(texts, most_chars):
+            sizes, words = [], []
+            for run in runs(group):
+                parts = [self.model.parts(t) for t in run]
+                sizes.append(np.fromiter(map(len, parts), np.int64, len(parts)))
+                words.append(pa.array(list(chain.from_iterable(parts)), pa.string()))
+            distinct, codes = _coded(words)
+            del words
+            rows, long = self._learn(distinct)
+            del distinct
+            for size, code in zip(sizes, codes):
+                yield size, *self._gather(rows[code])
+            if long:
+                self._forget(long)
+
+
+def _coded(words: list[pa.Array]) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct words in the order of their code points, and which of them each word is."""
+    found = pa.concat_arrays(words).dictionary_encode()
+    order = pc.array_sort_indices(found.dictionary)
+    place = np.empty(len(order), np.int32)
+    place[order.to_numpy()] = np.arange(len(order), dtype=np.int32)
+    distinct = found.dictionary.take(order).to_numpy(zero_copy_only=False).tolist()
+    return distinct, np.split(place[found.indices.to_numpy()], np.cumsum([len(w) for w in words])[:-1])
 
 
 def runs(texts, most_chars: int = 1_000_000):
@@ -343,6 +409,6 @@ def runs(texts, most_chars: int = 1_000_000):
 
 
 @lru_cache(maxsize=4)
-def load(path: str, kind: str = "bpe", most_pairs: int = 1_000_000) -> Model:
+def load(path: str, kind: str = "bpe") -> Model:
     """One model per Python worker."""
-    return Model(path, kind, most_pairs)
+    return Model(path, kind)

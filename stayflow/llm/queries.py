@@ -45,12 +45,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, and the text that they decode to."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = docs.withColumn("ids", sentencepiece_codec.encode("text", PIECES))
+    coded = docs.withColumn("coded", sentencepiece_codec.encode_and_decode("text", PIECES))
     return coded.select(
         "doc_id",
-        "ids",
-        F.size("ids").cast("long").alias("n_ids"),
-        sentencepiece_codec.decode("ids", PIECES).alias("decoded"),
+        "coded.ids",
+        F.size("coded.ids").cast("long").alias("n_ids"),
+        "coded.decoded",
     )
 
 

@@ -1,8 +1,8 @@
 """Token counts by prefix dynamic programming.
 
-For each distinct marked word the forward pass of ``pieces`` gives the number of tokens of every
-prefix.  No token crosses a word, so the exact token count of any prefix of a text is the count of
-the words before it plus one entry of the table of the word it ends in.  From these counts the
+For each distinct part of a marked word the forward pass of ``pieces`` gives the number of tokens of
+every prefix.  No token crosses a part, so the exact token count of any prefix of a text is the count
+of the parts before it plus one entry of the table of the part it ends in.  From these counts the
 longest prefix within a budget, or the count of a truncated text, is read without encoding again.
 
 Edge cases: a null text counts as empty and has zero tokens, an empty array of prefix counts, and
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stayflow.llm.pieces import Trie, WordTable, load, runs
+from stayflow.llm.pieces import Trie, WordTable, load
 from stayflow.llm.sentencepiece_codec import _ragged
 
 
@@ -35,19 +35,17 @@ def _table(path: str, kind: str) -> WordTable:
 
 def prefix_counts_of(texts: list[str], path: str, kind: str = "bpe") -> list[np.ndarray]:
     """For each text, the tokens of its prefixes of 1, 2, ... code points."""
-    table, out = _table(path, kind), []
-    for run in runs(texts, 1_000_000):
-        words = [table.model.words(t) for t in run]
-        inside, sizes = table.lookup([w for ws in words for w in ws])
+    out: list[np.ndarray] = []
+    for parts, inside, sizes in _table(path, kind).read(texts):
         ends = np.cumsum(sizes)
-        at = 0  # word
+        at = 0  # part
         whole = inside[ends - 1].astype(np.int64) if len(ends) else ends
         before = np.cumsum(whole) - whole
-        for ws in words:
-            if not ws:
+        for n in parts.tolist():
+            if not n:
                 out.append(np.empty(0, np.int32))
                 continue
-            a, b = at, at + len(ws)
+            a, b = at, at + n
             base = np.repeat(before[a:b] - before[a], sizes[a:b])
             got = inside[ends[a] - sizes[a] : ends[b - 1]] + base
             out.append(got[1:].astype(np.int32))  # the first entry is the mark put in front

@@ -55,6 +55,58 @@ def test_any_ids_decode_as_in_the_library():
         assert sentencepiece_codec.decode_ids(ids, PATH) == LIB.decode(ids)
 
 
+def test_parts_end_where_no_piece_crosses():
+    model, draw = load(PATH), random.Random(2)
+    texts = ["".join(draw.choices(ALPHABET + "xyzжд»“¿ß%&*", k=40)) for _ in range(300)]
+    pairs = {p[k : k + 2] for p in model.ids for k in range(len(p) - 1)}
+    for text in texts:
+        parts = model.parts(text)
+        assert "".join(parts) == MARK + text.replace(" ", MARK)
+        assert not any(a[-1] + b[0] in pairs for a, b in zip(parts, parts[1:]) if b[0] != MARK)
+    assert model.parts("a word, (word) word...%%% word***\n") == "▁a ▁word , ▁( word ) ▁word ...%%% ▁word *** \n".split(" ")
+    assert model.parts("") == [] and [g.tolist() for g in sentencepiece_codec.encode_texts(texts, PATH)] == LIB.encode(texts)
+
+
+def test_a_word_with_other_signs_behind_it_is_walked_once():
+    entered = []
+    table = WordTable(load(PATH), lambda trie: entered.append(trie.word) or trie.tokens())
+    texts = [f"unlikely{a}{b}" for a in ".,;:!?%#" for b in ".,;:!?%#"]
+    for parts, ids, sizes in table.read(texts, 200):
+        assert parts.sum() == len(sizes) and sizes.sum() == len(ids)
+    assert sorted(entered) == sorted({"▁unlikely"} | {a + b for a in ".,;:!?%#" for b in ".,;:!?%#"})
+
+
+def test_batches_of_ids_decode_as_rows():
+    import pyarrow as pa
+
+    draw = random.Random(4)
+    for top in (300, 32_000, 32_010):
+        rows = [None if k % 7 == 3 else [draw.randrange(-1 if top > 32_000 else 3, top) for _ in range(draw.randrange(6))] for k in range(400)]
+        for some in (rows, rows[:1], [[]], [None], []):
+            got = sentencepiece_codec._decoded(pa.array(some, pa.list_(pa.int32())), PATH, "bpe", 90)
+            assert got.to_pylist() == [None if r is None else sentencepiece_codec.decode_ids(r, PATH) for r in some]
+    texts = [None, "", " two", "é🙂 日本", "\n x", None, "last "]
+    both = [None if t is None else LIB.encode(t) for t in texts]
+    for part in (slice(None), slice(2, 5)):  # a slice of a larger array, too
+        assert sentencepiece_codec._decoded(pa.array(both, pa.list_(pa.int32()))[part], PATH, "bpe").to_pylist() == texts[part]
+
+
+def test_texts_are_encoded_once(awkward):
+    """The plan of the query and of the pipeline's last stage has one call, not encode beside decode of encode."""
+    from stayflow.llm import queries
+
+    import corpus_pipeline
+
+    both = awkward.select("text", sentencepiece_codec.encode_and_decode("text", PATH).alias("both")).collect()
+    for r in both:
+        want = (None, None) if r["text"] is None else (LIB.encode(r["text"]), LIB.decode(LIB.encode(r["text"])))
+        assert (r["both"]["ids"], r["both"]["decoded"]) == want
+    for frame in (queries.op1_sentencepiece(awkward.sparkSession, "/root/testdata/sf0.001"), corpus_pipeline.encode(awkward.sparkSession, awkward, "")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        (calls,) = [line for line in plan.splitlines() if "ArrowEvalPython [" in line]
+        assert calls.count("(text#") == 1
+
+
 def test_unigram_path_has_the_best_score(tmp_path):
     """A model with scores, against trying every way to cut a word."""
     from sentencepiece import sentencepiece_model_pb2 as proto
